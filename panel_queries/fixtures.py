@@ -25,8 +25,16 @@ BY_TYPE = PanelSpec(
 )
 
 
+SCHEMAS = {
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf}/{name}.parquet")
 
 
 def exact_avg(c: str) -> Column:
@@ -77,7 +85,7 @@ def daily(spark: SparkSession, sf: str, key: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 # The same as SQL: each function returns common table expressions ending in ``panel``.
 
-_NAMES = "[" + ", ".join(f"'{n}'" for n in COMPASS) + "]"
+SQL_COMPASS = "[" + ", ".join(f"'{n}'" for n in COMPASS) + "]"
 
 
 def sql_hourly_cells(key: str) -> str:
@@ -89,7 +97,7 @@ ev AS (
 cells AS (
   SELECT series, t, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS m1,
          max(value) AS m2, CAST(sum(k) AS DOUBLE) / count(*) AS m3,
-         CASE WHEN min(event_id) % 7 <> 0 THEN {_NAMES}[min(event_id) % 16 + 1] END AS wd
+         CASE WHEN min(event_id) % 7 <> 0 THEN {SQL_COMPASS}[min(event_id) % 16 + 1] END AS wd
   FROM ev GROUP BY series, t)"""
 
 
@@ -157,3 +165,58 @@ def sql_interpolate(
     return f"""
 {name}_nb AS (SELECT *, {', '.join(nb)} FROM {source}),
 {name} AS (SELECT {rest}, {', '.join(out)} FROM {name}_nb)"""
+
+
+def sql_columns(template: str, cols: list[str] = MEASURES, sep: str = ", ") -> str:
+    """``template`` once per column, ``@`` standing for its name."""
+    return sep.join(template.replace("@", c) for c in cols)
+
+
+def sql_modes(source: str, name: str = "modes", col: str = "wd") -> str:
+    return f"""
+{name} AS (
+  SELECT series, coalesce({col}, 'N') AS {col} FROM (
+    SELECT series, {col}, row_number() OVER (
+             PARTITION BY series ORDER BY ({col} IS NULL), n DESC, {col}) AS r
+    FROM (SELECT series, {col}, count(*) AS n FROM {source} GROUP BY series, {col}))
+  WHERE r = 1)"""
+
+
+SQL_DEGREES = f"(nullif(list_position({SQL_COMPASS}, wd), 0) - 1) * 22.5"
+
+
+def sql_seasonal_filled(key: str, cutoff: str) -> str:
+    """Panel, split, capped interpolation per split, seasonal means of train: ``season_filled``."""
+    return (
+        sql_hourly(key) + "," + sql_split("panel", cutoff) + ","
+        + sql_interpolate("parts", MEASURES, "split, series", 6, "series, t, pos, split, month, hour, wd")
+        + f""",
+seasonal AS (
+  SELECT series, month, hour, {sql_columns('avg(@) AS @')}
+  FROM filled WHERE split = 'train' GROUP BY series, month, hour),
+season_filled AS (
+  SELECT f.series, t, pos, split, f.month, f.hour, wd, {sql_columns('coalesce(f.@, s.@) AS @')}
+  FROM filled f LEFT JOIN seasonal s
+    ON f.series = s.series AND f.month = s.month AND f.hour = s.hour)"""
+    )
+
+
+def sql_clean(key: str, cutoff: str) -> str:
+    """The whole train-fitted cleaning as SQL, ending in ``clean``."""
+    return (
+        sql_seasonal_filled(key, cutoff)
+        + f""",
+med AS (SELECT {sql_columns('median(@) AS @')} FROM season_filled WHERE split = 'train'),"""
+        + sql_modes("(SELECT * FROM filled WHERE split = 'train')")
+        + f""",
+whole AS (
+  SELECT s.series, t, pos, split, month, hour, coalesce(s.wd, modes.wd) AS wd,
+         {sql_columns('coalesce(s.@, med.@) AS @')}
+  FROM season_filled s LEFT JOIN modes ON s.series = modes.series, med),
+scaler AS (
+  SELECT {sql_columns('avg(@) AS @_mean, stddev_samp(@) AS @_std')} FROM whole WHERE split = 'train'),
+clean AS (
+  SELECT whole.*, sin(radians({SQL_DEGREES})) AS wd_sin, cos(radians({SQL_DEGREES})) AS wd_cos,
+         {sql_columns('(@ - @_mean) / @_std AS @_norm')}
+  FROM whole, scaler)"""
+    )

@@ -32,3 +32,11 @@ def r6(c: str | Column) -> Column:
 
 def sql_r6(expr: str) -> str:
     return f"floor(CAST({expr} AS DOUBLE) * 1e6 + 0.5) / 1e6"
+
+
+def rounded(cols: list[str] | tuple[str, ...] = ("m1", "m2", "m3")) -> list[Column]:
+    return [r6(c).alias(c) for c in cols]
+
+
+def sql_rounded(cols: list[str] | tuple[str, ...] = ("m1", "m2", "m3")) -> str:
+    return ", ".join(f"{sql_r6(c)} AS {c}" for c in cols)

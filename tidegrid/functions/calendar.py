@@ -30,19 +30,17 @@ def with_calendar_parts(df: DataFrame, t: str = "t") -> DataFrame:
 
 
 def epoch_seconds(t: str | Column) -> Column:
-    """Seconds since 1970-01-01 of a zone-free timestamp, without a zone conversion."""
-    t = _col(t)
-    days = F.unix_date(F.to_date(t)).cast("long")
-    return days * 86400 + F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)
+    """Seconds since 1970-01-01 of a zone-free timestamp, without a zone conversion.
+
+    Measured from a date before any data, as the cast drops fractions towards zero.
+    """
+    since = _col(t) - F.expr("TIMESTAMP_NTZ '0001-01-01 00:00:00'")
+    return since.cast("interval second").cast("long") - 62135596800
 
 
 def from_epoch_seconds(seconds: Column) -> Column:
     """Inverse of :func:`epoch_seconds`."""
-    zero = F.lit(0)
-    day = F.floor(seconds / 86400).cast("int")
-    rest = F.pmod(seconds, F.lit(86400)).cast("decimal(18,6)")
-    epoch = F.make_timestamp_ntz(F.lit(1970), F.lit(1), F.lit(1), zero, zero, zero)
-    return epoch + F.make_dt_interval(day, zero, zero, rest)
+    return F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'") + F.expr("INTERVAL '1' SECOND") * seconds
 
 
 def floor_to_step(t: str | Column, step_seconds: int) -> Column:

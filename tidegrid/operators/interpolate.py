@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidegrid.operators.blocks import BLOCK, BLOCK_ROWS, block_of
+from tidegrid.sources.stage import stage
 
 # For a column c: position and value of its last / first valid cell in a group of rows.
 LAST, FIRST = ("lp", "lv"), ("fp", "fv")
@@ -56,28 +57,47 @@ def _with_nearest(
     """
     if levels == 0:
         return df.select("*", *_neighbours(keys, order, cols))
-    grouped = df.withColumn(BLOCK, block_of(order, size))
+    block = f"{BLOCK}{levels}"
+    grouped = df.withColumn(block, block_of(order, size))
     outer = _with_nearest(
-        _summary(grouped, [*keys, BLOCK], cols), keys, BLOCK, cols, size, levels - 1
+        _summary(grouped, [*keys, block], cols), keys, block, cols, size, levels - 1
     )
     sides = [p + v for p in ("prev", "next") for v in ("p", "v")]
     outer = outer.select(
-        *keys, BLOCK, *[F.col(_name(c, s)).alias(_name(c, "out_" + s)) for c in cols for s in sides]
+        *keys, block, *[F.col(_name(c, s)).alias(_name(c, "out_" + s)) for c in cols for s in sides]
     )
-    inner = grouped.select("*", *_neighbours([*keys, BLOCK], order, cols))
-    joined = inner.join(outer, [*keys, BLOCK], "left")
+    inner = grouped.select("*", *_neighbours([*keys, block], order, cols))
+    joined = inner.join(outer, [*keys, block], "left")
     found = [
         F.coalesce(_name(c, s), _name(c, "out_" + s)).alias(_name(c, s)) for c in cols for s in sides
     ]
     return joined.select(*df.columns, *found)
 
 
+def levels_for(longest: int, size: int) -> int:
+    """Block levels after which the longest series is at most ``size`` summaries."""
+    levels = 0
+    while longest > size:
+        longest, levels = -(-longest // size), levels + 1
+    return levels
+
+
 def nearest_valid(
     df: DataFrame, keys: Sequence[str], pos: str, cols: Sequence[str],
-    size: int = BLOCK_ROWS, levels: int = 1,
+    size: int = BLOCK_ROWS, longest: int | None = None,
 ) -> DataFrame:
     """Add, per column ``c``, the nearest valid cell on both sides of each row:
-    ``__c_prevp``, ``__c_prevv``, ``__c_nextp``, ``__c_nextv``."""
+    ``__c_prevp``, ``__c_prevv``, ``__c_nextp``, ``__c_nextv``.
+
+    ``longest`` is the row count of the longest series, measured if not given. Series
+    of up to ``size`` rows need no blocks; beyond that the input is staged, because
+    the summaries and the rows both read it.
+    """
+    if longest is None:
+        longest = (df.agg(F.max(pos)).first()[0] or 0) + 1
+    levels = levels_for(longest, size)
+    if levels:
+        df = stage(df, "blocks")
     for_rows = df.select(
         "*",
         *[F.when(F.col(c).isNotNull(), F.col(pos)).alias(_name(c, p)) for c in cols for p in ("lp", "fp")],
@@ -95,7 +115,7 @@ def interpolate(
     limit: int | None = 6,
     flag_suffix: str | None = None,
     size: int = BLOCK_ROWS,
-    levels: int = 1,
+    longest: int | None = None,
 ) -> DataFrame:
     """Fill missing cells on the line between their valid neighbours.
 
@@ -104,7 +124,7 @@ def interpolate(
     and after the last valid cell the nearest value is copied. Distances are row
     positions, not times. ``flag_suffix`` adds ``<c><suffix>``, true where filled.
     """
-    found = nearest_valid(df, keys, pos, cols, size, levels)
+    found = nearest_valid(df, keys, pos, cols, size, longest)
     values, flags = {}, {}
     for c in cols:
         at = F.col(pos)
@@ -127,8 +147,8 @@ def interpolate(
 
 
 def fill_edges(df: DataFrame, keys: Sequence[str], pos: str, cols: Sequence[str],
-               size: int = BLOCK_ROWS, levels: int = 1) -> DataFrame:
+               size: int = BLOCK_ROWS, longest: int | None = None) -> DataFrame:
     """Forward fill, then backward fill."""
-    found = nearest_valid(df, keys, pos, cols, size, levels)
+    found = nearest_valid(df, keys, pos, cols, size, longest)
     filled = {c: F.coalesce(F.col(c), F.col(_name(c, "prevv")), F.col(_name(c, "nextv"))) for c in cols}
     return found.select(*[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns])

@@ -173,7 +173,7 @@ def mode_fill_wind_by_user(spark, sf):
     by_series AS (SELECT series, t, {sql_columns('coalesce(@, avg(@) OVER (PARTITION BY series)) AS @')}
                   FROM late),
     overall AS (SELECT {sql_columns('avg(@) AS @')} FROM by_series)
-    SELECT series, t, {sql_columns(sql_r6('coalesce(b.@, o.@)') + ' AS @')} FROM by_series b, overall o""",
+    SELECT series, t, {sql_columns(sql_r6('coalesce(b.@, o.@)', 9) + ' AS @')} FROM by_series b, overall o""",
 )
 def mean_fill_by_user(spark, sf):
     """Series mean, then overall mean, after masking early and extreme readings."""
@@ -183,7 +183,7 @@ def mean_fill_by_user(spark, sf):
     }
     df = hourly(spark, sf, "user_id").withColumns(masked)
     means = stage(fit_series_means(df, ["series"], MEASURES), "means")
-    return mean_fill(df, ["series"], MEASURES, means, salt="pos").select("series", "t", *rounded())
+    return mean_fill(df, ["series"], MEASURES, means, salt="pos").select("series", "t", *rounded(digits=9))
 
 
 @query(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -24,19 +24,19 @@ def query(name: str, sql: str | None = None) -> Callable[[QueryFn], QueryFn]:
     return register
 
 
-def r6(c: str | Column) -> Column:
-    """Six decimals by one rule in both engines (their ``round`` differ on ties)."""
+def r6(c: str | Column, digits: int = 6) -> Column:
+    """A fixed number of decimals by one rule in both engines (their ``round`` differ on ties)."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.floor(c.cast("double") * 1e6 + 0.5) / 1e6
+    return F.floor(c.cast("double") * 10.0**digits + 0.5) / 10.0**digits
 
 
-def sql_r6(expr: str) -> str:
-    return f"floor(CAST({expr} AS DOUBLE) * 1e6 + 0.5) / 1e6"
+def sql_r6(expr: str, digits: int = 6) -> str:
+    return f"floor(CAST({expr} AS DOUBLE) * 1e{digits} + 0.5) / 1e{digits}"
 
 
-def rounded(cols: list[str] | tuple[str, ...] = ("m1", "m2", "m3")) -> list[Column]:
-    return [r6(c).alias(c) for c in cols]
+def rounded(cols: Sequence[str] = ("m1", "m2", "m3"), digits: int = 6) -> list[Column]:
+    return [r6(c, digits).alias(c) for c in cols]
 
 
-def sql_rounded(cols: list[str] | tuple[str, ...] = ("m1", "m2", "m3")) -> str:
-    return ", ".join(f"{sql_r6(c)} AS {c}" for c in cols)
+def sql_rounded(cols: Sequence[str] = ("m1", "m2", "m3"), digits: int = 6) -> str:
+    return ", ".join(f"{sql_r6(c, digits)} AS {c}" for c in cols)

@@ -32,6 +32,10 @@ def wind_features(wd: str = "wd", default: float | None = None) -> dict[str, Col
     return {"wd_sin": wd_sin, "wd_cos": wd_cos}
 
 
+def one_hot_names(vocab: Sequence[str], prefix: str = "st_") -> list[str]:
+    return [f"{prefix}{v}" for v in sorted(vocab)]
+
+
 def one_hot(c: str, vocab: Sequence[str], prefix: str = "st_") -> dict[str, Column]:
     """One 0/1 column per value of a fixed vocabulary; unseen values are all zero."""
     return {

@@ -85,9 +85,8 @@ def lag_rows_to_windows(
     ]
     rows += [_constant(e, window) for e in one_hot(series, vocab).values()]
 
-    named = df.select(*keep, series, *[r.alias(f"__f{i}") for i, r in enumerate(rows)])
-    x = F.transform(
-        F.sequence(F.lit(1), F.lit(window)),
-        lambda i: F.array(*[F.element_at(F.col(f"__f{j}"), i).cast("float") for j in range(len(rows))]),
-    )
-    return named.select(*keep, series, x.alias("x"))
+    # zipping first evaluates each feature's array once, not once per step
+    names = [f"f{i}" for i in range(len(rows))]
+    steps = F.arrays_zip(*[r.alias(n) for r, n in zip(rows, names)])
+    x = F.transform(steps, lambda s: F.array(*[s.getField(n).cast("float") for n in names]))
+    return df.select(*keep, series, x.alias("x"))

@@ -8,7 +8,7 @@ from dataclasses import asdict, dataclass
 from pyspark.sql import DataFrame
 
 from tidegrid.functions.calendar import calendar_features, day_of_week_features, is_weekend
-from tidegrid.functions.encoding import one_hot
+from tidegrid.functions.encoding import one_hot, one_hot_names
 from tidegrid.operators.windows import (
     last_step_pairs, series_lengths, sliding_windows, split_by_fraction,
 )
@@ -33,21 +33,21 @@ class Manifest:
 
 def manifest_short(spec: PanelSpec, vocab: Sequence[str]) -> Manifest:
     """24 steps: measures, wind, hour and month, series indicators."""
-    names = [*spec.norms, *spec.wind_features, *CALENDAR, *one_hot(spec.series, vocab)]
+    names = [*spec.norms, *spec.wind_features, *CALENDAR, *one_hot_names(vocab)]
     return Manifest(names, sorted(vocab), spec.window)
 
 
 def manifest_long(spec: PanelSpec, vocab: Sequence[str], window: int = 48) -> Manifest:
     """48 steps: as above plus weekday, weekend flag and the target's lag features."""
     names = [*spec.norms, *spec.wind_features, *CALENDAR, *WEEKDAY, "is_weekend"]
-    names += [*long_window_features(spec.target_norm, spec.target), *one_hot(spec.series, vocab)]
+    names += [*long_window_features(spec.target_norm, spec.target), *one_hot_names(vocab)]
     return Manifest(names, sorted(vocab), window)
 
 
 def manifest_all_rows(spec: PanelSpec, vocab: Sequence[str]) -> Manifest:
     """24 steps of the all-rows variants: weekday and raw-unit rolling features included."""
     names = [*spec.norms, *spec.wind_features, *CALENDAR, *WEEKDAY]
-    names += [*[f"{c}_norm" for c in spec.rolling], *one_hot(spec.series, vocab)]
+    names += [*[f"{c}_norm" for c in spec.rolling], *one_hot_names(vocab)]
     return Manifest(names, sorted(vocab), spec.window)
 
 

@@ -25,7 +25,7 @@ from tidegrid.operators.summaries import (
 from tidegrid.plans.analysis import correlation_with, key_ranking, weekday_means
 from tidegrid.sources.stage import one_row, stage
 
-FIRST_DAY = "2024-01-02 00:00:00"
+FIRST_HOURS = "2024-01-01 06:00:00"
 NORMS = [f"{c}_norm" for c in MEASURES]
 # (train, val) of the daily supplier panel
 SQL_PARTS = "WITH" + sql_daily("l_suppkey") + "," + sql_split("panel", DAILY_CUTOFF)
@@ -133,11 +133,11 @@ def inverse_scale_daily(spark, sf):
     "series_without_parameters",
     "WITH" + sql_hourly_cells("user_id") + f"""
     SELECT series, count(*) AS rows FROM cells WHERE series NOT IN
-      (SELECT series FROM cells WHERE t < TIMESTAMP '{FIRST_DAY}') GROUP BY series""",
+      (SELECT series FROM cells WHERE t < TIMESTAMP '{FIRST_HOURS}') GROUP BY series""",
 )
 def series_without_parameters(spark, sf):
-    """Users first seen after the first day have no fitted parameters."""
-    cells = split_at(hourly_cells(spark, sf, "user_id"), FIRST_DAY)
+    """Users first seen after the first hours have no fitted parameters."""
+    cells = split_at(hourly_cells(spark, sf, "user_id"), FIRST_HOURS)
     fitted = fit_scaler_by_key(cells.where("split = 'train'"), ["series"], ["m1"])
     return unmatched_keys(cells, fitted, ["series"])
 

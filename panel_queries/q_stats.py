@@ -110,7 +110,7 @@ def apply_scaler_by_supplier_salted(spark, sf):
 
     df = daily(spark, sf, "l_suppkey")
     fitted = stage(fit_scaler_by_key(df, ["series"], ["m1"]), "scaler")
-    joined = lookup_join(df, fitted, ["series"], salt="pos", broadcast_rows=0, salts=8)
+    joined = lookup_join(df, fitted, ["series"], salt="pos", broadcast_rows=0, hot_rows=1000, salts=8)
     return joined.select(
         "series", "t", r6((F.col("m1") - F.col("m1_mu")) / F.col("m1_sigma")).alias("m1_norm")
     )

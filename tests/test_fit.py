@@ -82,12 +82,12 @@ def test_zero_spread_gives_null_and_is_reported(spark):
     assert [r["b_norm"] for r in apply_scaler(df, params, ["a", "b"]).collect()] == [None, None]
 
 
-@pytest.mark.parametrize("rows", [0, 100])
-def test_salted_and_broadcast_lookups_agree(spark, rows):
+@pytest.mark.parametrize("rows, salt", [(0, "pos"), (0, None), (100, None)])
+def test_salted_and_broadcast_lookups_agree(spark, rows, salt):
     df = spark.range(300).select((F.col("id") % 3).cast("string").alias("k"), F.col("id").alias("pos"))
     hot = df.withColumn("k", F.when(F.col("pos") < 200, "0").otherwise(F.col("k")))
     lookup = spark.createDataFrame([("0", 10), ("1", 20)], "k string, v int")
-    got = lookup_join(hot, lookup, ["k"], salt="pos", broadcast_rows=rows, salts=4)
+    got = lookup_join(hot, lookup, ["k"], salt=salt, broadcast_rows=rows, hot_rows=100, salts=4)
     counts = {r["v"]: r["count"] for r in got.groupBy("v").count().collect()}
     want = {r["v"]: r["count"] for r in hot.join(lookup, "k", "left").groupBy("v").count().collect()}
     assert counts == want and got.count() == 300

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 BROADCAST_ROWS = 200_000
-SALTS = 32
+HOT_ROWS = 4_000_000
+SALTS = 64
 
 
 def lookup_join(
@@ -16,19 +17,39 @@ def lookup_join(
     keys: Sequence[str],
     salt: str | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
+    hot_rows: int = HOT_ROWS,
     salts: int = SALTS,
 ) -> DataFrame:
     """Left join of a large panel to a fitted table with one row per ``keys``.
 
     The table is counted (stage it first, then this reads parquet footers) and
     broadcast when it has at most ``broadcast_rows`` rows. A larger one is joined by
-    shuffle; ``salt``, an integer column of the panel such as its position, then
-    spreads each key over ``salts`` tasks, the table's rows being repeated for each.
+    shuffle, with hot keys spread over ``salts`` tasks; ``salt`` names the column
+    that decides which (its hash; all columns if not given).
     """
     if lookup.limit(broadcast_rows + 1).count() <= broadcast_rows:
         return df.join(F.broadcast(lookup), list(keys), "left")
-    if salt is None:
-        return df.join(lookup, list(keys), "left")
-    repeated = lookup.withColumn("__salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
-    salted = df.withColumn("__salt", F.pmod(F.hash(salt), F.lit(salts)))
-    return salted.join(repeated, [*keys, "__salt"], "left").drop("__salt")
+    return _salted_join(df, lookup, list(keys), salt, hot_rows, salts)
+
+
+def _salted_join(
+    df: DataFrame, lookup: DataFrame, keys: list[str], salt: str | None, hot_rows: int, salts: int
+) -> DataFrame:
+    """Shuffle join in which a key with more than ``hot_rows`` rows is split.
+
+    There are at most ``rows / hot_rows`` hot keys, so their list can be broadcast;
+    only their lookup rows are repeated, once per salt.
+    """
+    hot = (
+        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+        .where(F.col("__rows") > hot_rows).select(*keys, F.lit(True).alias("__hot"))
+    )
+    hot = F.broadcast(hot)
+    part = F.pmod(F.hash(*([salt] if salt else df.columns)), F.lit(salts))
+    left = df.join(hot, keys, "left").withColumn(
+        "__salt", F.when(F.col("__hot"), part).otherwise(F.lit(0))
+    )
+    copies = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    right = lookup.join(hot, keys, "left").withColumn("__salt", F.explode(copies)).drop("__hot")
+    joined = left.join(right, [*keys, "__salt"], "left")
+    return joined.select(*df.columns, *[c for c in lookup.columns if c not in keys])

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from tidegrid.sources.stage import stage
+
 # Spark's exact percentile holds every distinct value of a group in one task;
 # up to this many that is fine, beyond it the value range is narrowed first.
 DISTINCT_LIMIT = 2_000_000
@@ -28,12 +30,12 @@ def exact_quantiles(
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols
     ])
     group = [*by, "column"]
-    counts = (
+    counts = stage(
         df.select(*by, F.inline(entries))
         .where(F.col("value").isNotNull())
         .groupBy(*group, "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .persist()
+        .agg(F.count(F.lit(1)).alias("n")),
+        "value-counts",
     )
     sizes = counts.groupBy(*group).agg(
         F.count(F.lit(1)).alias("distinct"), F.sum("n").alias("total"),
@@ -49,7 +51,6 @@ def exact_quantiles(
         for r in sizes
         for p in probs
     ]
-    counts.unpersist()
     fields = [*[counts.schema[g] for g in group]]
     fields += [T.StructField("prob", T.DoubleType()), T.StructField("value", T.DoubleType())]
     return df.sparkSession.createDataFrame(rows, T.StructType(fields))

@@ -37,7 +37,9 @@ class Fitted:
 
 
 def _interpolated(df: DataFrame, spec: PanelSpec, keys: list[str]) -> DataFrame:
-    filled = interpolate(df, keys, spec.pos, spec.measures, spec.limit, flag_suffix="__i")
+    filled = interpolate(
+        df, keys, spec.pos, spec.measures, spec.limit, flag_suffix="__i", longest=spec.longest
+    )
     tiers = [
         F.when(F.col(f"{c}__i"), 1).when(F.col(c).isNotNull(), 0).alias(c + TIER)
         for c in spec.measures
@@ -111,12 +113,12 @@ def prepare_all_rows(
     deviation, or all by the global ones. Unknown wind directions count as north.
     """
     keys = [spec.series]
-    df = interpolate(panel, keys, spec.pos, spec.measures, limit=None)
-    df = stage(df, "interpolated")
-    means = stage(fit_series_means(df, keys, spec.measures), "means")
-    df = mean_fill(df, keys, spec.measures, means, salt=spec.pos)
+    df = interpolate(panel, keys, spec.pos, spec.measures, limit=None, longest=spec.longest)
+    filled = stage(df, "interpolated")
+    means = stage(fit_series_means(filled, keys, spec.measures), "means")
+    df = mean_fill(filled, keys, spec.measures, means, salt=spec.pos)
     if spec.wind:
-        modes = stage(fit_mode(panel, keys, spec.wind), "modes")
+        modes = stage(fit_mode(filled, keys, spec.wind), "modes")
         df = mode_fill(df, modes, keys, spec.wind, salt=spec.pos)
         df = df.withColumns(wind_features(spec.wind, default=0.0))
     df = df.withColumns({**calendar_features(spec.t), **day_of_week_features(spec.t)})

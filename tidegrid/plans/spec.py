@@ -11,6 +11,7 @@ class PanelSpec:
 
     ``limit`` caps interpolation (``None``: no cap), ``window`` is the number of
     input steps, ``season`` the calendar parts that key the seasonal means.
+    ``longest`` bounds the rows of one series; it is measured if not given.
     """
 
     measures: tuple[str, ...]
@@ -25,6 +26,7 @@ class PanelSpec:
     limit: int | None = 6
     window: int = 24
     season: tuple[str, ...] = ("month", "hour")
+    longest: int | None = None
     # raw-unit rolling features of the all-rows variants: {name: (column, kind, rows)}
     rolling: dict[str, tuple[str, str, int]] = field(default_factory=dict)
 

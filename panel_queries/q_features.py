@@ -5,17 +5,18 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from panel_queries.fixtures import (
-    DAILY_CUTOFF, FORECAST_CUTOFF, MEASURES, SQL_DEGREES, daily, hourly, hourly_cells, sql_columns,
+    FORECAST_CUTOFF, MEASURES, SQL_DEGREES, daily, hourly, hourly_cells, sql_columns,
     sql_daily, sql_hourly, sql_hourly_cells, table,
 )
 from panel_queries.registry import query, r6, rounded, sql_r6, sql_rounded
 from tidegrid.functions.calendar import (
-    calendar_features, cyclical, day_of_week_features, is_weekend, split_at, timestamp_of,
-    with_calendar_parts, with_timestamp,
+    calendar_features, cyclical, day_of_week_features, is_weekend, split_at, with_calendar_parts,
+    with_timestamp,
 )
 from tidegrid.functions.encoding import circular_encode, compass_degrees, one_hot, one_hot_auto
 from tidegrid.functions.scaling import clip_lower, feature_frame, fill_residual, null_if_nan
 from tidegrid.operators.rolling import rolling_features
+from tidegrid.operators.score import target_time
 from tidegrid.operators.summaries import in_key_order, key_sample
 
 PI2 = "(2 * pi())"
@@ -185,8 +186,6 @@ def feature_frame_by_user(spark, sf):
 )
 def target_time_of_request(spark, sf):
     """Requests with two context hours each; the target follows the last one."""
-    from tidegrid.operators.score import target_time
-
     ts = F.col("ts")
     earlier = ts - F.expr("INTERVAL 1 HOUR")
     parts = {"year": F.year, "month": F.month, "day": F.day, "hour": F.hour}

@@ -9,19 +9,20 @@ from panel_queries.fixtures import (
 )
 from panel_queries.q_stats import SQL_PREDICTIONS, predictions
 from panel_queries.registry import query, r6, rounded, sql_r6, sql_rounded
-from tidegrid.functions.calendar import split_at
 from tidegrid.functions.errors import rmse
 from tidegrid.functions.sequences import window_cell
-from tidegrid.operators.blend import blend, blend_grid, blend_mean, align_predictions, seed_mean, WEIGHTS
+from tidegrid.operators.blend import WEIGHTS, align_predictions, blend, blend_grid, blend_mean, seed_mean
 from tidegrid.operators.compare import evaluate
-from tidegrid.operators.interpolate import interpolate
 from tidegrid.operators.ridge import ridge_fit, ridge_predict
 from tidegrid.operators.score import (
     finish_predictions, match_coverage, match_predictions, prediction_summary, score_windows,
     score_windows_with,
 )
-from tidegrid.operators.windows import last_step_pairs, persistence, sliding_windows
-from tidegrid.plans.forecast import fit_blend_weights, flagship_scores, score_requests
+from tidegrid.operators.windows import last_step_pairs, sliding_windows
+from tidegrid.plans.dataset import Manifest, manifest_long
+from tidegrid.plans.forecast import (
+    fit_blend_weights, flagship_scores, score_requests, score_requests_with,
+)
 from tidegrid.plans.preprocess import preprocess_apply, preprocess_fit
 from tidegrid.sources.stage import stage
 
@@ -145,10 +146,39 @@ def score_requests_of_val(spark, sf):
     clean, fitted = preprocess_fit(panel, BY_TYPE)
     pairs = last_step_pairs(clean, ["split", "series"], "pos", "t", NORMS, W, "m1_norm", "m1")
     model = ridge_fit(pairs.where("split = 'train'"), "x_last", "y_norm")
+    ids, later = _requests(panel)
+    scored = score_requests(ids, later, fitted, BY_TYPE, Manifest(NORMS, [], W), model)
+    return scored.select("id", r6("pred", 4).alias("pred"), "matched")
+
+
+def _requests(panel):
+    """One request per hour from the cutoff on, and the rows they are answered from."""
     later = panel.where(F.col("t") >= F.lit(FORECAST_CUTOFF).cast("timestamp_ntz"))
     name = F.concat("series", F.lit("_"), F.date_format("t", "yyyy-MM-dd HH:mm:ss"))
-    ids = later.select(name.alias("id"), "series", F.col("t").alias("target_dt"))
-    scored = score_requests(ids, later, fitted, BY_TYPE, NORMS, model, W)
+    return later.select(name.alias("id"), "series", F.col("t").alias("target_dt")), later
+
+
+def mean_of_first_feature(windows):
+    return [sum(float(step[0]) for step in w) / len(w) for w in windows]
+
+
+@query(
+    "score_requests_by_function",
+    "WITH" + sql_clean("event_type", FORECAST_CUTOFF) + f""",
+    p AS (SELECT split, series || '_' || strftime(t, '%Y-%m-%d %H:%M:%S') AS id, row_number() OVER w AS r,
+                 avg(CAST(CAST(m1_norm AS FLOAT) AS DOUBLE)) OVER (w ROWS BETWEEN 48 PRECEDING AND 1 PRECEDING) AS m
+          FROM clean WINDOW w AS (PARTITION BY split, series ORDER BY pos))
+    SELECT id, {sql_r6('CASE WHEN r > 48 THEN greatest(m * m1_std + m1_mean, 0) ELSE m1_mean END', 4)} AS pred,
+           r > 48 AS matched
+    FROM p, scaler WHERE split = 'val'""",
+)
+def score_requests_by_function(spark, sf):
+    """A user's function over the 48-step tensors of later rows, all 32 features."""
+    panel = hourly(spark, sf, "event_type")
+    _, fitted = preprocess_fit(panel, BY_TYPE)
+    ids, later = _requests(panel)
+    manifest = manifest_long(BY_TYPE, ["click", "error", "purchase", "signup", "view"])
+    scored = score_requests_with(ids, later, fitted, BY_TYPE, manifest, mean_of_first_feature)
     return scored.select("id", r6("pred", 4).alias("pred"), "matched")
 
 
@@ -173,10 +203,6 @@ def score_windows_by_expression(spark, sf):
     return scored.select("series", "target_dt", r6("pred").alias("pred"))
 
 
-def mean_of_first_feature(windows):
-    return [sum(float(step[0]) for step in w) / len(w) for w in windows]
-
-
 @query(
     "score_windows_by_function",
     SQL_WHOLE + f" SELECT series, target_dt, {sql_r6('mean', 5)} AS pred FROM wins WHERE pos >= 24",

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from panel_queries.fixtures import (
     DAILY_CUTOFF, FILL_CUTOFF, MEASURES, daily, hourly, hourly_cells, sql_columns, sql_daily,
-    sql_hourly, sql_hourly_cells, sql_split,
+    sql_hourly, sql_hourly_cells, sql_split, table,
 )
 from panel_queries.registry import query, r6, rounded, sql_r6, sql_rounded
 from tidegrid.functions.calendar import split_at
@@ -17,6 +17,7 @@ from tidegrid.operators.compare import best_model, evaluate, leaderboard
 from tidegrid.operators.fit import (
     fit_scaler, fit_scaler_all, fit_scaler_by_key, scaler_long,
 )
+from tidegrid.operators.lookup import lookup_join
 from tidegrid.operators.quantiles import exact_quantiles
 from tidegrid.operators.scale import apply_scaler, apply_scaler_by_key, unmatched_keys
 from tidegrid.operators.summaries import (
@@ -106,8 +107,6 @@ def apply_scaler_by_supplier(spark, sf):
 )
 def apply_scaler_by_supplier_salted(spark, sf):
     """The join a table too large to broadcast gets: each series spread over salts."""
-    from tidegrid.operators.lookup import lookup_join
-
     df = daily(spark, sf, "l_suppkey")
     fitted = stage(fit_scaler_by_key(df, ["series"], ["m1"]), "scaler")
     joined = lookup_join(df, fitted, ["series"], salt="pos", broadcast_rows=0, hot_rows=1000, salts=8)
@@ -161,8 +160,6 @@ PROBS = [0.001, 0.25, 0.5, 0.999]
 
 
 def _quantiles(spark, sf, **options):
-    from panel_queries.fixtures import table
-
     q = exact_quantiles(table(spark, sf, "lineitem"), ["l_extendedprice"], PROBS, **options)
     return q.select("prob", r6("value").alias("value"))
 

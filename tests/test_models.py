@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from tidegrid.functions.errors import huber, mae, mse, rmse
 from tidegrid.operators.blend import align_predictions, blend, blend_grid, blend_mean, seed_mean

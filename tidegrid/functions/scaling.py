@@ -31,9 +31,12 @@ def null_if_nan(x: Column) -> Column:
     return F.nanvl(x, F.lit(None).cast("double"))
 
 
-def feature_array(manifest: Sequence[str]) -> Column:
-    """The features of one step, in manifest order, as float32."""
-    return F.array(*[F.col(f"`{c}`").cast("float") for c in manifest])
+def feature_array(manifest: Sequence[str], fill: float | None = None) -> Column:
+    """The features of one step, in manifest order, as float32; ``fill`` replaces missing ones."""
+    cells = [F.col(f"`{c}`").cast("float") for c in manifest]
+    if fill is not None:
+        cells = [F.coalesce(c, F.lit(fill).cast("float")) for c in cells]
+    return F.array(*cells)
 
 
 def feature_frame(df: DataFrame, manifest: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:

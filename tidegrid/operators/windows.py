@@ -23,6 +23,7 @@ def sliding_windows(
     target_raw: str,
     keep: Sequence[str] = (),
     features: Mapping[str, tuple[str, str, int]] | None = None,
+    fill: float | None = None,
     size: int = BLOCK_ROWS,
 ) -> DataFrame:
     """One row per target: ``x`` holds the ``window`` rows before it, oldest first.
@@ -31,12 +32,13 @@ def sliding_windows(
     series gives as many windows as it has rows beyond the first ``window``.
     ``features`` are row-frame features computed in the same pass: the halo then
     covers both frames, so tensors and their lag features cost one exchange.
+    ``fill`` replaces missing feature cells inside the windows.
     """
     features = features or {}
 
     def build(d, w):
         d = d.select("*", *feature_columns(features, w)) if features else d
-        d = d.withColumn("__row", feature_array(manifest))
+        d = d.withColumn("__row", feature_array(manifest, fill))
         x = F.collect_list("__row").over(w.rowsBetween(-window, -1))
         return d.withColumn("x", x)
 
@@ -58,13 +60,14 @@ def last_step_pairs(
     target_norm: str,
     target_raw: str,
     keep: Sequence[str] = (),
+    fill: float | None = None,
     size: int = BLOCK_ROWS,
 ) -> DataFrame:
     """The windows' targets with only their last step ``x_last``: what persistence and
     linear models read, without building ``window`` times the data."""
 
     def build(d, w):
-        d = d.withColumn("__row", feature_array(manifest))
+        d = d.withColumn("__row", feature_array(manifest, fill))
         return d.withColumns({
             "x_last": F.lag("__row", 1).over(w),
             "__full": F.lag(pos, window).over(w).isNotNull(),

@@ -1,0 +1 @@
+"""Pipelines composed of operators."""

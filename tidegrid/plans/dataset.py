@@ -51,7 +51,8 @@ def manifest_all_rows(spec: PanelSpec, vocab: Sequence[str]) -> Manifest:
     return Manifest(names, sorted(vocab), spec.window)
 
 
-def _with_encodings(clean: DataFrame, spec: PanelSpec, manifest: Manifest) -> DataFrame:
+def with_encodings(clean: DataFrame, spec: PanelSpec, manifest: Manifest) -> DataFrame:
+    """Add the calendar and series features that the manifest names."""
     wanted = {
         **calendar_features(spec.t), **day_of_week_features(spec.t),
         "is_weekend": is_weekend(spec.t), **one_hot(spec.series, manifest.vocab),
@@ -62,7 +63,7 @@ def _with_encodings(clean: DataFrame, spec: PanelSpec, manifest: Manifest) -> Da
 def short_windows(clean: DataFrame, spec: PanelSpec, manifest: Manifest) -> DataFrame:
     """Tensors of the 24-step variant from a clean panel with a ``split`` column."""
     return sliding_windows(
-        _with_encodings(clean, spec, manifest), ["split", spec.series], spec.pos, spec.t,
+        with_encodings(clean, spec, manifest), ["split", spec.series], spec.pos, spec.t,
         manifest.features, manifest.window, spec.target_norm, spec.target,
     )
 
@@ -70,28 +71,41 @@ def short_windows(clean: DataFrame, spec: PanelSpec, manifest: Manifest) -> Data
 def long_windows(clean: DataFrame, spec: PanelSpec, manifest: Manifest) -> DataFrame:
     """Tensors of the 48-step variant; lag features and windows share one exchange.
 
-    Features restart with each split, so validation starts cold.
+    Features restart with each split, so validation starts cold. A feature that is
+    still missing becomes 0.
     """
     features = long_window_features(spec.target_norm, spec.target)
     return sliding_windows(
-        _with_encodings(clean, spec, manifest), ["split", spec.series], spec.pos, spec.t,
-        manifest.features, manifest.window, spec.target_norm, spec.target, features=features,
+        with_encodings(clean, spec, manifest), ["split", spec.series], spec.pos, spec.t,
+        manifest.features, manifest.window, spec.target_norm, spec.target, features=features, fill=0.0,
     )
 
 
 def short_pairs(clean: DataFrame, spec: PanelSpec, manifest: Manifest) -> DataFrame:
     """Targets with their last input step, for the baselines."""
     return last_step_pairs(
-        _with_encodings(clean, spec, manifest), ["split", spec.series], spec.pos, spec.t,
+        with_encodings(clean, spec, manifest), ["split", spec.series], spec.pos, spec.t,
         manifest.features, manifest.window, spec.target_norm, spec.target,
     )
 
 
+def request_windows(clean: DataFrame, spec: PanelSpec, manifest: Manifest) -> DataFrame:
+    """Tensors of either train-fitted variant for scoring: rows of one split, and 0 for
+    what no step could fill (an unknown wind direction, for one)."""
+    lagged = long_window_features(spec.target_norm, spec.target)
+    features = {n: f for n, f in lagged.items() if n in manifest.features}
+    return sliding_windows(
+        with_encodings(clean, spec, manifest), [spec.series], spec.pos, spec.t,
+        manifest.features, manifest.window, spec.target_norm, spec.target,
+        features=features, fill=0.0,
+    )
+
+
 def all_rows_windows(prepared: DataFrame, spec: PanelSpec, manifest: Manifest) -> DataFrame:
     """Tensors of the all-rows variants: split by target position after windowing, so
     validation inputs may reach back into train."""
     lengths = stage(series_lengths(prepared, [spec.series]), "lengths")
-    whole = _with_encodings(prepared, spec, manifest)
+    whole = with_encodings(prepared, spec, manifest)
     tensors = sliding_windows(
         whole, [spec.series], spec.pos, spec.t, manifest.features, manifest.window,
         spec.target_norm, spec.target,

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from tidegrid.functions.calendar import with_calendar_parts
@@ -12,8 +13,9 @@ from tidegrid.operators.fill import fill_scalar, seasonal_fill
 from tidegrid.operators.fit import fit_median, fit_seasonal
 from tidegrid.operators.interpolate import interpolate
 from tidegrid.operators.ridge import RidgeModel, ridge_fit
-from tidegrid.operators.score import finish_predictions, match_predictions
+from tidegrid.operators.score import finish_predictions, match_predictions, score_windows_with
 from tidegrid.operators.windows import last_step_pairs, persistence
+from tidegrid.plans.dataset import Manifest, request_windows, with_encodings
 from tidegrid.plans.preprocess import Fitted, preprocess_apply
 from tidegrid.plans.spec import PanelSpec
 from tidegrid.sources.stage import one_row, stage
@@ -38,22 +40,38 @@ def flagship_scores(
     )
 
 
+def _answered(ids: DataFrame, preds: DataFrame, fitted: Fitted, spec: PanelSpec) -> DataFrame:
+    """Un-normalised predictions, bounded at 0; without one, the training mean."""
+    mean, std = fitted.scaler[f"{spec.target}_mean"], fitted.scaler[f"{spec.target}_std"]
+    done = finish_predictions(preds, mean, std)
+    return match_predictions(ids, done, [spec.series, "target_dt"], fallback=mean)
+
+
 def score_requests(
-    ids: DataFrame, rows: DataFrame, fitted: Fitted, spec: PanelSpec, features: Sequence[str],
-    model: RidgeModel, window: int,
+    ids: DataFrame, rows: DataFrame, fitted: Fitted, spec: PanelSpec, manifest: Manifest,
+    model: RidgeModel,
 ) -> DataFrame:
     """Answer ``(id, series, target_dt)`` requests from raw rows with stored parameters.
 
-    Predictions are un-normalised and bounded at 0; a request without a full window
-    before it gets the training mean.
+    A linear model reads the last step only, so no tensors are built. A request
+    without a full window before it gets the training mean.
     """
-    mean, std = fitted.scaler[f"{spec.target}_mean"], fitted.scaler[f"{spec.target}_std"]
-    clean = preprocess_apply(rows, fitted, spec)
+    clean = with_encodings(preprocess_apply(rows, fitted, spec), spec, manifest)
     pairs = last_step_pairs(
-        clean, [spec.series], spec.pos, spec.t, features, window, spec.target_norm, spec.target
+        clean, [spec.series], spec.pos, spec.t, manifest.features, manifest.window,
+        spec.target_norm, spec.target, fill=0.0,
     )
-    preds = finish_predictions(pairs.withColumn("pred", model.predict("x_last")), mean, std)
-    return match_predictions(ids, preds, [spec.series, "target_dt"], fallback=mean)
+    return _answered(ids, pairs.withColumn("pred", model.predict("x_last")), fitted, spec)
+
+
+def score_requests_with(
+    ids: DataFrame, rows: DataFrame, fitted: Fitted, spec: PanelSpec, manifest: Manifest,
+    predict: Callable[[pd.Series], Sequence[float]],
+) -> DataFrame:
+    """The same with a user's function over batches of whole windows."""
+    wins = request_windows(preprocess_apply(rows, fitted, spec), spec, manifest)
+    preds = score_windows_with(wins, predict, [spec.series, "target_dt"])
+    return _answered(ids, preds, fitted, spec)
 
 
 def fit_blend_weights(df: DataFrame, preds: Sequence[str], y: str, alpha: float = 0.0) -> DataFrame:

@@ -1,0 +1 @@
+"""Readers, writers and stored parameters."""

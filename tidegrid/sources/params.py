@@ -9,7 +9,6 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidegrid.operators.compare import merge_metrics
-from tidegrid.operators.fit import scaler_long
 from tidegrid.plans.dataset import Manifest
 from tidegrid.plans.preprocess import Fitted
 
@@ -97,9 +96,3 @@ def upsert_metrics(spark: SparkSession, path: str, new: DataFrame) -> DataFrame:
     merged = merge_metrics(read_metrics(spark, path), new.select(*METRICS.names))
     merged.write.parquet(f"{path}/version={newest + 1}")
     return read_metrics(spark, path)
-
-
-__all__ = [
-    "load_fitted", "load_manifest", "load_scaler_by_series", "read_metrics", "save_fitted",
-    "save_manifest", "save_scaler_by_series", "scaler_long", "upsert_metrics",
-]

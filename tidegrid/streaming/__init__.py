@@ -1,0 +1,5 @@
+"""Empty on purpose: the work rebuilt here is batch only.
+
+There is no event-time window, watermark or state to express; the "sliding window"
+is a row frame over a finished panel (``operators.windows``).
+"""

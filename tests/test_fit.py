@@ -36,7 +36,7 @@ def quantile(values, p):
 
 def quantiles(spark, values, probs, limit):
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    rows = exact_quantiles(df, ["v"], probs, distinct_limit=limit).collect()
+    rows = exact_quantiles(df, ["v"], probs, row_limit=limit).collect()
     return {r["prob"]: r["value"] for r in rows}
 
 
@@ -61,7 +61,7 @@ def test_quantiles_by_narrowing_with_a_heavy_value_and_outliers(spark):
 def test_quantiles_per_group(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("b", 5.0), ("b", None)], "g string, v double")
     for limit in (0, 100):
-        rows = exact_quantiles(df, ["v"], [0.5], by=["g"], distinct_limit=limit).collect()
+        rows = exact_quantiles(df, ["v"], [0.5], by=["g"], row_limit=limit).collect()
         assert {r["g"]: r["value"] for r in rows} == {"a": 1.5, "b": 5.0}
 
 

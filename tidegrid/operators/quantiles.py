@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass, field
+from typing import Any
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tidegrid.sources.stage import stage
-
-# Spark's exact percentile holds every distinct value of a group in one task;
-# up to this many that is fine, beyond it the value range is narrowed first.
-DISTINCT_LIMIT = 2_000_000
+# Spark's exact percentile holds the distinct values of a group in one task; up to
+# this many rows that is fine, beyond it the value range is narrowed instead.
+ROW_LIMIT = 4_000_000
 BINS = 4096
 
 
@@ -19,67 +19,93 @@ def exact_quantiles(
     cols: Sequence[str],
     probs: Sequence[float],
     by: Sequence[str] = (),
-    distinct_limit: int = DISTINCT_LIMIT,
+    row_limit: int = ROW_LIMIT,
 ) -> DataFrame:
     """Quantiles with linear interpolation as rows ``(by, column, prob, value)``.
 
-    ``by`` must have few values (a split, a model). Equal values are counted
-    map-side first, so a value that fills half the table is one row here.
+    ``by`` must have few values (a split, a model). Large groups are scanned a few
+    times instead of being shuffled: each scan counts the values of every wanted
+    quantile's range in bins, map-side, and goes on with the bin that holds its rank.
+    Stage ``df`` first if it is costly to compute.
     """
-    entries = F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols
-    ])
-    group = [*by, "column"]
-    counts = stage(
-        df.select(*by, F.inline(entries))
-        .where(F.col("value").isNotNull())
-        .groupBy(*group, "value")
-        .agg(F.count(F.lit(1)).alias("n")),
-        "value-counts",
-    )
-    sizes = counts.groupBy(*group).agg(
-        F.count(F.lit(1)).alias("distinct"), F.sum("n").alias("total"),
-        F.min("value").alias("lo"), F.max("value").alias("hi"),
-    ).collect()
-    if all(r["distinct"] <= distinct_limit for r in sizes):
-        weights = F.array(*[F.lit(float(p)) for p in probs])
-        found = counts.groupBy(*group).agg(F.percentile("value", weights, F.col("n")).alias("q"))
-        pairs = F.arrays_zip(weights.alias("prob"), F.col("q").alias("value"))
-        return found.select(*group, F.inline(pairs))
-    rows = [
-        (*[r[g] for g in group], float(p), _by_narrowing(counts, {g: r[g] for g in group}, r, float(p)))
-        for r in sizes
-        for p in probs
+    cells = df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols])
+    sizes = cells.groupBy(*by).agg(*[
+        F.struct(F.count(c).alias("n"), F.min(c).alias("lo"), F.max(c).alias("hi")).alias(c) for c in cols
+    ]).collect()
+    if max((r[c]["n"] for r in sizes for c in cols), default=0) <= row_limit:
+        return _direct(cells, cols, probs, by)
+    targets = [
+        _Target({g: r[g] for g in by}, c, float(p), r[c]["n"], r[c]["lo"], r[c]["hi"])
+        for r in sizes for c in cols for p in probs if r[c]["n"]
     ]
-    fields = [*[counts.schema[g] for g in group]]
-    fields += [T.StructField("prob", T.DoubleType()), T.StructField("value", T.DoubleType())]
+    while open_ := [t for t in targets if t.value is None]:
+        _narrow(cells, open_)
+    fields = [*[cells.schema[g] for g in by], T.StructField("column", T.StringType()),
+              T.StructField("prob", T.DoubleType()), T.StructField("value", T.DoubleType())]
+    rows = [(*t.group.values(), t.column, t.prob, t.value) for t in targets]
     return df.sparkSession.createDataFrame(rows, T.StructType(fields))
 
 
-def _by_narrowing(counts: DataFrame, group: dict, size, prob: float) -> float:
-    """One quantile of ``(value, n)`` rows. Each round takes exact counts over at most
-    ``BINS`` bins of the value range and keeps the bin with the wanted rank; the two
-    ends of a range fall into different bins, so every round keeps fewer values."""
-    rows = counts
-    for name, v in group.items():
-        rows = rows.where(F.col(name).eqNullSafe(F.lit(v)))
-    rank = prob * (size["total"] - 1)
-    low, below, lo, hi = int(rank), 0, size["lo"], size["hi"]
-    high = min(low + 1, size["total"] - 1)
-    while lo < hi:
-        bin_ = F.least(F.floor((F.col("value") - lo) / (hi - lo) * BINS), F.lit(BINS - 1))
-        bins = (
-            rows.where(F.col("value").between(lo, hi))
-            .groupBy(bin_.alias("bin"))
-            .agg(F.sum("n").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
-            .orderBy("bin")
-            .collect()
-        )
+def _direct(cells: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str]) -> DataFrame:
+    wanted = F.array(*[F.lit(float(p)) for p in probs])
+    found = cells.groupBy(*by).agg(*[F.percentile(c, wanted).alias(c) for c in cols])
+    entries = F.array(*[
+        F.struct(F.lit(c).alias("column"), F.lit(float(p)).alias("prob"), F.col(c)[i].alias("value"))
+        for c in cols for i, p in enumerate(probs)
+    ])
+    return found.select(*by, F.inline(entries)).where(F.col("value").isNotNull())
+
+
+@dataclass
+class _Target:
+    """One wanted quantile: the value range it lies in and the rows below that range."""
+
+    group: dict[str, Any]
+    column: str
+    prob: float
+    total: int
+    lo: float
+    hi: float
+    below: int = 0
+    value: float | None = field(init=False)
+
+    def __post_init__(self) -> None:
+        self.value = self.lo if self.lo == self.hi else None
+
+    def take(self, bins: list) -> None:
+        """Go on with the bin that holds the rank, or read the value off two bins' ends."""
+        rank = self.prob * (self.total - 1)
+        low = int(rank)
+        high = min(low + 1, self.total - 1)
         for b, after in zip(bins, [*bins[1:], None]):
-            if low < below + b["n"]:
+            if low < self.below + b["n"]:
                 break
-            below += b["n"]
-        if high >= below + b["n"]:
-            return b["hi"] + (after["lo"] - b["hi"]) * (rank - low)
-        lo, hi = b["lo"], b["hi"]
-    return lo
+            self.below += b["n"]
+        self.lo, self.hi = b["lo"], b["hi"]
+        if self.lo == self.hi or high >= self.below + b["n"]:
+            upper = after["lo"] if high >= self.below + b["n"] else self.hi
+            self.value = self.hi + (upper - self.hi) * (rank - low)
+
+
+def _narrow(cells: DataFrame, targets: list[_Target]) -> None:
+    """One scan for all targets. Both ends of a range fall into different bins, so every
+    scan leaves each target fewer values; a bin's own extremes become the next range."""
+    hits = []
+    for i, t in enumerate(targets):
+        v = F.col(t.column)
+        inside = v.between(t.lo, t.hi)
+        for g, key in t.group.items():
+            inside &= F.col(g).eqNullSafe(F.lit(key))
+        bin_ = F.least(F.floor((v - t.lo) / (t.hi - t.lo) * BINS), F.lit(BINS - 1))
+        hits.append(F.when(inside, F.struct(
+            F.lit(i).alias("target"), bin_.alias("bin"), v.alias("value")
+        )))
+    counted = (
+        cells.select(F.inline(F.array_compact(F.array(*hits))))
+        .groupBy("target", "bin")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+        .orderBy("target", "bin")
+        .collect()
+    )
+    for i, t in enumerate(targets):
+        t.take([b for b in counted if b["target"] == i])

@@ -129,14 +129,10 @@ def interpolate(
     for c in cols:
         at = F.col(pos)
         pp, pv, np_, nv = (F.col(_name(c, s)) for s in ("prevp", "prevv", "nextp", "nextv"))
-        line = (
-            F.when(pp.isNull(), nv)
-            .when(np_.isNull(), pv)
-            .otherwise(pv + (nv - pv) * (at - pp) / (np_ - pp))
-        )
+        # without a neighbour on one side the slope is NULL and the other side's value is left
+        line = F.coalesce(pv + (nv - pv) * (at - pp) / (np_ - pp), nv, pv)
         if limit is not None:
-            close = F.coalesce(at - pp <= limit, F.lit(False)) | F.coalesce(np_ - at <= limit, F.lit(False))
-            line = F.when(close, line)
+            line = F.when(F.least(at - pp, np_ - at) <= limit, line)
         values[c] = F.coalesce(F.col(c), line)
         if flag_suffix:
             flags[c + flag_suffix] = F.col(c).isNull() & line.isNotNull()

@@ -8,9 +8,9 @@ from typing import Any
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-# Spark's exact percentile holds the distinct values of a group in one task; up to
-# this many rows that is fine, beyond it the value range is narrowed instead.
-ROW_LIMIT = 4_000_000
+# Spark's exact percentile merges the distinct values of a group in one task; up to
+# this many rows that is quick, beyond it the value range is narrowed instead.
+ROW_LIMIT = 100_000
 BINS = 4096
 
 

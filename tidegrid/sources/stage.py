@@ -31,8 +31,23 @@ def stage_dir(spark: SparkSession) -> str:
     raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
 
 
+_created: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{stage_dir(spark)}/tidegrid/{name}-{uuid.uuid4().hex}"
+    """A new path under the shared folder, remembered for :func:`clear_stages`."""
+    path = f"{stage_dir(spark)}/tidegrid/{name}-{uuid.uuid4().hex}"
+    _created.append(path)
+    return path
+
+
+def clear_stages(spark: SparkSession) -> int:
+    """Delete the tables this process staged, once nothing reads them any more."""
+    count = len(_created)
+    while _created:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_created.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return count
 
 
 def stage(df: DataFrame, name: str = "stage", partition_by: Sequence[str] = ()) -> DataFrame:

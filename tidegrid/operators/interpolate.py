@@ -9,69 +9,75 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidegrid.operators.blocks import BLOCK, BLOCK_ROWS, block_of
 from tidegrid.sources.stage import stage
 
-# For a column c: position and value of its last / first valid cell in a group of rows.
-LAST, FIRST = ("lp", "lv"), ("fp", "fv")
+# Names of the columns that hold, for a measure, the position and value of the last and
+# of the first valid cell in a group of rows.
+Cells = dict[str, tuple[str, str, str, str]]
+FOUND = ("prevp", "prevv", "nextp", "nextv")
 
 
 def _name(c: str, part: str) -> str:
     return f"__{c}_{part}"
 
 
-def _neighbours(keys: Sequence[str], order: str, cols: Sequence[str]) -> list[Column]:
+def _neighbours(keys: Sequence[str], order: str, cells: Cells) -> list[Column]:
     """Nearest valid cell before and after each row of ``keys``, the row itself excluded.
 
-    The backward look is a second running frame over the reversed order: a frame
-    that is open towards the end would be recomputed for every row.
+    The look ahead is a second running frame over the reversed order: a frame that is
+    open towards the end would be recomputed for every row.
     """
     w = Window.partitionBy(*keys)
     past = w.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     ahead = w.orderBy(F.col(order).desc()).rowsBetween(Window.unboundedPreceding, -1)
     out = []
-    for c in cols:
-        for part in LAST:
-            out.append(F.last(_name(c, part), True).over(past).alias(_name(c, "prev" + part[1])))
-        for part in FIRST:
-            out.append(F.last(_name(c, part), True).over(ahead).alias(_name(c, "next" + part[1])))
+    for c, columns in cells.items():
+        for column, frame, part in zip(columns, (past, past, ahead, ahead), FOUND):
+            out.append(F.last(column, True).over(frame).alias(_name(c, part)))
     return out
 
 
-def _summary(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
+def _summary(df: DataFrame, keys: Sequence[str], cells: Cells) -> tuple[DataFrame, Cells]:
     """First and last valid cell per group; combines map-side, so hot groups stay small."""
-    aggs = []
-    for c in cols:
-        lp, lv, fp, fv = (_name(c, p) for p in (*LAST, *FIRST))
-        aggs += [
-            F.max(lp).alias(lp), F.max_by(lv, lp).alias(lv),
-            F.min(fp).alias(fp), F.min_by(fv, fp).alias(fv),
-        ]
-    return df.groupBy(*keys).agg(*aggs)
+    aggs, names = [], {}
+    for c, (lp, lv, fp, fv) in cells.items():
+        names[c] = tuple(_name(c, p) for p in ("lp", "lv", "fp", "fv"))
+        found = (F.max(lp), F.max_by(lv, lp), F.min(fp), F.min_by(fv, fp))
+        aggs += [f.alias(n) for f, n in zip(found, names[c])]
+    return df.groupBy(*keys).agg(*aggs), names
+
+
+def _outer(df: DataFrame, keys: Sequence[str], order: str, cells: Cells, size: int, levels: int,
+           block: str) -> DataFrame:
+    """Per block, the nearest valid cells outside it, found among the blocks' summaries."""
+    summary, names = _summary(df, [*keys, block], cells)
+    found = _with_nearest(summary, keys, block, names, size, levels - 1)
+    return found.select(*keys, block, *[
+        F.col(_name(c, p)).alias(_name(c, "out_" + p)) for c in cells for p in FOUND
+    ])
 
 
 def _with_nearest(
-    df: DataFrame, keys: Sequence[str], order: str, cols: Sequence[str], size: int, levels: int
+    df: DataFrame, keys: Sequence[str], order: str, cells: Cells, size: int, levels: int
 ) -> DataFrame:
-    """Add ``prev``/``next`` position and value of every column.
+    """Add the positions and values of ``FOUND`` for every measure.
 
     Below the top, rows look inside their block; what lies outside comes from the
     same search over the blocks' summaries, ``size`` times fewer rows per level.
     """
     if levels == 0:
-        return df.select("*", *_neighbours(keys, order, cols))
+        return df.select("*", *_neighbours(keys, order, cells))
     block = f"{BLOCK}{levels}"
     grouped = df.withColumn(block, block_of(order, size))
-    outer = _with_nearest(
-        _summary(grouped, [*keys, block], cols), keys, block, cols, size, levels - 1
-    )
-    sides = [p + v for p in ("prev", "next") for v in ("p", "v")]
-    outer = outer.select(
-        *keys, block, *[F.col(_name(c, s)).alias(_name(c, "out_" + s)) for c in cols for s in sides]
-    )
-    inner = grouped.select("*", *_neighbours([*keys, block], order, cols))
-    joined = inner.join(outer, [*keys, block], "left")
+    outer = _outer(grouped, keys, order, cells, size, levels, block)
+    inner = grouped.select("*", *_neighbours([*keys, block], order, cells))
+    return _combined(inner, outer, [*keys, block], df.columns, cells)
+
+
+def _combined(inner: DataFrame, outer: DataFrame, keys: Sequence[str], kept: Sequence[str],
+              cells: Cells) -> DataFrame:
     found = [
-        F.coalesce(_name(c, s), _name(c, "out_" + s)).alias(_name(c, s)) for c in cols for s in sides
+        F.coalesce(_name(c, p), _name(c, "out_" + p)).alias(_name(c, p)) for c in cells for p in FOUND
     ]
-    return joined.select(*df.columns, *found)
+    return inner.join(outer, list(keys), "left").select(*kept, *found)
 
 
 def levels_for(longest: int, size: int) -> int:
@@ -98,13 +104,22 @@ def nearest_valid(
     levels = levels_for(longest, size)
     if levels:
         df = stage(df, "blocks")
-    for_rows = df.select(
-        "*",
-        *[F.when(F.col(c).isNotNull(), F.col(pos)).alias(_name(c, p)) for c in cols for p in ("lp", "fp")],
-        *[F.col(c).alias(_name(c, v)) for c in cols for v in ("lv", "fv")],
-    )
-    found = _with_nearest(for_rows, keys, pos, cols, size, levels)
-    return found.drop(*[_name(c, p) for c in cols for p in (*LAST, *FIRST)])
+    def marked(rows: DataFrame) -> DataFrame:
+        return rows.withColumns({
+            _name(c, "at"): F.when(F.col(c).isNotNull(), F.col(pos)) for c in cols
+        })
+
+    cells = {c: (_name(c, "at"), c, _name(c, "at"), c) for c in cols}
+    block = f"{BLOCK}{levels}"
+    # rows are distributed before helper columns are added, so only the panel is shuffled
+    if levels == 0:
+        rows = marked(df.repartition(*keys))
+        return rows.select(*df.columns, *_neighbours(keys, pos, cells))
+    grouped = df.withColumn(block, block_of(pos, size))
+    outer = _outer(marked(grouped), keys, pos, cells, size, levels, block)
+    rows = marked(grouped.repartition(*keys, block))
+    inner = rows.select(*df.columns, block, *_neighbours([*keys, block], pos, cells))
+    return _combined(inner, outer, [*keys, block], df.columns, cells)
 
 
 def interpolate(

@@ -148,7 +148,7 @@ def series_without_parameters(spark, sf):
       {sql_r6('quantile_cont(m2, 0.75)', 4)} AS q75, max(m2) AS max FROM parts GROUP BY split""",
 )
 def describe_prices_by_split(spark, sf):
-    d = describe_by_split(parts(spark, sf), "m2")
+    d = describe_by_split(stage(parts(spark, sf), "panel", ["split"]), "m2")
     return d.select("split", *rounded(["mean", "std"], 4), "min", *rounded(["q25", "median", "q75"], 4), "max")
 
 

@@ -12,7 +12,10 @@ QUARTILES = {0.25: "q25", 0.5: "median", 0.75: "q75"}
 
 
 def describe_by_split(df: DataFrame, col: str, split: str = "split") -> DataFrame:
-    """Mean, sample deviation, extremes and exact quartiles per split."""
+    """Mean, sample deviation, extremes and exact quartiles per split.
+
+    Quartiles of many rows take several scans: stage ``df`` first if it is costly.
+    """
     moments = df.groupBy(split).agg(
         F.avg(col).alias("mean"), F.stddev_samp(col).alias("std"),
         F.min(col).alias("min"), F.max(col).alias("max"),

@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidegrid.llm.chat import BEGIN, CLOSE, END, PART, ROLE, TEXT, format_chats, loss_text, read_back
+from tidegrid.llm.near_dups import near_duplicates
 from tidegrid.llm.packing import pack
 from tidegrid.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from tidegrid.llm.token_counts import count_tokens
@@ -101,3 +102,9 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select(
         "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
         F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars")
+
+
+@query("op3_near_duplicates")
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 5-word shingle sets are similar to 75 percent or more."""
+    return near_duplicates(table(spark, sf_dir, "documents"))

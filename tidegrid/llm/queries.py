@@ -9,6 +9,7 @@ from tidegrid.llm.chat import BEGIN, CLOSE, END, PART, ROLE, TEXT, format_chats,
 from tidegrid.llm.near_dups import near_duplicates
 from tidegrid.llm.packing import pack
 from tidegrid.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
+from tidegrid.llm.substrings import remove_repeats
 from tidegrid.llm.token_counts import count_tokens
 from tidegrid.llm.url_filter import filter_urls
 
@@ -108,3 +109,13 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 5-word shingle sets are similar to 75 percent or more."""
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op5_substring_dedup")
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without its repeated 200-byte strings."""
+    removed = F.aggregate(F.arrays_zip("begins", "ends"), F.lit(0).cast("long"),
+                          lambda n, s: n + s["ends"] - s["begins"])
+    return remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("begins").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))

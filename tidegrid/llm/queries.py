@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidegrid.llm.chat import BEGIN, CLOSE, END, PART, ROLE, TEXT, format_chats, loss_text, read_back
+from tidegrid.llm.decontaminate import contaminations
 from tidegrid.llm.near_dups import near_duplicates
 from tidegrid.llm.packing import pack
 from tidegrid.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
@@ -119,3 +120,9 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_bytes", removed.alias("n_removed"), F.size("begins").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op6_decontamination")
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All benchmark items in all documents, up to a tenth of an item's length in edits."""
+    return contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -9,6 +9,7 @@ from tidegrid.llm.chat import BEGIN, CLOSE, END, PART, ROLE, TEXT, format_chats,
 from tidegrid.llm.decontaminate import contaminations
 from tidegrid.llm.near_dups import near_duplicates
 from tidegrid.llm.packing import pack
+from tidegrid.llm.quality_model import score_quality
 from tidegrid.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from tidegrid.llm.substrings import remove_repeats
 from tidegrid.llm.token_counts import count_tokens
@@ -126,3 +127,9 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All benchmark items in all documents, up to a tenth of an item's length in edits."""
     return contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op8_quality_model")
+def op8_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents."""
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -10,6 +10,7 @@ from tidegrid.llm.decontaminate import contaminations
 from tidegrid.llm.near_dups import near_duplicates
 from tidegrid.llm.packing import pack
 from tidegrid.llm.quality_model import score_quality
+from tidegrid.llm.quality_rules import judge_quality
 from tidegrid.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from tidegrid.llm.substrings import remove_repeats
 from tidegrid.llm.token_counts import count_tokens
@@ -133,3 +134,11 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of all documents."""
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op2_quality_rules")
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts of all documents, and whether enough of their lines read as content."""
+    return judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "content_share")

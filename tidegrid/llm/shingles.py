@@ -51,15 +51,15 @@ def prefix_hashes(values: np.ndarray) -> np.ndarray:
     return out
 
 
-def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Where the words of ``data`` begin, and their hashes."""
+def word_hashes(data: bytes, cased: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of ``data`` begin, and their hashes; ``cased`` keeps capitals apart."""
     raw = np.frombuffer(data, np.uint8)
     if not len(raw):
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     word = np.concatenate([[False], ~_SPACE[raw], [False]])
     edges = np.flatnonzero(word[1:] != word[:-1])
     begin, end = edges[::2], edges[1::2]
-    p = prefix_hashes(_BYTE[_LOWER[raw]])
+    p = prefix_hashes(_BYTE[raw if cased else _LOWER[raw]])
     h = (p[end] - p[begin]) * powers(len(raw))[1][begin]
     return begin, mix(h + (end - begin).astype(np.uint64) * GOLDEN)
 
@@ -75,6 +75,15 @@ def texts_word_hashes(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
 _ORDER = mix(np.arange(1, 65, dtype=np.uint64) * BASE) | U(1)
 
 
+def window_hashes(h: np.ndarray, size: int) -> np.ndarray:
+    """A hash of every ``size`` neighbouring words, in one array of all texts' words."""
+    n = max(0, len(h) - size + 1)
+    total = np.zeros(n, np.uint64)
+    for j in range(size):
+        total += h[j:j + n] * _ORDER[j]
+    return mix(total)
+
+
 def shingle_sets(texts: Sequence[str], size: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """The distinct shingles of every text, sorted within it, in one array, and how many each has.
 

@@ -15,6 +15,8 @@ from functools import lru_cache
 from itertools import chain, repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 
 def slices(text: str, limit: int) -> Iterator[str]:
@@ -32,13 +34,17 @@ def slices(text: str, limit: int) -> Iterator[str]:
     yield text[at:]
 
 
-#: Letters and a run of marks behind them. The splitter takes each of the two as one part of its own
-#: (an apostrophe would join them, so it is not among the marks), whatever stands around the word.
-PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:*$%&#]*)")
+#: Words that the splitter takes as one part whatever stands around them. An apostrophe would join it to others.
+LETTERS, MARKS = "a-zß-öø-ÿ", ".,!?;:*$%&#"
+PART = re.compile(f"[{LETTERS}]+|[{MARKS}]+")
+#: Marks at the end of a word are a part of their own.
+LAST_MARKS = f"([{LETTERS}])([{MARKS}]+)( |$)"
+#: Texts with these keep their capitals: special strings are exact, and accents may join small letters only.
+CASED = r"<\||\p{M}"
 
 
 class WordEncoder:
-    """Encodes texts word by word; the tables of known words are bounded and start afresh when full."""
+    """Encodes texts word by word; the table of known words is bounded and starts afresh when full."""
 
     def __init__(self, path: str, max_words: int = 800_000, max_chars: int = 24_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks in parallel
@@ -52,52 +58,34 @@ class WordEncoder:
         self._reset()
 
     def _reset(self) -> None:
-        self.index: dict[str, int] = {}  # word: its place in the two arrays of part numbers
-        self.stem = np.zeros(0, np.int64)
-        self.tail = np.zeros(0, np.int64)
-        self.parts: dict[str, int] = {"": 0}  # part: its place in the two arrays of ranges
-        self.start = np.zeros(1, np.int64)
-        self.length = np.zeros(1, np.int64)
+        self.index: dict[str, int] = {}  # word: its place in the two arrays of ranges
+        self.start = np.zeros(0, np.int64)
+        self.length = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
         self.chars = 0
 
-    def _keep(self, parts: list[str], length: np.ndarray, flat: np.ndarray) -> None:
-        self.parts.update(zip(parts, range(len(self.parts), len(self.parts) + len(parts))))
-        self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(length) - length])
-        self.length = np.concatenate([self.length, length])
-        self.flat = np.concatenate([self.flat, flat])
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, new: list[str]) -> None:
-        """Put new words into the tables."""
-        stems, tails, odd = [], [], set()
-        for w in new:
-            m = PLAIN.fullmatch(w)
-            stem, tail = m.groups() if m else (w, "")
-            if m:
-                stem = stem.lower()
-            else:
-                odd.add(w)
-            stems.append(stem)
-            tails.append(tail)
-        known = self.parts
-        # the splitter leaves these whole: many go in one text, and each ends in one closing token
-        fresh = [p for p in {*stems, *tails} if p not in known and p not in odd]
-        found = []
-        for own in (fresh[at:at + 500] for at in range(0, len(fresh), 500)):
-            found.append(self.tokenizer.encode_batch_fast([" ".join(own)], add_special_tokens=False)[0].ids)
-        if fresh:
-            ids = np.fromiter(chain.from_iterable(found), np.uint32, sum(map(len, found)))
-            ends = np.flatnonzero(self.closes[ids]) + 1
-            if len(ends) != len(fresh):
-                raise ValueError("this vocabulary does not mark the ends of words")
-            self._keep(fresh, np.diff(ends, prepend=0), ids)
-        if fresh := [p for p in odd if p not in known]:
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)]
-            length = np.fromiter(map(len, ids), np.int64, len(ids))
-            self._keep(fresh, length, np.fromiter(chain.from_iterable(ids), np.uint32, int(length.sum())))
-        self.index.update(zip(new, range(len(self.index), len(self.index) + len(new))))
-        self.stem = np.concatenate([self.stem, np.fromiter(map(known.__getitem__, stems), np.int64, len(new))])
-        self.tail = np.concatenate([self.tail, np.fromiter(map(known.__getitem__, tails), np.int64, len(new))])
+        """Put new words into the table."""
+        parts = [w for w in new if PART.fullmatch(w)]
+        # these stay whole, so many go in one text, and each ends in one closing token
+        ids = self._encode([" ".join(parts[at:at + 500]) for at in range(0, len(parts), 500)])
+        flat = np.fromiter(chain.from_iterable(ids), np.uint32, sum(map(len, ids)))
+        ends = np.flatnonzero(self.closes[flat]) + 1
+        if len(ends) != len(parts):
+            raise ValueError("this vocabulary does not mark the ends of words")
+        known = set(parts)
+        odd = [w for w in new if w not in known]
+        ids = self._encode(odd)
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        length = np.concatenate([np.diff(ends, prepend=0), size])
+        self.index.update(zip(chain(parts, odd), range(len(self.index), len(self.index) + len(new))))
+        self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(length) - length])
+        self.length = np.concatenate([self.length, length])
+        self.flat = np.concatenate(
+            [self.flat, flat, np.fromiter(chain.from_iterable(ids), np.uint32, int(size.sum()))])
         self.chars += sum(map(len, new))
 
     def _numbers(self, words: Sequence[str]) -> np.ndarray:
@@ -106,45 +94,40 @@ class WordEncoder:
 
     def _words(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of all words in the table, and how many words each text has."""
-        words: list[str] = []
-        counts = []
-        for t in texts:
-            own = t.replace("\n", " ").split(" ")
-            counts.append(len(own))
-            words += own
+        text = pa.array(texts, pa.large_string())
+        text = pc.if_else(pc.match_substring_regex(text, CASED), text, pc.ascii_lower(text))
+        text = pc.replace_substring(text, "\n", " ")
+        split = pc.split_pattern(pc.replace_substring_regex(text, LAST_MARKS, r"\1 \2\3"), " ")
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if len(self.index) + len(words) > self.max_words or self.chars > self.max_chars:
+            self._reset()
         at = self._numbers(words)
         if len(unknown := np.flatnonzero(at < 0)):
-            missing = [words[i] for i in unknown]
-            new = list(dict.fromkeys(missing))
-            if self.index and (len(self.index) + len(new) > self.max_words or self.chars > self.max_chars):
-                self._reset()
-                self._learn(list(dict.fromkeys(words)))
-                at = self._numbers(words)
-            else:
-                self._learn(new)
-                at[unknown] = self._numbers(missing)
-        return at, np.array(counts)
+            new = [words[i] for i in unknown]
+            self._learn(new)
+            at[unknown] = self._numbers(new)
+        return at[coded.indices.to_numpy()], np.diff(split.offsets.to_numpy())
 
     def counts(self, texts: Sequence[str]) -> np.ndarray:
         """Tokens of each text."""
         if not texts:
             return np.zeros(0, np.int64)
         at, words = self._words(texts)
-        return np.add.reduceat(self.length[self.stem[at]] + self.length[self.tail[at]], np.cumsum(words) - words)
+        return np.add.reduceat(self.length[at], np.cumsum(words) - words)
 
     def ids(self, texts: Sequence[str]) -> list[np.ndarray]:
         """Ids of each text."""
         if not texts:
             return []
         at, words = self._words(texts)
-        part = np.stack([self.stem[at], self.tail[at]], axis=1).ravel()
-        length = self.length[part]
+        length = self.length[at]
         ends = np.cumsum(length)
-        flat = self.flat[np.repeat(self.start[part] - (ends - length), length) + np.arange(ends[-1])]
-        return np.split(flat, ends[2 * np.cumsum(words) - 1][:-1])
+        flat = self.flat[np.repeat(self.start[at] - (ends - length), length) + np.arange(ends[-1])]
+        return np.split(flat, ends[np.cumsum(words) - 1][:-1])
 
 
-def in_groups(texts: Sequence[str | None], limit: int = 1_000_000) -> Iterator[tuple[int, int]]:
+def in_groups(texts: Sequence[str | None], limit: int = 4_000_000) -> Iterator[tuple[int, int]]:
     """Ranges of rows that hold about ``limit`` characters together; a longer text is alone."""
     begin = size = 0
     for i, t in enumerate(texts):

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidegrid.llm.chat import BEGIN, CLOSE, END, PART, ROLE, TEXT, format_chats, loss_text, read_back
 from tidegrid.llm.decontaminate import contaminations
+from tidegrid.llm.licenses import scan_licences
 from tidegrid.llm.near_dups import near_duplicates
 from tidegrid.llm.packing import pack
 from tidegrid.llm.quality_model import score_quality
@@ -142,3 +143,9 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "content_share")
+
+
+@query("op10_license_scan")
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence paragraphs of all documents."""
+    return scan_licences(table(spark, sf_dir, "documents"))

@@ -201,17 +201,32 @@ def remove_repeats(docs: DataFrame, *, length: int = 200, q: int = 50, id_col: s
     A null text is empty. Texts shorter than ``length`` stay whole. Rows are judged by their texts, so equal or
     missing ids do no harm. Other columns are ignored. An empty table gives no rows.
     """
+    return _cut_rows(docs.select(id_col, text_col), length, q, text_col).select(
+        F.col("row")[id_col].alias(id_col), F.col("b").cast("long").alias("n_bytes"), "begins", "ends", "kept", "text")
+
+
+def without_repeats(docs: DataFrame, *, length: int = 200, q: int = 50, text_col: str = "text") -> DataFrame:
+    """``docs`` with all columns, repeats taken out of the text (see :func:`remove_repeats`) as whole characters.
+
+    A text of which nothing is left stays as an empty one.
+    """
+    row = F.col("row")
+    return _cut_rows(docs, length, q, text_col).select(
+        *[(F.col("text") if c == text_col else row[c]).alias(c) for c in docs.columns])
+
+
+def _cut_rows(docs: DataFrame, length: int, q: int, text_col: str) -> DataFrame:
+    """All rows as structs, with the key of their text and what is left of it."""
     if not 0 < q < length:
         raise ValueError("q must be shorter than the strings looked for")
     text = F.coalesce(F.col(text_col), F.lit(""))
-    keyed = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("k"),
-                        F.octet_length(text).alias("b"))
+    keyed = docs.select(F.struct(*[F.col(c) for c in docs.columns if c != text_col], F.lit(0).alias("\0")).alias("row"),
+                        text.alias("text"), F.xxhash64(text).alias("k"), F.octet_length(text).alias("b"))
     repeats = repeated_runs(keyed.where(F.col("b") >= length), length, q)
     joined = keyed.join(repeats, ["k", "b"], "left")
     hit = F.when(F.col("starts").isNotNull(), F.col("text"))
     cut = joined.withColumn("cut", _cut(length)(hit, "starts", "counts"))
     none = F.array().cast("array<int>")
-    return cut.select(
-        F.col("id").alias(id_col), F.col("b").cast("long").alias("n_bytes"),
-        F.coalesce("cut.begins", none).alias("begins"), F.coalesce("cut.ends", none).alias("ends"),
-        F.coalesce("cut.kept", F.encode("text", "UTF-8")).alias("kept"), F.coalesce("cut.text", "text").alias("text"))
+    return cut.select("row", "b", F.coalesce("cut.begins", none).alias("begins"), F.coalesce("cut.ends", none).alias("ends"),
+                      F.coalesce("cut.kept", F.encode("text", "UTF-8")).alias("kept"),
+                      F.coalesce("cut.text", "text").alias("text"))

@@ -8,9 +8,11 @@ equal starts are refined step by step, and what is alone in its bucket drops out
    place, so one position, an anchor, stands for a whole run of starts.
 2. Anchors alone in their q-gram's bucket are done. The others are refined by the bytes that their
    run of windows spans: a run equal to another is repeated as a whole.
-3. Only where an anchor's run equals no other are single starts refined, by the
-   identifiers of later offsets: a bucket of ``2 d`` bytes is the pair of the buckets of ``d``
-   bytes at the start and ``d`` further on, up to the full length.
+3. Only where an anchor's run equals no other are its starts refined, by the identifiers of later
+   offsets: a bucket of ``2 d`` bytes is the pair of the buckets of ``d`` bytes at the start
+   and ``d`` further on, up to the full length. First a few neighbouring starts go together: if what their
+   windows share is found nowhere else, none is repeated; if all that share it also agree in what
+   the windows span, all are. What remains, where a match begins or ends, is refined start by start.
 
 Identifiers are hashes of 64 bits; a bucket is named by two to three of them, so no global
 order of the suffixes is needed to number them.
@@ -95,32 +97,81 @@ def _anchors(length: int, q: int):
     return run
 
 
+#: Starts that are refined together first.
+PART = 16
+PARTS = "gram long, core long, hull long, weight int, k long, b int, start int, n int, off int"
+WINDOWS = "gram long, bucket long, weight int, k long, b int, p int"
 ANCHOR = "k long, b int, gram long, run long, start int, n int, off int"
 
 
+def _runs_of_texts(batches: Iterable[pa.RecordBatch], q: int) -> Iterator[tuple]:
+    """Key, bucket identifiers of all ``q``-byte starts, and the wanted runs of each text."""
+    for batch in batches:
+        k, b, texts, *runs = (c.to_pylist() for c in batch.columns)
+        for i, text in enumerate(texts):
+            raw = np.frombuffer(text.encode(), np.uint8)
+            yield k[i], b[i], grams(raw, q)[1], [np.array(r[i]) for r in runs]
+
+
+def _emit(rows: Iterable[list], names: list[str], types: list[type]) -> Iterator[pa.RecordBatch]:
+    """Batches of bounded size from columns, each an array or a value for all."""
+    out: list[list[np.ndarray]] = [[] for _ in names]
+    size = 0
+
+    def batch() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], names)
+
+    for columns in rows:
+        n = len(columns[0])
+        for column, value, kind in zip(out, columns, types):
+            column.append(np.asarray(value).astype(kind) if isinstance(value, np.ndarray) else np.full(n, value, kind))
+        size += n
+        if size > 100_000:
+            yield batch()
+            out, size = [[] for _ in names], 0
+    if size:
+        yield batch()
+
+
+def _parts(length: int, q: int):
+    """Step 3, first half: runs in parts of :data:`PART` starts at fixed places before the anchor.
+
+    ``core`` names what all windows of a part have in common, ``hull`` what they span together. Where the
+    text ends inside the hull, that gets a name of its own.
+    """
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[list]:
+            for k, b, ids, (start, n, off, gram, weight) in _runs_of_texts(batches, q):
+                core, hull = doubled(ids, q, length - PART + 1), doubled(ids, q, length + PART - 1)
+                first, last = (off - n + 1) // PART, off // PART
+                count = last - first + 1
+                i = np.repeat(np.arange(len(n)), count)
+                part = first[i] + np.arange(len(i)) - np.repeat(np.cumsum(count) - count, count)
+                end = (start + off)[i] - PART * part  # the last start of the part
+                begin = end - PART + 1
+                p, stop = np.maximum(start[i], begin), np.minimum((start + n - 1)[i], end)
+                whole = (begin >= 0) & (begin < len(hull))
+                own = mix(end.astype(np.uint64) * GOLDEN ^ U(k & 0xFFFFFFFFFFFFFFFF))
+                span = np.where(whole, hull[np.where(whole, begin, 0)], own) if len(hull) else own
+                yield [gram[i], mix(core[end] + part.astype(np.uint64) * GOLDEN).view(np.int64), span.view(np.int64),
+                       weight[i], k, b, p, stop - p + 1, (start + off)[i] - p]
+        yield from _emit(rows(), ["gram", "core", "hull", "weight", "k", "b", "start", "n", "off"],
+                         [np.int64] * 3 + [np.int32, np.int64] + [np.int32] * 4)
+    return run
+
+
 def _windows(length: int, q: int):
-    """Step 3: the single starts of the given runs, each with its bucket of ``length`` bytes."""
+    """Step 3, second half: the single starts of the given runs, each with its bucket of ``length`` bytes."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["gram", "bucket", "weight", "k", "b", "p"]
-        for batch in batches:
-            k, b, texts, starts, counts, offs, bases, weights = (c.to_pylist() for c in batch.columns)
-            out: list[list[np.ndarray]] = [[] for _ in names]
-            rows = 0
-            for i, text in enumerate(texts):
-                raw = np.frombuffer(text.encode(), np.uint8)
-                for start, n, off, gram, weight in zip(starts[i], counts[i], offs[i], bases[i], weights[i]):
-                    piece = raw[start:start + n - 1 + length]
-                    ids = doubled(grams(piece, q)[1], q, length)
-                    place = (off - np.arange(n)).astype(np.uint64)  # from the start to the anchor
-                    bucket = mix(ids + place * GOLDEN).view(np.int64)
-                    for column, value in zip(out, (gram, bucket, weight, k[i], b[i], start + np.arange(n))):
-                        column.append(value if isinstance(value, np.ndarray) else np.full(n, value))
-                    rows += n
-                if rows > 100_000 or (rows and i == len(texts) - 1):
-                    columns = [np.concatenate(c) for c in out]
-                    types = (np.int64, np.int64, np.int32, np.int64, np.int32, np.int32)
-                    yield pa.RecordBatch.from_arrays([pa.array(c.astype(t)) for c, t in zip(columns, types)], names)
-                    out, rows = [[] for _ in names], 0
+        def rows() -> Iterator[list]:
+            for k, b, ids, (start, n, off, gram, weight) in _runs_of_texts(batches, q):
+                window = doubled(ids, q, length)
+                i = np.repeat(np.arange(len(n)), n)
+                step = np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)
+                p, place = start[i] + step, (off[i] - step).astype(np.uint64)
+                yield [gram[i], mix(window[p] + place * GOLDEN).view(np.int64), weight[i], k, b, p]
+        yield from _emit(rows(), ["gram", "bucket", "weight", "k", "b", "p"],
+                         [np.int64, np.int64, np.int32, np.int64, np.int32, np.int32])
     return run
 
 
@@ -176,16 +227,24 @@ def repeated_runs(texts: DataFrame, length: int, q: int) -> DataFrame:
         F.count("*").alias("c"), F.min(F.struct("k", "b", "start", "n", "off")).alias("one")), "runs")
     whole = open_runs.where("same").select("k", "b", "start", "n").unionByName(
         mixed.join(runs.where("c > 1").select("gram", "run"), ["gram", "run"]).select("k", "b", "start", "n"))
-    wanted = stage(runs.select("one.*", "gram", F.least("c", F.lit(2)).cast("int").alias("weight")).groupBy("k", "b").agg(
-        *[F.collect_list(c).alias(c) for c in ("start", "n", "off", "gram", "weight")]), "wanted")
-    some = texts.select("k", "b", "text").join(wanted, ["k", "b"]).dropDuplicates(["k", "b"]).select(
-        "k", "b", "text", "start", "n", "off", "gram", "weight")
-    windows = stage(some.mapInArrow(_windows(length, q), "gram long, bucket long, weight int, k long, b int, p int"), "windows")
+    lists = [F.collect_list(c).alias(c) for c in ("start", "n", "off", "gram", "weight")]
+    wanted = stage(runs.select("one.*", "gram", F.least("c", F.lit(2)).cast("int").alias("weight"))
+                   .groupBy("k", "b").agg(*lists), "wanted")
+    some = stage(texts.select("k", "b", "text").join(wanted, ["k", "b"]).dropDuplicates(["k", "b"]), "texts")
+    parts = stage(some.select("k", "b", "text", "start", "n", "off", "gram", "weight").mapInArrow(_parts(length, q), PARTS), "parts")
+    cores = stage(parts.groupBy("gram", "core").agg(
+        F.sum("weight").alias("c"), F.min("weight").alias("w"), F.min("hull").alias("lo"), F.max("hull").alias("hi"))
+        .where("c > 1 AND w = 1").select("gram", "core", (F.col("lo") == F.col("hi")).alias("same")), "cores")
+    open_parts = stage(parts.join(cores, ["gram", "core"]).drop("core", "hull"), "open_parts")
+    left = open_parts.where("NOT same").groupBy("k", "b").agg(*lists)
+    windows = stage(some.select("k", "b", "text").join(left, ["k", "b"]).select(
+        "k", "b", "text", "start", "n", "off", "gram", "weight").mapInArrow(_windows(length, q), WINDOWS), "windows")
     many = stage(windows.groupBy("gram", "bucket").agg(F.sum("weight").alias("c"), F.min("weight").alias("w"))
                  .where("c > 1 AND w = 1").select("gram", "bucket"), "many")
     single = windows.where("weight = 1").join(many, ["gram", "bucket"]).select(
         "k", "b", F.col("p").alias("start"), F.lit(1).alias("n"))
-    return stage(whole.unionByName(single).groupBy("k", "b").agg(
+    found = whole.unionByName(open_parts.where("same AND weight = 1").select("k", "b", "start", "n")).unionByName(single)
+    return stage(found.groupBy("k", "b").agg(
         F.collect_list("start").alias("starts"), F.collect_list("n").alias("counts")), "repeats")
 
 

@@ -44,9 +44,21 @@ def test_a_block_holds_at_most_its_size_and_the_halo(panel):
     assert max(sizes) == 56 and len(sizes) == 21
 
 
-def test_frames_longer_than_a_block_are_refused(panel):
-    with pytest.raises(ValueError, match="blocks of at least"):
-        over_blocks(panel({"a": [1.0]}), ["series"], "pos", 11, lambda d, w: d, size=10)
+def test_frames_longer_than_a_block_are_refused_no_more(panel):
+    df = panel({"a": [float(i) for i in range(40)]})
+    got = over_blocks(df, ["series"], "pos", 25, lambda d, w: d.withColumn("x", F.sum("m1").over(w.rowsBetween(-25, 0))), size=10)
+    assert {r["pos"]: r["x"] for r in got.collect()} == {i: float(sum(range(max(0, i - 25), i + 1))) for i in range(40)}
+
+
+@pytest.mark.parametrize("keep", ["pos % 7 <> 3", "pos % 50 > 44", "pos NOT BETWEEN 21 AND 130", "pos > 33 AND pos % 3 = 0"])
+@pytest.mark.parametrize("size", [5, 30, 8192])
+def test_holes_in_the_positions_change_nothing(panel, keep, size):
+    df = panel({"a": [float(i % 17) for i in range(200)], "b": [float(i) for i in range(20)]}).where(keep)
+    w = Window.partitionBy("series").orderBy("pos")
+    want = {(r["series"], r["pos"]): r["x"] for r in df.select(
+        "series", "pos", F.collect_list("m1").over(w.rowsBetween(-12, 0)).alias("x")).collect()}
+    got = over_blocks(df, ["series"], "pos", 12, lambda d, v: d.withColumn("x", F.collect_list("m1").over(v.rowsBetween(-12, 0))), size=size)
+    assert {(r["series"], r["pos"]): r["x"] for r in got.collect()} == want
 
 
 @pytest.mark.parametrize("size", [2, 24, 8192])

@@ -36,13 +36,13 @@ def quantile(values, p):
 
 def quantiles(spark, values, probs, limit):
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    rows = exact_quantiles(df, ["v"], probs, row_limit=limit).collect()
+    rows = exact_quantiles(df, ["v"], probs, accuracy=limit).collect()
     return {r["prob"]: r["value"] for r in rows}
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(values=st.lists(st.one_of(st.floats(-1e6, 1e6), st.sampled_from([0.0, 1e-9, 5.0])), min_size=1, max_size=40),
-       limit=st.sampled_from([0, 10**6]))
+       limit=st.sampled_from([20, 10_000]))
 def test_quantiles_are_exact_either_way(spark, values, limit):
     probs = [0.0, 0.3, 0.5, 1.0]
     got = quantiles(spark, values, probs, limit)
@@ -53,15 +53,32 @@ def test_quantiles_are_exact_either_way(spark, values, limit):
 def test_quantiles_by_narrowing_with_a_heavy_value_and_outliers(spark):
     rng = random.Random(3)
     values = [7.0] * 400 + [rng.gauss(0, 1) for _ in range(600)] + [1e12, -1e12]
-    got = quantiles(spark, values, [0.1, 0.5, 0.9], limit=5)
+    got = quantiles(spark, values, [0.1, 0.5, 0.9], limit=20)
     assert got == pytest.approx({p: quantile(values, p) for p in (0.1, 0.5, 0.9)})
     assert got[0.5] == statistics.median(values)
 
 
+@pytest.mark.parametrize("accuracy", [20, 10_000])
+@pytest.mark.parametrize("values", [
+    [float("nan"), 1.0, 2.0, 4.0], [float("inf"), 1.0, 2.0, 3.0, 4.0, 5.0], [-1.7e308, 0.0, 1.7e308],
+    [10.0 ** k for k in range(-150, 151)], [3.0] * 500 + [4.0, 5.0], [1.0], [None, 2.0, None],
+])
+def test_quantiles_of_hard_columns(spark, values, accuracy):
+    kept = [v for v in values if v is not None and v == v]
+    got = quantiles(spark, values, [0.0, 0.3, 0.5, 0.75], accuracy)
+    assert got == pytest.approx({p: quantile(kept, p) for p in (0.0, 0.3, 0.5, 0.75)}, rel=1e-9)
+
+
+def test_quantiles_without_values_and_with_many_groups(spark):
+    df = spark.range(3000).selectExpr("id % 1000 AS g", "CAST(id AS DOUBLE) AS v", "CAST(NULL AS DOUBLE) AS w")
+    rows = exact_quantiles(df, ["v", "w"], [0.5], by=["g"]).collect()
+    assert {(r["g"], r["column"]): r["value"] for r in rows} == {(g, "v"): g + 1000.0 for g in range(1000)}
+
+
 def test_quantiles_per_group(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("b", 5.0), ("b", None)], "g string, v double")
-    for limit in (0, 100):
-        rows = exact_quantiles(df, ["v"], [0.5], by=["g"], row_limit=limit).collect()
+    for limit in (20, 10_000):
+        rows = exact_quantiles(df, ["v"], [0.5], by=["g"], accuracy=limit).collect()
         assert {r["g"]: r["value"] for r in rows} == {"a": 1.5, "b": 5.0}
 
 

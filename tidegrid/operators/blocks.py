@@ -6,7 +6,8 @@ over ``(series, block)`` instead, where a block is ``BLOCK_ROWS`` consecutive
 positions. Rows a frame needs from the block before are copied in as a *halo*
 and dropped afterwards, so the result is the one of the unsplit window.
 
-A panel has one row per series and step; ``pos`` numbers them without holes.
+Frames count rows, not positions. Where ``pos`` has holes, a block has fewer rows and its
+halo comes from as many blocks before it as are needed; counts of rows per block say which.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from tidegrid.functions.calendar import epoch_seconds
+from tidegrid.operators.lookup import lookup_join
+from tidegrid.sources.stage import stage
 
 BLOCK_ROWS = 8192
 BLOCK = "__block"
@@ -27,14 +30,37 @@ def block_of(pos: str | Column, size: int = BLOCK_ROWS) -> Column:
     return F.floor(pos / size)
 
 
-def with_halo(df: DataFrame, pos: str, before: int, size: int = BLOCK_ROWS) -> DataFrame:
-    """Assign blocks and copy the last ``before`` rows of each block into the next one."""
-    if before > size:
-        raise ValueError(f"a frame of {before} rows needs blocks of at least that size, not {size}")
+def irregular_blocks(df: DataFrame, keys: Sequence[str], pos: str, before: int, size: int = BLOCK_ROWS) -> DataFrame:
+    """Blocks whose rows feed others than just the next one, or that have holes near their end, with those they feed.
+
+    A block feeds every later one that begins fewer than ``before`` rows behind its last row. For
+    a panel without holes nothing is irregular and the table is empty.
+    """
+    counts = df.groupBy(*keys, block_of(pos, size).alias(BLOCK)).agg(
+        F.count(F.lit(1)).alias("__n"), F.min(pos).alias("__lo"))
+    series = Window.partitionBy(*keys)
+    end = F.sum("__n").over(series.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, 0))
+    counts = counts.withColumn("__end", end).withColumn("__start", F.col("__end") - F.col("__n"))
+    near = F.collect_list(F.struct(BLOCK, "__start")).over(series.orderBy("__start").rangeBetween(1, size + before))
+    fed = F.transform(F.filter(near, lambda b: b["__start"] < F.col("__end") + before), lambda b: b[BLOCK])
+    regular = (F.col("__fed") == F.array(F.col(BLOCK) + 1)) & (F.col("__n") == (F.col(BLOCK) + 1) * size - F.col("__lo"))
+    return counts.withColumn("__fed", fed).where((F.size("__fed") > 0) & ~regular).select(*keys, BLOCK, "__fed")
+
+
+def with_halo(df: DataFrame, pos: str, before: int, size: int = BLOCK_ROWS, keys: Sequence[str] = (),
+              irregular: DataFrame | None = None) -> DataFrame:
+    """Assign blocks and copy the last ``before`` rows of each block into the next one.
+
+    ``irregular`` (from :func:`irregular_blocks`) names blocks that are copied whole, into all they feed.
+    """
     own = block_of(pos, size)
     feeds_next = F.pmod(F.col(pos), F.lit(size)) >= size - before
     blocks = F.when(feeds_next, F.array(own, own + 1)).otherwise(F.array(own))
-    return df.withColumn(BLOCK, F.explode(blocks)).withColumn(HALO, F.col(BLOCK) != own)
+    columns = df.columns
+    if irregular is not None:
+        df = lookup_join(df.withColumn(BLOCK, own), irregular, [*keys, BLOCK], salt=pos)
+        blocks = F.when(F.col("__fed").isNotNull(), F.concat(F.array(own), "__fed")).otherwise(blocks)
+    return df.select(*columns, F.explode(blocks).alias(BLOCK)).withColumn(HALO, F.col(BLOCK) != own)
 
 
 def over_blocks(
@@ -44,14 +70,22 @@ def over_blocks(
     before: int,
     build: Callable[[DataFrame, WindowSpec], DataFrame],
     size: int = BLOCK_ROWS,
+    dense: bool = False,
 ) -> DataFrame:
     """Run ``build(df, window)`` per block; frames may reach ``before`` rows back.
 
     Operators that feed each other can be built in one call with the sum of their
-    frame lengths as ``before``: they then share one exchange and one sort.
+    frame lengths as ``before``: they then share one exchange and one sort. A block
+    has at least ``before`` positions. ``dense`` states that ``pos`` has no holes, as
+    when it was numbered just before; without it the rows of each block are counted.
     """
+    size = max(size, before)
     window = Window.partitionBy(*keys, BLOCK).orderBy(pos)
-    done = build(with_halo(df, pos, before, size), window)
+    irregular = None
+    if not dense and before:
+        found = stage(irregular_blocks(df, keys, pos, before, size), "irregular")
+        irregular = None if found.isEmpty() else found
+    done = build(with_halo(df, pos, before, size, keys, irregular), window)
     return done.where(~F.col(HALO)).drop(BLOCK, HALO)
 
 

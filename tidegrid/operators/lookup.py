@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from tidegrid.sources.stage import stage
+
 BROADCAST_ROWS = 200_000
 HOT_ROWS = 4_000_000
 SALTS = 64
@@ -37,14 +39,16 @@ def _salted_join(
 ) -> DataFrame:
     """Shuffle join in which a key with more than ``hot_rows`` rows is split.
 
-    There are at most ``rows / hot_rows`` hot keys, so their list can be broadcast;
-    only their lookup rows are repeated, once per salt.
+    Only the lookup rows of hot keys are repeated, once per salt. The panel is written first, as
+    the count and the join both read it. There are at most ``rows / hot_rows`` hot keys;
+    their list is joined by its measured size.
     """
+    df = stage(df, "lookup_rows")
     hot = (
         df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
         .where(F.col("__rows") > hot_rows).select(*keys, F.lit(True).alias("__hot"))
     )
-    hot = F.broadcast(hot)
+    hot = stage(hot, "hot_keys")
     part = F.pmod(F.hash(*([salt] if salt else df.columns)), F.lit(salts))
     left = df.join(hot, keys, "left").withColumn(
         "__salt", F.when(F.col("__hot"), part).otherwise(F.lit(0))

@@ -64,9 +64,10 @@ def rolling_features(
     pos: str,
     features: Mapping[str, tuple[str, str, int]],
     size: int = BLOCK_ROWS,
+    dense: bool = False,
 ) -> DataFrame:
     """Add every feature of ``{name: (column, kind, n)}``; kinds are those of ``KINDS``."""
     return over_blocks(
         df, keys, pos, reach(features),
-        lambda d, w: d.select("*", *feature_columns(features, w)), size,
+        lambda d, w: d.select("*", *feature_columns(features, w)), size, dense,
     )

@@ -25,6 +25,7 @@ def sliding_windows(
     features: Mapping[str, tuple[str, str, int]] | None = None,
     fill: float | None = None,
     size: int = BLOCK_ROWS,
+    dense: bool = False,
 ) -> DataFrame:
     """One row per target: ``x`` holds the ``window`` rows before it, oldest first.
 
@@ -32,7 +33,7 @@ def sliding_windows(
     series gives as many windows as it has rows beyond the first ``window``.
     ``features`` are row-frame features computed in the same pass: the halo then
     covers both frames, so tensors and their lag features cost one exchange.
-    ``fill`` replaces missing feature cells inside the windows.
+    ``fill`` replaces missing feature cells inside the windows. ``dense``: see ``over_blocks``.
     """
     features = features or {}
 
@@ -42,7 +43,7 @@ def sliding_windows(
         x = F.collect_list("__row").over(w.rowsBetween(-window, -1))
         return d.withColumn("x", x)
 
-    tensors = over_blocks(df, keys, pos, window + reach(features), build, size)
+    tensors = over_blocks(df, keys, pos, window + reach(features), build, size, dense)
     return tensors.where(F.size("x") == window).select(
         *keys, *keep, F.col(pos).alias("target_pos"), F.col(t).alias("target_dt"), "x",
         F.col(target_norm).cast("float").alias("y_norm"),
@@ -62,6 +63,7 @@ def last_step_pairs(
     keep: Sequence[str] = (),
     fill: float | None = None,
     size: int = BLOCK_ROWS,
+    dense: bool = False,
 ) -> DataFrame:
     """The windows' targets with only their last step ``x_last``: what persistence and
     linear models read, without building ``window`` times the data."""
@@ -73,7 +75,7 @@ def last_step_pairs(
             "__full": F.lag(pos, window).over(w).isNotNull(),
         })
 
-    return over_blocks(df, keys, pos, window, build, size).where("__full").select(
+    return over_blocks(df, keys, pos, window, build, size, dense).where("__full").select(
         *keys, *keep, F.col(pos).alias("target_pos"), F.col(t).alias("target_dt"), "x_last",
         F.col(target_norm).cast("float").alias("y_norm"),
         F.col(target_raw).cast("float").alias("y_raw"),
@@ -104,9 +106,10 @@ def split_by_fraction(
 
 
 def persistence(
-    df: DataFrame, keys: Sequence[str], pos: str, y: str, name: str = "pred", size: int = BLOCK_ROWS
+    df: DataFrame, keys: Sequence[str], pos: str, y: str, name: str = "pred", size: int = BLOCK_ROWS,
+    dense: bool = False,
 ) -> DataFrame:
     """Predict each row by the row before it; a series' first row has no prediction."""
     return over_blocks(
-        df, keys, pos, 1, lambda d, w: d.withColumn(name, F.lag(y, 1).over(w)), size
+        df, keys, pos, 1, lambda d, w: d.withColumn(name, F.lag(y, 1).over(w)), size, dense
     )

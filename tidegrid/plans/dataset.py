@@ -64,7 +64,7 @@ def short_windows(clean: DataFrame, spec: PanelSpec, manifest: Manifest) -> Data
     """Tensors of the 24-step variant from a clean panel with a ``split`` column."""
     return sliding_windows(
         with_encodings(clean, spec, manifest), ["split", spec.series], spec.pos, spec.t,
-        manifest.features, manifest.window, spec.target_norm, spec.target,
+        manifest.features, manifest.window, spec.target_norm, spec.target, dense=spec.dense,
     )
 
 
@@ -78,6 +78,7 @@ def long_windows(clean: DataFrame, spec: PanelSpec, manifest: Manifest) -> DataF
     return sliding_windows(
         with_encodings(clean, spec, manifest), ["split", spec.series], spec.pos, spec.t,
         manifest.features, manifest.window, spec.target_norm, spec.target, features=features, fill=0.0,
+        dense=spec.dense,
     )
 
 
@@ -85,7 +86,7 @@ def short_pairs(clean: DataFrame, spec: PanelSpec, manifest: Manifest) -> DataFr
     """Targets with their last input step, for the baselines."""
     return last_step_pairs(
         with_encodings(clean, spec, manifest), ["split", spec.series], spec.pos, spec.t,
-        manifest.features, manifest.window, spec.target_norm, spec.target,
+        manifest.features, manifest.window, spec.target_norm, spec.target, dense=spec.dense,
     )
 
 
@@ -97,19 +98,16 @@ def request_windows(clean: DataFrame, spec: PanelSpec, manifest: Manifest) -> Da
     return sliding_windows(
         with_encodings(clean, spec, manifest), [spec.series], spec.pos, spec.t,
         manifest.features, manifest.window, spec.target_norm, spec.target,
-        features=features, fill=0.0,
+        features=features, fill=0.0, dense=spec.dense,
     )
 
 
 def all_rows_windows(prepared: DataFrame, spec: PanelSpec, manifest: Manifest) -> DataFrame:
-    """Tensors of the all-rows variants: split by target position after windowing, so
-    validation inputs may reach back into train."""
+    """Tensors of the all-rows variants: split by target position, which the rows carry
+    into the windows; validation inputs may reach back into train."""
     lengths = stage(series_lengths(prepared, [spec.series]), "lengths")
-    whole = with_encodings(prepared, spec, manifest)
-    tensors = sliding_windows(
-        whole, [spec.series], spec.pos, spec.t, manifest.features, manifest.window,
-        spec.target_norm, spec.target,
-    )
-    return split_by_fraction(
-        tensors, [spec.series], "target_pos", lengths, spec.val_fraction
+    marked = split_by_fraction(prepared, [spec.series], spec.pos, lengths, spec.val_fraction)
+    return sliding_windows(
+        with_encodings(marked, spec, manifest), [spec.series], spec.pos, spec.t, manifest.features,
+        manifest.window, spec.target_norm, spec.target, keep=["split"], dense=spec.dense,
     )

@@ -30,7 +30,8 @@ def flagship_scores(
     df = interpolate(seen, keys, pos, [y], limit).withColumn("__interpolated", F.col(y))
     df = stage(df, "interpolated")
     season = [*keys, "month", "hour"]
-    df = seasonal_fill(df, stage(fit_seasonal(df, season, [y]), "seasonal"), season, [y], salt=pos)
+    seasonal = stage(fit_seasonal(df, season, [y]), "seasonal")
+    df = stage(seasonal_fill(df, seasonal, season, [y], salt=pos), "season_filled")
     df = fill_scalar(df, one_row(fit_median(df, [y])), [y])
     scored = persistence(df, keys, pos, y, "__pred")
     return scored.groupBy(*keys).agg(
@@ -59,7 +60,7 @@ def score_requests(
     clean = with_encodings(preprocess_apply(rows, fitted, spec), spec, manifest)
     pairs = last_step_pairs(
         clean, [spec.series], spec.pos, spec.t, manifest.features, manifest.window,
-        spec.target_norm, spec.target, fill=0.0,
+        spec.target_norm, spec.target, fill=0.0, dense=spec.dense,
     )
     return _answered(ids, pairs.withColumn("pred", model.predict("x_last")), fitted, spec)
 

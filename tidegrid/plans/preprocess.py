@@ -73,7 +73,7 @@ def preprocess_fit(panel: DataFrame, spec: PanelSpec) -> tuple[DataFrame, Fitted
 
     The order matters: seasonal means include interpolated cells, medians come
     after the seasonal fill, and mean and deviation after all fills. The
-    interpolated panel is staged once, since every fit reads it.
+    interpolated panel is staged, and again after the seasonal fill, since the fits read both.
     """
     keys = ["split", spec.series]
     df = with_calendar_parts(split_at(panel, spec.cutoff, spec.t), spec.t)
@@ -82,7 +82,7 @@ def preprocess_fit(panel: DataFrame, spec: PanelSpec) -> tuple[DataFrame, Fitted
     train = df.where(is_train)
     seasonal = stage(fit_seasonal(train, [spec.series, *spec.season], spec.measures), "seasonal")
     modes = stage(fit_mode(train, [spec.series], spec.wind), "modes") if spec.wind else None
-    df = _season_filled(df, seasonal, spec)
+    df = stage(_season_filled(df, seasonal, spec), "season_filled", ["split"])
     fitted = Fitted(seasonal, modes, one_row(fit_median(df.where(is_train), spec.measures)), {})
     df = _finished(df, fitted, spec)
     fitted.scaler = one_row(fit_scaler(df.where(is_train), spec.measures))
@@ -122,7 +122,7 @@ def prepare_all_rows(
         df = mode_fill(df, modes, keys, spec.wind, salt=spec.pos)
         df = df.withColumns(wind_features(spec.wind, default=0.0))
     df = df.withColumns({**calendar_features(spec.t), **day_of_week_features(spec.t)})
-    df = stage(rolling_features(df, keys, spec.pos, spec.rolling), "features")
+    df = stage(rolling_features(df, keys, spec.pos, spec.rolling, dense=spec.dense), "features")
     cols = [*spec.measures, *spec.rolling]
     if per_series:
         fits = stage(fit_scaler_by_key(df, keys, cols), "scaler")

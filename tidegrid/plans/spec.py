@@ -11,7 +11,8 @@ class PanelSpec:
 
     ``limit`` caps interpolation (``None``: no cap), ``window`` is the number of
     input steps, ``season`` the calendar parts that key the seasonal means.
-    ``longest`` bounds the rows of one series; it is measured if not given.
+    ``longest`` bounds the rows of one series; it is measured if not given. ``dense``
+    states that ``pos`` has no holes, as ``densify`` and ``with_position`` number it.
     """
 
     measures: tuple[str, ...]
@@ -27,6 +28,7 @@ class PanelSpec:
     window: int = 24
     season: tuple[str, ...] = ("month", "hour")
     longest: int | None = None
+    dense: bool = False
     # raw-unit rolling features of the all-rows variants: {name: (column, kind, rows)}
     rolling: dict[str, tuple[str, str, int]] = field(default_factory=dict)
 

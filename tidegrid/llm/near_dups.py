@@ -7,9 +7,10 @@ varies less than with independent hashes. A value of a later step can never beat
 earlier step, so once all slots are filled the search stops; long texts need one step.
 
 Documents with equal sets become one class. Classes that share a band of their signatures are
-candidates. In a bucket, all are compared with its most central member first, and pairs
-already known to be in one component are not compared again; what is left is compared in full,
-so no pair that shares a band is lost. A link counts when the full shingle sets confirm it.
+candidates. In a bucket, all are compared with its most central member, and pairs that this puts into one
+component need no more comparison. For buckets whose members stay in several components, the prefixes
+of their shingle sets say exactly which pairs are still to be compared, so no link between members of a
+bucket is lost and no bucket is written out in pairs. A link counts when the full sets confirm it.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidegrid.llm.components import components
 from tidegrid.llm.shingles import GOLDEN, U, mix, shingle_sets
@@ -112,6 +113,39 @@ def _confirm(size: int, percent: int):
     return run
 
 
+def _tokens(size: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(2).to_pylist()
+            for a, b in in_groups(texts, 1_000_000):
+                sets, counts = shingle_sets(texts[a:b], size)
+                at = pa.array(np.repeat(np.arange(a, b), counts))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(sets.view(np.int64)),
+                                                  pa.array(np.repeat(counts, counts))], ["id", "g", "token", "n"])
+    return run
+
+
+def _prefix_pairs(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Pairs ``a``, ``b`` of different ``g`` that may be similar, found by prefix and position of their rarest shingles.
+
+    Shingles are ordered from the rarest on. Of two similar sets, the first shingle they share stands so far in front in
+    both that enough can follow; a pair without such a shingle can't reach the threshold. Copies of one text
+    that were edited a little too much differ in their rarest shingles, so they meet nobody.
+    """
+    tokens = stage(docs.mapInArrow(_tokens(size), "id long, g long, token long, n long"), "tokens")
+    shared = stage(tokens.groupBy("token").agg(F.count("*").alias("c")).where("c > 1"), "shared_tokens")
+    common = tokens.join(shared, "token")
+    own = Window.partitionBy("id")
+    # shingles that only this set has come first, whatever their order
+    place = F.row_number().over(own.orderBy("c", "token")) - 1 + F.col("n") - F.count("*").over(own)
+    front = common.withColumn("room", F.col("n") - place).where(f"100 * room >= {percent} * n")
+    front = stage(front.select("id", "g", "token", "n", "room"), "prefixes")
+    left, right = (front.select("token", *[F.col(c).alias(c + x) for c in ("id", "g", "n", "room")]) for x in "ab")
+    return left.join(right, "token").where(
+        f"ga < gb AND {100 + percent} * least(rooma, roomb) >= {percent} * (na + nb)").select(
+        F.col("ida").alias("a"), F.col("idb").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, *, percent: int = 75, shingle: int = 5, bands: int = 32, rows: int = 4,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``n_shingles``, ``component_id`` and ``kept`` of every document.
@@ -157,17 +191,14 @@ def near_duplicates(docs: DataFrame, *, percent: int = 75, shingle: int = 5, ban
     links = stage(confirmed(tried), "links")
     groups = components(links)
 
-    # the rest: pairs of a bucket in different components that were not compared with each other yet
-    label = members.join(groups.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "key", "rep", "n", F.coalesce("component", "rep").alias("g"))
-    label = stage(label, "labels")
+    # what the hubs left open: members of a bucket that are in different components
+    label = stage(members.join(groups.withColumnRenamed("node", "rep"), "rep", "left").select(
+        "key", "rep", F.coalesce("component", "rep").alias("g")), "labels")
     mixed = stage(label.groupBy("key").agg(F.min("g").alias("lo"), F.max("g").alias("hi"), F.count("*").alias("c"))
                   .where("lo <> hi AND c > 2").select("key"), "mixed")
     if not mixed.isEmpty():
-        left = stage(label.join(mixed, "key"), "open")
-        right = left.select("key", F.col("rep").alias("b"), F.col("n").alias("m"), F.col("g").alias("h"))
-        more = left.withColumnRenamed("rep", "a").join(right, "key").where(f"g < h AND {similar}").select(
-            "a", "b").distinct()
+        left = stage(label.join(mixed, "key").select("rep", "g").distinct(), "open")
+        more = _prefix_pairs(candidates.join(left.withColumnRenamed("rep", "id"), "id").select("id", "g", "text"), shingle, percent)
         done = tried.select("a", "b").unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
         more = stage(more.join(done, ["a", "b"], "left_anti"), "pairs")
         links = links.unionByName(stage(confirmed(more), "links"))

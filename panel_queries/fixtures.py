@@ -21,7 +21,7 @@ DAILY_CUTOFF = "2000-01-01 00:00:00"
 
 BY_TYPE = PanelSpec(
     measures=tuple(MEASURES), target="m1", wind="wd", cutoff=FORECAST_CUTOFF,
-    rolling=raw_rolling_features("m1", ("m2", "m3")),
+    rolling=raw_rolling_features("m1", ("m2", "m3")), dense=True,
 )
 
 

@@ -78,10 +78,10 @@ def test_grid_has_every_step_once(spark, size):
         "('a', TIMESTAMP_NTZ '2024-01-01 10:00:00', 2.0D), ('b', TIMESTAMP_NTZ '2024-01-01 05:00:00', 3.0D) "
         "AS v(series, t, m1)"
     )
-    common = densify(df, ["series"], "t", 3600, size=size)
+    common = densify(df, ["series"], "t", 3600, span="common", size=size)
     assert common.groupBy("series").count().collect() and common.count() == 16
     assert common.where("m1 IS NOT NULL").count() == 3
-    own = densify(df, ["series"], "t", 3600, span="series", size=size)
+    own = densify(df, ["series"], "t", 3600, size=size)
     assert {r["series"]: r["count"] for r in own.groupBy("series").count().collect()} == {"a": 8, "b": 1}
     first = own.where("pos = 0").select("series", F.hour("t").alias("h")).collect()
     assert {r["series"]: r["h"] for r in first} == {"a": 3, "b": 5}
@@ -104,3 +104,12 @@ def test_time_arithmetic_ignores_the_session_zone(spark, zone):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert tuple(out) == (1711852215, 1709251199, -3600, "2024-03-31 02:00:00", "1969-12-31 23:00:00")
+
+
+def test_rows_between_steps_keep_their_values_and_two_for_a_step_fail(spark):
+    df = spark.createDataFrame([("a", 0, 1.0), ("a", 90, 2.0), ("a", 180, 3.0)], "series string, m int, m1 double").selectExpr(
+        "series", "TIMESTAMP_NTZ '2024-01-01 00:00:00' + INTERVAL '1' MINUTE * m AS t", "m1")
+    rows = {r["pos"]: (str(r["t"]), r["m1"]) for r in densify(df, ["series"]).collect()}
+    assert rows == {0: ("2024-01-01 00:00:00", 1.0), 1: ("2024-01-01 01:00:00", 2.0), 2: ("2024-01-01 02:00:00", None), 3: ("2024-01-01 03:00:00", 3.0)}
+    with pytest.raises(Exception, match="several rows for one step"):
+        densify(df.unionByName(df), ["series"]).collect()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidegrid.functions.errors import huber, mae, mse, rmse
 from tidegrid.operators.blend import align_predictions, blend, blend_grid, blend_mean, seed_mean
@@ -99,9 +100,10 @@ def test_target_time_reads_the_last_context_hour(spark):
 
 
 def test_user_scorer_runs_over_batches(spark):
-    df = spark.createDataFrame([("a", [[1.0, 2.0], [3.0, 4.0]]), ("b", [[5.0, 6.0]])], "id string, x array<array<float>>")
-    out = score_windows_with(df, lambda ws: [w[-1][1] for w in ws], ["id"])
-    assert {r["id"]: r["pred"] for r in out.collect()} == {"a": 4.0, "b": 6.0}
+    df = spark.createDataFrame([("a", [[1.0, 2.0], [3.0, 4.0]]), ("b", [[5.0, None], [7.0, 6.0]])], "id string, x array<array<float>>")
+    out = score_windows_with(df, lambda ws: np.nansum(ws[:, :, 1], axis=1) + ws.shape[2], ["id"])
+    assert {r["id"]: r["pred"] for r in out.collect()} == {"a": 8.0, "b": 8.0}
+    assert score_windows_with(df.where("false"), lambda ws: ws[:, 0, 0], ["id"]).collect() == []
     assert out.schema.simpleString() == "struct<id:string,pred:double>"
 
 
@@ -125,3 +127,31 @@ def test_leaderboard_and_best(spark):
 def test_seed_mean(spark):
     df = spark.createDataFrame([("w1", 1.0), ("w1", 3.0), ("w2", 5.0)], "w string, pred double")
     assert {r["w"]: r["pred"] for r in seed_mean(df, ["w"]).collect()} == {"w1": 2.0, "w2": 5.0}
+
+
+def test_several_predictions_without_an_order_are_refused(spark):
+    ids = spark.createDataFrame([("a", 1)], "id string, k int")
+    preds = spark.createDataFrame([(1, 2.0), (1, 3.0)], "k int, pred double")
+    with pytest.raises(Exception, match="no order"):
+        match_predictions(ids, preds, ["k"], fallback=0.0).collect()
+
+
+def test_hot_requests_are_split_over_tasks(spark):
+    ids = spark.range(3000).selectExpr("id", "CAST(IF(id % 3 = 0, id, 7) AS INT) AS k")
+    preds = spark.range(0, 3000, 2).selectExpr("CAST(id AS INT) AS k", "CAST(id AS DOUBLE) AS pred")
+    plain = {r["id"]: (r["pred"], r["matched"]) for r in match_predictions(ids, preds, ["k"], 0.5).collect()}
+    split = match_predictions(ids, preds, ["k"], 0.5, broadcast_rows=0, hot_rows=500, salts=8)
+    assert {r["id"]: (r["pred"], r["matched"]) for r in split.collect()} == plain and len(plain) == 3000
+
+
+def test_mean_blend_needs_the_same_ids(spark):
+    a = spark.createDataFrame([("x", 1.0), ("y", 2.0)], "id string, pred double")
+    assert {r["id"]: r["pred"] for r in blend_mean(a, a, a.withColumn("pred", F.col("pred") + 3)).collect()} == {"x": 2.0, "y": 3.0}
+    for bad in (a.where("id = 'x'"), a.unionByName(a)):
+        with pytest.raises(Exception, match="not once in every"):
+            blend_mean(a, bad).collect()
+
+
+def test_ridge_without_rows_says_so(spark):
+    with pytest.raises(ValueError, match="no rows"):
+        ridge_fit(spark.createDataFrame([], "x array<double>, y double"), "x", "y")

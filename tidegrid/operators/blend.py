@@ -50,11 +50,14 @@ def blend_grid(
 
 
 def blend_mean(*sets: DataFrame, pred: str = "pred") -> DataFrame:
-    """Equal-weight mean of several sets, not bounded."""
-    rows = sets[0].select("id", pred)
-    for s in sets[1:]:
-        rows = rows.unionByName(s.select("id", pred))
-    return rows.groupBy("id").agg(F.avg(pred).alias(pred))
+    """Equal-weight mean of several sets, not bounded; the job fails unless all hold the same ids once each."""
+    rows = sets[0].select("id", pred, F.lit(0).alias("set"))
+    for i, s in enumerate(sets[1:], 1):
+        rows = rows.unionByName(s.select("id", pred, F.lit(i).alias("set")))
+    complete = (F.count(F.lit(1)) == len(sets)) & (F.count_distinct("set") == len(sets))
+    mean = F.when(complete, F.avg(pred)).otherwise(
+        F.raise_error(F.concat(F.lit("id is not once in every prediction set: "), F.col("id").cast("string"))))
+    return rows.groupBy("id").agg(mean.alias(pred))
 
 
 def seed_mean(preds: DataFrame, keys: Sequence[str], pred: str = "pred") -> DataFrame:

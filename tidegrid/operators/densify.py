@@ -15,7 +15,7 @@ def step_index(t, step_seconds: int):
 
 
 def series_spans(
-    df: DataFrame, keys: Sequence[str], t: str, step_seconds: int, span: str = "common"
+    df: DataFrame, keys: Sequence[str], t: str, step_seconds: int, span: str = "series"
 ) -> DataFrame:
     """First and last step index per series; ``common`` gives every series the overall span."""
     i = step_index(t, step_seconds)
@@ -55,16 +55,26 @@ def densify(
     keys: Sequence[str],
     t: str = "t",
     step_seconds: int = 3600,
-    span: str = "common",
+    span: str = "series",
     spans: DataFrame | None = None,
     pos: str = "pos",
     size: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Left join of ``df`` onto the full grid; adds ``pos``, the step number in the series.
+    """The full grid with the cells of ``df``; adds ``pos``, the step number in the series.
 
-    ``df`` holds one row per series and time, on the grid. ``spans`` (from
-    :func:`series_spans`) may come from a cheaper table than ``df``.
+    ``df`` holds at most one row per series and step; a second one fails the job. A row between
+    two steps belongs to the earlier one, and ``t`` is that step's time. By default a
+    series' grid ends with its own first and last step; ``span="common"`` gives every series
+    the steps of all. ``spans`` (from :func:`series_spans`) may come from a cheaper table than ``df``.
     """
     if spans is None:
         spans = series_spans(df, keys, t, step_seconds, span)
-    return step_grid(spans, keys, t, step_seconds, pos, size).join(df, [*keys, t], "left")
+    values = [c for c in df.columns if c not in keys and c != t]
+    twice = F.raise_error(F.concat(F.lit("several rows for one step of series "),
+                                   F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])))
+    row = F.struct(*values, F.lit(True).alias("__there"))
+    once = F.when(F.count(F.lit(1)) == 1, F.any_value(row)).otherwise(twice)
+    cells = df.groupBy(*keys, step_index(t, step_seconds).alias("__step")).agg(once.alias("__row"))
+    grid = step_grid(spans, keys, t, step_seconds, pos, size).withColumn("__step", step_index(t, step_seconds))
+    return grid.join(cells, [*keys, "__step"], "left").select(
+        *keys, t, pos, *[F.col(f"__row.{c}").alias(c) for c in values])

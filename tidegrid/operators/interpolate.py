@@ -96,13 +96,13 @@ def nearest_valid(
     ``__c_prevp``, ``__c_prevv``, ``__c_nextp``, ``__c_nextv``.
 
     ``longest`` is the row count of the longest series, measured if not given. Series
-    of up to ``size`` rows need no blocks; beyond that the input is staged, because
-    the summaries and the rows both read it.
+    of up to ``size`` rows need no blocks. The input is staged before it is read a second time.
     """
     if longest is None:
+        df = stage(df, "blocks")
         longest = (df.agg(F.max(pos)).first()[0] or 0) + 1
-    levels = levels_for(longest, size)
-    if levels:
+        levels = levels_for(longest, size)
+    elif levels := levels_for(longest, size):
         df = stage(df, "blocks")
     def marked(rows: DataFrame) -> DataFrame:
         return rows.withColumns({

@@ -8,6 +8,8 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidegrid.sources.stage import stage
+
 
 @dataclass(frozen=True)
 class RidgeModel:
@@ -28,8 +30,13 @@ def ridge_fit(df: DataFrame, x: str, y: str, alpha: float = 1.0) -> RidgeModel:
 
     The solver sums one Gram matrix of (features)² numbers over the partitions. Its
     penalty is relative to the mean loss of the standardised target, hence the factor.
+    The pairs are staged, as the factor and the solver both read them.
     """
+    df = stage(df.select(F.col(x).alias("x"), F.col(y).alias("y")), "ridge_pairs")
+    x, y = "x", "y"
     size = df.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(F.col(y).cast("double")).alias("s")).first()
+    if not size["n"]:
+        raise ValueError("there are no rows to fit a ridge model on")
     rows = df.select(
         array_to_vector(F.col(x).cast("array<double>")).alias("features"),
         F.col(y).cast("double").alias("label"),

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidegrid.functions.calendar import timestamp_of
 from tidegrid.functions.scaling import clip_lower
+from tidegrid.operators.lookup import lookup_join
+from tidegrid.sources.stage import stage
 
 
 def score_windows(df: DataFrame, scorer: Callable[[Column], Column], x: str = "x",
@@ -18,28 +21,33 @@ def score_windows(df: DataFrame, scorer: Callable[[Column], Column], x: str = "x
 
 
 def score_windows_with(
-    df: DataFrame, predict: Callable[[pd.Series], Sequence[float]], keep: Sequence[str],
+    df: DataFrame, predict: Callable[[np.ndarray], Sequence[float]], keep: Sequence[str],
     x: str = "x", name: str = "pred",
 ) -> DataFrame:
     """Predictions by a user's function over Arrow batches of windows.
 
-    ``predict`` gets a batch of windows (each a sequence of feature rows) and
+    ``predict`` gets one float32 array ``(windows, steps, features)``, missing cells as NaN, and
     returns one number per window; batch size is Spark's Arrow batch setting.
     """
     wanted = list(keep)
 
-    def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            out = frame[wanted].copy()
-            out[name] = [float(v) for v in predict(frame[x])]
-            yield out
+    def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            windows = batch.column(len(wanted))
+            if not len(windows):
+                continue
+            steps = windows.flatten()
+            cells = steps.flatten().cast(pa.float32()).to_numpy(zero_copy_only=False)
+            shape = len(windows), len(steps) // len(windows), -1
+            pred = np.asarray(predict(cells.reshape(shape)), np.float64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(pred)], [*wanted, name])
 
     narrow = df.select(*wanted, x)
     schema = ", ".join(
         [f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema if f.name != x]
         + [f"`{name}` double"]
     )
-    return narrow.mapInPandas(batches, schema)
+    return narrow.mapInArrow(batches, schema)
 
 
 def target_time(df: DataFrame, name: str = "target_dt") -> DataFrame:
@@ -59,16 +67,22 @@ def target_time(df: DataFrame, name: str = "target_dt") -> DataFrame:
 
 def match_predictions(
     ids: DataFrame, preds: DataFrame, keys: Sequence[str], fallback: float,
-    pred: str = "pred", order: str | None = None,
+    pred: str = "pred", order: str | None = None, **options,
 ) -> DataFrame:
     """Each id with its prediction, or ``fallback`` when none matches.
 
-    Several predictions for a key: the last by ``order`` counts (any, without one).
+    Several predictions for a key: the last by ``order`` counts, of equals the largest; without
+    ``order`` they fail the job. The predictions are staged, then looked up with hot keys
+    split (``options`` of ``lookup_join``), so many requests for one hour spread over tasks.
     """
-    last = F.max_by(pred, order) if order else F.any_value(pred)
+    if order:
+        last = F.max(F.struct(F.col(order).alias("order"), F.col(pred).alias("pred")))["pred"]
+    else:
+        last = F.when(F.count(F.lit(1)) == 1, F.any_value(pred)).otherwise(
+            F.raise_error(F.lit("several predictions for a key and no order among them")))
     unique = preds.groupBy(*keys).agg(last.alias("__pred"), F.lit(True).alias("__found"))
     matched = F.coalesce("__found", F.lit(False))
-    return ids.join(unique, list(keys), "left").select(
+    return lookup_join(ids, stage(unique, "predictions"), list(keys), **options).select(
         *ids.columns,
         F.when(matched, F.col("__pred")).otherwise(F.lit(float(fallback))).alias(pred),
         matched.alias("matched"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-import pandas as pd
+import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from tidegrid.functions.calendar import with_calendar_parts
@@ -67,7 +67,7 @@ def score_requests(
 
 def score_requests_with(
     ids: DataFrame, rows: DataFrame, fitted: Fitted, spec: PanelSpec, manifest: Manifest,
-    predict: Callable[[pd.Series], Sequence[float]],
+    predict: Callable[[np.ndarray], Sequence[float]],
 ) -> DataFrame:
     """The same with a user's function over batches of whole windows."""
     wins = request_windows(preprocess_apply(rows, fitted, spec), spec, manifest)

@@ -27,21 +27,37 @@ def panel_schema(
     return T.StructType([*fields, T.StructField(series, T.StringType())])
 
 
+# What readers of data frames usually take for a missing cell.
+MISSING = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A",
+           "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
+
+
+def _read_csv(spark: SparkSession, path: str, schema: T.StructType, rename: Mapping[str, str] = {}) -> DataFrame:  # noqa: B006
+    """Headed CSV with an explicit schema; missing-value tokens and NaN become NULL in every column.
+
+    Numbers are read as text and cast, since one token in a numeric column would spoil its row.
+    """
+    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
+    raw = spark.read.csv(path, header=True, schema=as_text, enforceSchema=False)
+
+    def cell(f: T.StructField):
+        text = F.trim(F.col(f"`{f.name}`"))
+        value = F.when(~text.isin(MISSING), F.col(f"`{f.name}`") if f.dataType == T.StringType() else text)
+        value = value if f.dataType == T.StringType() else value.cast(f.dataType)
+        return (null_if_nan(value) if f.dataType == T.DoubleType() else value).alias(rename.get(f.name, f.name))
+
+    return raw.select(*[cell(f) for f in schema])
+
+
 def read_panel(
     spark: SparkSession, path: str, schema: T.StructType | None = None,
     rename: Mapping[str, str] = RAW_MEASURES,
 ) -> DataFrame:
-    """Raw hourly CSV with header; ``NA``, empty and NaN cells become NULL.
+    """Raw hourly CSV with header; missing-value tokens, empty and NaN cells become NULL.
 
     With an explicit schema nothing is inferred, and only the columns used are parsed.
     """
-    schema = schema or panel_schema()
-    raw = spark.read.csv(path, header=True, schema=schema, nullValue="NA", enforceSchema=False)
-    return raw.select(*[
-        (null_if_nan(F.col(f"`{f.name}`")) if f.dataType == T.DoubleType() else F.col(f"`{f.name}`"))
-        .alias(rename.get(f.name, f.name))
-        for f in schema
-    ])
+    return _read_csv(spark, path, schema or panel_schema(), rename)
 
 
 def lag_row_schema(
@@ -58,7 +74,8 @@ def lag_row_schema(
 
 
 def read_lag_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.csv(path, header=True, schema=schema, nullValue="NA", enforceSchema=False)
+    """Wide request rows; missing cells, in whatever usual spelling, become NULL."""
+    return _read_csv(spark, path, schema)
 
 
 def write_predictions(df: DataFrame, path: str, pred: str = "pred", target: str = RAW_TARGET,
@@ -70,8 +87,7 @@ def write_predictions(df: DataFrame, path: str, pred: str = "pred", target: str
 
 def read_predictions(spark: SparkSession, path: str, pred: str = "pred", target: str = RAW_TARGET) -> DataFrame:
     schema = T.StructType([T.StructField("id", T.StringType()), T.StructField(target, T.DoubleType())])
-    rows = spark.read.csv(path, header=True, schema=schema, nullValue="NA")
-    return rows.select("id", F.col(f"`{target}`").alias(pred))
+    return _read_csv(spark, path, schema, {target: pred})
 
 
 def write_clean(df: DataFrame, path: str, mode: str = "errorifexists") -> None:

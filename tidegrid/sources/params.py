@@ -5,7 +5,6 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidegrid.operators.compare import merge_metrics
@@ -73,13 +72,17 @@ def load_manifest(spark: SparkSession, path: str) -> Manifest:
     return Manifest(**_read_json(spark, path))
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
     """The newest version of the metric records (empty if nothing was stored)."""
     schema = T.StructType([*METRICS, T.StructField("version", T.IntegerType())])
-    try:
-        stored = spark.read.schema(schema).parquet(path)
-    except AnalysisException:
+    if not _exists(spark, path):
         return spark.createDataFrame([], METRICS)
+    stored = spark.read.schema(schema).parquet(path)
     newest = stored.agg(F.max("version")).scalar()
     return stored.where(F.col("version") == newest).drop("version")
 
@@ -89,10 +92,9 @@ def upsert_metrics(spark: SparkSession, path: str, new: DataFrame) -> DataFrame:
 
     Versions are folders, so readers keep a whole set while one is being written.
     """
-    try:
+    newest = 0
+    if _exists(spark, path):
         newest = spark.read.schema("version int").parquet(path).agg(F.max("version")).first()[0] or 0
-    except AnalysisException:
-        newest = 0
     merged = merge_metrics(read_metrics(spark, path), new.select(*METRICS.names))
     merged.write.parquet(f"{path}/version={newest + 1}")
     return read_metrics(spark, path)

@@ -78,7 +78,7 @@ def daily(spark: SparkSession, sf: str, key: str) -> DataFrame:
         exact_avg("l_quantity").alias("m1"), exact_avg("l_extendedprice").alias("m2"),
         exact_avg("l_discount").alias("m3"),
     )
-    spans = series_spans(items, ["series"], "t", DAY)
+    spans = series_spans(items, ["series"], "t", DAY, "common")
     return densify(cells, ["series"], "t", DAY, spans=spans)
 
 

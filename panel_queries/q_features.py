@@ -15,6 +15,7 @@ from tidegrid.functions.calendar import (
 )
 from tidegrid.functions.encoding import circular_encode, compass_degrees, one_hot, one_hot_auto
 from tidegrid.functions.scaling import clip_lower, feature_frame, fill_residual, null_if_nan
+from tidegrid.sources.stage import stage
 from tidegrid.operators.rolling import rolling_features
 from tidegrid.operators.score import target_time
 from tidegrid.operators.summaries import in_key_order, key_sample
@@ -292,3 +293,13 @@ def diff_daily(spark, sf):
 def rolling_all_in_small_blocks(spark, sf):
     """All features of the 48-step variant in one pass, with blocks of 64 rows."""
     return _rolling(spark, sf, {**LAGS, **MEANS, **STDS, **MAXS}, size=64)
+
+
+@query("rolling_over_holes", "WITH" + sql_daily("l_suppkey") + ", holed AS (SELECT * FROM panel WHERE pos % 7 <> 5), f AS (SELECT series, t, "
+       + ", ".join(f"{_sql_feature(*f)} AS {n}" for n, f in {**LAGS, **MEANS}.items())
+       + f" FROM holed) SELECT series, t, {sql_rounded(list({**LAGS, **MEANS}))} FROM f")
+def rolling_over_holes(spark, sf):
+    """Frames count rows, also where every seventh position is missing, in blocks of 50."""
+    features = {**LAGS, **MEANS}
+    panel = stage(daily(spark, sf, "l_suppkey").where("pos % 7 <> 5"), "holed")
+    return rolling_features(panel, ["series"], "pos", features, size=50).select("series", "t", *rounded(list(features)))

@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from panel_queries.fixtures import (
     FILL_CUTOFF, HOUR, MEASURES, hourly, hourly_cells, sql_clean, sql_columns, sql_hourly,
-    sql_hourly_cells, sql_interpolate, sql_modes, sql_seasonal_filled, sql_split,
+    sql_hourly_cells, sql_interpolate, sql_modes, sql_seasonal_filled, sql_split, daily, table, sql_daily,
 )
 from panel_queries.registry import query, r6, rounded, sql_r6
-from tidegrid.functions.calendar import split_at, with_calendar_parts
+from tidegrid.functions.calendar import floor_to_step, split_at, with_calendar_parts
+from tidegrid.operators.densify import densify
 from tidegrid.operators.blocks import with_position
 from tidegrid.operators.fill import fit_series_means, fill_scalar, mean_fill, mode_fill, seasonal_fill
 from tidegrid.operators.fit import fit_median, fit_mode, fit_seasonal
@@ -221,3 +222,36 @@ def fill_tier_counts_by_user(spark, sf):
     ])
     rows = clean.select("split", F.inline(tiers))
     return rows.groupBy("split", "measure", "tier").agg(F.count(F.lit(1)).alias("cells"))
+
+
+@query(
+    "densify_rows_between_steps",
+    "WITH" + sql_hourly_cells("user_id") + """,
+    first AS (SELECT series, t, min(ts) AS ts FROM (SELECT CAST(user_id AS VARCHAR) AS series, date_trunc('hour', ts) AS t, ts FROM events)
+              GROUP BY series, t),
+    spans AS (SELECT series, min(t) AS lo, max(t) AS hi FROM first GROUP BY series),
+    grid AS (SELECT series, unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS t FROM spans)
+    SELECT g.series, g.t, """ + sql_r6("c.m1") + """ AS m1 FROM grid g LEFT JOIN cells c ON g.series = c.series AND g.t = c.t""",
+)
+def densify_rows_between_steps(spark, sf):
+    """Rows at the time of their first event, not at full hours, keep their cells."""
+    first = table(spark, sf, "events").select(F.col("user_id").cast("string").alias("series"), floor_to_step("ts", HOUR).alias("t"), "ts")
+    first = first.groupBy("series", "t").agg(F.min("ts").alias("ts"))
+    cells = hourly_cells(spark, sf, "user_id").join(first, ["series", "t"]).select("series", F.col("ts").alias("t"), "m1")
+    return densify(stage(cells, "cells"), ["series"], "t", HOUR).select("series", "t", r6("m1").alias("m1"))
+
+
+@query(
+    "seasonal_fill_daily_by_month",
+    "WITH" + sql_daily("l_suppkey") + f""",
+    seasonal AS (SELECT series, month(t) AS month, {sql_columns('avg(@) AS @')} FROM panel GROUP BY ALL)
+    SELECT p.series, p.t, {", ".join(sql_r6(f"coalesce(p.{c}, s.{c}) + 1e-9") + f" AS {c}" for c in MEASURES)}
+    FROM panel p LEFT JOIN seasonal s ON p.series = s.series AND month(p.t) = s.month""",
+)
+def seasonal_fill_daily_by_month(spark, sf):
+    """Seasonal means over months that do vary."""
+    panel = stage(daily(spark, sf, "l_suppkey").withColumn("month", F.month("t")), "panel")
+    seasonal = stage(fit_seasonal(panel, ["series", "month"], MEASURES), "seasonal")
+    filled = seasonal_fill(panel, seasonal, ["series", "month"], MEASURES, salt="pos")
+    # means that end in 5 at the seventh place would round either way, as sums differ in their last bit
+    return filled.select("series", "t", *[r6(F.col(c) + 1e-9).alias(c) for c in MEASURES])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from panel_queries.fixtures import (
-    BY_TYPE, FORECAST_CUTOFF, MEASURES, hourly, sql_clean, sql_columns, sql_hourly, sql_interpolate,
+    BY_TYPE, FORECAST_CUTOFF, MEASURES, hourly, sql_clean, sql_columns, sql_hourly, sql_interpolate, table,
 )
 from panel_queries.q_stats import SQL_PREDICTIONS, predictions
 from panel_queries.registry import query, r6, rounded, sql_r6, sql_rounded
@@ -334,3 +334,20 @@ def fit_blend_weights_on_preds(spark, sf):
     df = predictions(spark, sf)
     fitted = fit_blend_weights(df, ["last", "recent"], "y")
     return fitted.select(*rounded(["last", "recent", "intercept"]))
+
+
+@query(
+    "match_predictions_with_a_hot_hour",
+    """WITH hours AS (SELECT user_id, date_trunc('hour', min(ts)) AS t, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS pred
+                      FROM events GROUP BY user_id),
+    ids AS (SELECT event_id AS id, CASE WHEN event_id % 3 = 0 THEN user_id ELSE 1 END AS user_id FROM events),
+    runs AS (SELECT user_id, pred FROM hours WHERE user_id % 5 <> 2)
+    SELECT id, coalesce(pred, 7.5) AS pred, pred IS NOT NULL AS matched FROM ids LEFT JOIN runs USING (user_id)""",
+)
+def match_predictions_with_a_hot_hour(spark, sf):
+    """Two thirds of all requests ask for one key, which is split; the last of two runs counts."""
+    events = table(spark, sf, "events")
+    ids = events.select(F.col("event_id").alias("id"), F.when(F.col("event_id") % 3 == 0, F.col("user_id")).otherwise(1).alias("user_id"))
+    last = events.groupBy("user_id").agg(F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("pred")).where("user_id % 5 <> 2")
+    runs = last.withColumn("run", F.lit(2)).unionByName(last.select("user_id", (F.col("pred") - 9).alias("pred"), F.lit(1).alias("run")))
+    return match_predictions(ids, runs, ["user_id"], 7.5, order="run", broadcast_rows=0, hot_rows=500, salts=8).select("id", "pred", "matched")

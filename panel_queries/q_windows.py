@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from panel_queries.fixtures import (
     BY_TYPE, FORECAST_CUTOFF, MEASURES, hourly, sql_clean, sql_columns, sql_hourly, sql_interpolate,
@@ -85,6 +85,36 @@ def sliding_windows_in_small_blocks(spark, sf):
     )
 
 
+SQL_HOLES = "pos % 11 NOT IN (3, 4) AND pos NOT BETWEEN 100 AND 180"
+SQL_HOLED_WINDOWS = SQL_FILLED + f""",
+holed AS (SELECT * FROM whole WHERE {SQL_HOLES}),
+wins AS (SELECT series, t AS target_dt, CAST(m1 AS FLOAT) AS y_raw, {_lagged('m1', 24)} AS first_m1,
+         {_lagged('m2', 13)} AS mid_m2, {_lagged('m3', 1)} AS last_m3
+         FROM holed QUALIFY row_number() OVER (PARTITION BY series ORDER BY pos) > 24)
+SELECT series, target_dt, {sql_rounded(['y_raw', 'first_m1', 'mid_m2', 'last_m3'])} FROM wins"""
+
+
+def _holed_windows(spark, sf, **options):
+    panel = stage(filled_by_user(spark, sf).where(SQL_HOLES), "holed")
+    wins = sliding_windows(panel, ["series"], "pos", "t", MEASURES, W, "m1", "m1", **options)
+    return wins.select(
+        "series", "target_dt", r6("y_raw").alias("y_raw"),
+        r6(window_cell("x", 1, 0)).alias("first_m1"), r6(window_cell("x", 12, 1)).alias("mid_m2"),
+        r6(window_cell("x", -1, 2)).alias("last_m3"),
+    )
+
+
+@query("windows_over_holes", SQL_HOLED_WINDOWS)
+def windows_over_holes(spark, sf):
+    """Rows were taken out after numbering: windows still count rows."""
+    return _holed_windows(spark, sf)
+
+
+@query("windows_over_holes_in_small_blocks", SQL_HOLED_WINDOWS)
+def windows_over_holes_in_small_blocks(spark, sf):
+    return _holed_windows(spark, sf, size=30)
+
+
 @query(
     "windows_per_series",
     "WITH" + sql_hourly("user_id", "series")
@@ -423,3 +453,49 @@ def request_rows_to_windows(spark, sf):
         window_cell("x", 3, 4).cast("double").alias("wd_cos"),
         window_cell("x", 3, 17).cast("double").alias("is_view"),
     )
+
+
+REQUEST_ROLLING = {"m1_roll_mean_3": ("m1", "mean", 3), "m1_roll_std_6": ("m1", "std", 6)}
+SQL_PARTS = {"hour": ("hour(@)", 24, 0), "month": ("month(@)", 12, 1), "dow": ("(dayofweek(@) + 6) % 7", 7, 0)}
+
+
+def _sql_circle(part: str, at: str) -> str:
+    value, period, first = SQL_PARTS[part]
+    angle = f"2 * pi() * ({value.replace('@', at)} - {first}) / {period}"
+    return f"{sql_r6(f'sin({angle})', 4)} AS {part}_sin, {sql_r6(f'cos({angle})', 4)} AS {part}_cos"
+
+
+@query(
+    "request_rows_with_calendar",
+    "WITH" + sql_hourly("event_type") + f""",
+    s AS (SELECT {sql_columns('avg(@) AS @_mean, stddev_samp(@) + 1e-8 AS @_std')} FROM panel),
+    v AS (SELECT series, t, pos, wd, {sql_columns('coalesce(CAST(@ AS FLOAT)::DOUBLE, @_mean) AS @, @_mean, @_std')} FROM panel, s),
+    l AS (SELECT {SQL_IDS}, pos, t - INTERVAL 22 HOUR AS step_at, lag(wd, 22) OVER w AS wd,
+                 CAST((lag(m3, 22) OVER w - m3_mean) / m3_std AS FLOAT) AS third_m3,
+                 CAST((avg(m1) OVER (w ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) - (m1_mean + 1)) / (m1_std * 2) AS FLOAT) AS last_mean,
+                 CAST((stddev_pop(m1) OVER (w ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING) - (m1_mean + 2)) / (m1_std * 3) AS FLOAT) AS last_std
+          FROM v WINDOW w AS (PARTITION BY series ORDER BY pos))
+    SELECT id, {sql_rounded(['third_m3', 'last_mean', 'last_std'], 4)},
+           {sql_r6(f'sin(radians(coalesce({SQL_DEGREES}, 0)))', 4)} AS wd_sin, {sql_r6(f'cos(radians(coalesce({SQL_DEGREES}, 0)))', 4)} AS wd_cos,
+           {_sql_circle('hour', 'step_at')}, {_sql_circle('month', 'step_at')}, {_sql_circle('dow', 'step_at')}
+    FROM l WHERE pos >= 24""",
+)
+def request_rows_with_calendar(spark, sf):
+    """Model input with global parameters, lagged wind and calendar parts, and own parameters of each feature."""
+    panel = stage(hourly(spark, sf, "event_type"), "panel")
+    params = panel.agg(*[f(c).alias(c + n) for c in MEASURES for f, n in (
+        (F.avg, "_mean"), (lambda x: F.stddev_samp(x) + 1e-8, "_std"))]).first().asDict()
+    for i, name in enumerate(REQUEST_ROLLING, 1):
+        params[f"{name}_mean"], params[f"{name}_std"] = params["m1_mean"] + i, params["m1_std"] * (i + 1)
+    rows = request_rows(spark, sf, "event_type").withColumn(
+        "t", F.to_timestamp_ntz(F.substring_index("id", "_", -1), F.lit("yyyy-MM-dd HH:mm:ss")))
+    parts = {"hour": F.hour, "month": F.month, "dow": lambda t: (F.dayofweek(t) + 5) % 7}
+    rows = rows.withColumns({f"{p}_lag_{k}": f(F.col("t") - F.expr(f"INTERVAL '{k}' HOUR"))
+                             for p, f in parts.items() for k in range(W, 0, -1)})
+    wind = Window.partitionBy("series").orderBy("pos")  # five short series
+    winds = panel.select(F.col("series").alias("station"), "t", *[
+        F.lag("wd", k).over(wind).alias(f"wd_lag_{k}") for k in range(W, 0, -1)])
+    wins = lag_rows_to_windows(rows.join(winds, ["station", "t"]), MEASURES, REQUEST_ROLLING, VOCAB, W, params=params)
+    cells = {"third_m3": (3, 2), "last_mean": (-1, 11), "last_std": (-1, 12), "wd_sin": (3, 3), "wd_cos": (3, 4),
+             "hour_sin": (3, 5), "hour_cos": (3, 6), "month_sin": (3, 7), "month_cos": (3, 8), "dow_sin": (3, 9), "dow_cos": (3, 10)}
+    return wins.select("id", *[r6(window_cell("x", *at), 4).alias(n) for n, at in cells.items()])

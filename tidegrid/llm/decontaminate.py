@@ -20,6 +20,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
+from tidegrid.llm.batches import small_batches
+
 
 def normalised(texts: pa.Array) -> pa.Array:
     """Small letters and digits, with one blank for all that stands between."""
@@ -191,7 +193,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, *, error_rate: float =
     doc_type = docs.schema[id_col].dataType.simpleString()
     item_type = benchmark.schema[item_col].dataType.simpleString()
     arrow_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[item_type]
-    texts = docs.select(F.col(id_col).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    texts = small_batches(docs).select(F.col(id_col).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     schema = f"doc {doc_type}, item {item_type}, distance int, end long"
     blocks = _blocks(benchmark.select(item_col, item_text), error_rate, spare, min_chars, block_chars)
     found = [texts.mapInArrow(_search(b, arrow_type), schema) for b in blocks]
@@ -203,7 +205,7 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, *, error_rate: f
                          min_chars: int = 32, block_chars: int = 4_000_000, text_col: str = "text",
                          item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """The rows of ``docs``, with all columns, whose text holds no benchmark item (see :func:`contaminations`)."""
-    names = docs.columns
+    names = small_batches(docs).columns
     for b in _blocks(benchmark.select(item_col, item_text), error_rate, spare, min_chars, block_chars):
         docs = docs.mapInArrow(_drop(b, names.index(text_col)), docs.schema)
     return docs

@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from tidegrid.llm.batches import small_batches
 from tidegrid.llm.shingles import U, window_hashes, word_hashes
 from tidegrid.llm.word_encoder import in_groups
 
@@ -235,5 +236,5 @@ def scan_licences(docs: DataFrame, *, max_others: int = 2000, min_similarity: fl
                     pa.array([t[1] for t in top], pa.float64()), pa.array([t[2] for t in top], pa.float64())], names)
 
     id_type = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(
+    return small_batches(docs).select(id_col, text_col).mapInArrow(
         run, f"`{id_col}` {id_type}, n_paragraphs long, n_licensed long, families array<string>, score double, similarity double")

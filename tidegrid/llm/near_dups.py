@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tidegrid.llm.batches import small_batches
 from tidegrid.llm.components import components
 from tidegrid.llm.shingles import GOLDEN, U, mix, shingle_sets
 from tidegrid.llm.word_encoder import in_groups
@@ -160,7 +161,7 @@ def near_duplicates(docs: DataFrame, *, percent: int = 75, shingle: int = 5, ban
     an id are kept, with no component. Other columns are ignored. An empty table gives no rows.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    texts = small_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     signed = stage(texts.mapInArrow(_signatures(bands, rows, shingle),
                                     "id long, n long, d1 long, d2 long, keys array<long>"), "signed")
     full = signed.where("n > 0 AND id IS NOT NULL")

@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tidegrid.llm.batches import small_batches
 from tidegrid.llm.word_encoder import in_groups, shared_encoder, slices
 
 #: doc, start in the document, ids, tokens of the document
@@ -197,7 +198,7 @@ def pack(docs: DataFrame, tokenizer: str, *, capacity: int = 4096, end_id: int =
         if rows[0]:
             yield _batch(rows, id_col, types)
 
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return small_batches(docs).select(id_col, text_col).mapInArrow(run, schema)
 
 
 def _batch(rows: list[list[Any]], id_col: str, id_type: pa.DataType) -> pa.RecordBatch:

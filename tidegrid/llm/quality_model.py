@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from tidegrid.llm.batches import small_batches
 from tidegrid.llm.gam import Gam, fit_gam
 from tidegrid.llm.shingles import shingle_sets, word_hashes
 from tidegrid.llm.word_encoder import in_groups
@@ -83,7 +84,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, *, max_rows: int = 20_000, i
             columns = [batch.column(0), *(pa.array(np.ascontiguousarray(c)) for c in x.T)]
             yield pa.RecordBatch.from_arrays(columns, ["label", *FEATURES])
 
-    found = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id").select(
+    found = small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id").select(
         "label", "text").mapInArrow(run, "label double, " + ", ".join(f"{f} double" for f in FEATURES))
     table = found.toPandas().sort_values(["label", *FEATURES]).to_numpy(float)
     return fit_gam(table[:, 1:], table[:, 0])
@@ -99,7 +100,7 @@ def with_quality(docs: DataFrame, model: Gam, *, text_col: str = "text", score_c
             score = shared.value.score(_rows(batch.column(at).to_pylist()))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], [*batch.schema.names, score_col])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema, T.StructField(score_col, T.DoubleType())]))
+    return small_batches(docs).mapInArrow(run, T.StructType([*docs.schema, T.StructField(score_col, T.DoubleType())]))
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.3, max_rows: int = 20_000,

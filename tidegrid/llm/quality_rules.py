@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from tidegrid.llm.batches import small_batches
 from tidegrid.llm.crf import Crf, fit_crf, viterbi
 from tidegrid.llm.quality_model import held_out
 from tidegrid.llm.shingles import GOLDEN, mix, window_hashes, word_hashes
@@ -159,7 +160,7 @@ def judge_quality(docs: DataFrame, labels: DataFrame, *, min_words: int = 20, ma
                     [batch.column(0).slice(a, b - a), *(pa.array(base[c].astype(np.int64)) for c in counts), pa.array(share)], names)
 
     id_type = docs.schema[id_col].dataType.simpleString()
-    judged = docs.select(id_col, text_col).mapInArrow(
+    judged = small_batches(docs).select(id_col, text_col).mapInArrow(
         run, f"`{id_col}` {id_type}, " + ", ".join(f"{c} long" for c in counts) + ", content_share double")
     failed = (F.col("n_words") < min_words) | (F.col("n_repeat_words") * 100 > max_repeat_percent * F.col("n_words"))
     return judged.withColumn("base_failed", failed).withColumn(

@@ -27,6 +27,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from tidegrid.llm.batches import small_batches
 from tidegrid.llm.shingles import GOLDEN, U, mix, powers, prefix_hashes
 from tidegrid.llm.word_encoder import in_groups
 from tidegrid.sources.stage import stage
@@ -279,7 +280,7 @@ def _cut_rows(docs: DataFrame, length: int, q: int, text_col: str) -> DataFrame:
     if not 0 < q < length:
         raise ValueError("q must be shorter than the strings looked for")
     text = F.coalesce(F.col(text_col), F.lit(""))
-    keyed = docs.select(F.struct(*[F.col(c) for c in docs.columns if c != text_col], F.lit(0).alias("\0")).alias("row"),
+    keyed = small_batches(docs).select(F.struct(*[F.col(c) for c in docs.columns if c != text_col], F.lit(0).alias("\0")).alias("row"),
                         text.alias("text"), F.xxhash64(text).alias("k"), F.octet_length(text).alias("b"))
     repeats = repeated_runs(keyed.where(F.col("b") >= length), length, q)
     joined = keyed.join(repeats, ["k", "b"], "left")

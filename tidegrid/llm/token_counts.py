@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tidegrid.llm.batches import small_batches
 from tidegrid.llm.word_encoder import in_groups, shared_encoder
 
 #: White space that the vocabulary drops: no token holds it or reaches over it.
@@ -107,5 +108,5 @@ def count_tokens(docs: DataFrame, tokenizer: str, *, limit: int = 2048, chunk: i
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(size), pa.array(counts), pa.array(counts > limit)], names)
 
-    return docs.select(id_col, text_col).mapInArrow(
+    return small_batches(docs).select(id_col, text_col).mapInArrow(
         run, f"`{id_col}` {id_type}, n_bytes long, n_tokens long, over_limit boolean")

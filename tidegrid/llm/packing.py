@@ -195,6 +195,7 @@ def pack(docs: DataFrame, tokenizer: str, *, capacity: int = 4096, end_id: int =
             if size >= 500_000:
                 yield _batch(rows, id_col, types)
                 rows, size = [[] for _ in range(7)], 0
+        encoder.forget()
         if rows[0]:
             yield _batch(rows, id_col, types)
 

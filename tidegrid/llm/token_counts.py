@@ -107,6 +107,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, *, limit: int = 2048, chunk: i
             size = np.fromiter((len(t.encode()) for t in texts), np.int64, len(texts))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(size), pa.array(counts), pa.array(counts > limit)], names)
+        encoder.forget()
 
     return small_batches(docs).select(id_col, text_col).mapInArrow(
         run, f"`{id_col}` {id_type}, n_bytes long, n_tokens long, over_limit boolean")

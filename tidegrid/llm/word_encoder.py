@@ -46,7 +46,7 @@ CASED = r"<\||\p{M}"
 class WordEncoder:
     """Encodes texts word by word; the table of known words is bounded and starts afresh when full."""
 
-    def __init__(self, path: str, max_words: int = 800_000, max_chars: int = 24_000_000):
+    def __init__(self, path: str, max_words: int = 400_000, max_chars: int = 12_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks in parallel
         from tokenizers import Tokenizer
 
@@ -55,9 +55,10 @@ class WordEncoder:
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
         self.closes[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.max_words, self.max_chars = max_words, max_chars
-        self._reset()
+        self.forget()
 
-    def _reset(self) -> None:
+    def forget(self) -> None:
+        """Empty the table, which a worker process need not hold between tasks."""
         self.index: dict[str, int] = {}  # word: its place in the two arrays of ranges
         self.start = np.zeros(0, np.int64)
         self.length = np.zeros(0, np.int64)
@@ -101,7 +102,7 @@ class WordEncoder:
         coded = split.flatten().dictionary_encode()
         words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.index) + len(words) > self.max_words or self.chars > self.max_chars:
-            self._reset()
+            self.forget()
         at = self._numbers(words)
         if len(unknown := np.flatnonzero(at < 0)):
             new = [words[i] for i in unknown]
@@ -142,5 +143,5 @@ def in_groups(texts: Sequence[str | None], limit: int = 4_000_000) -> Iterator[t
 
 @lru_cache(maxsize=2)
 def shared_encoder(path: str) -> WordEncoder:
-    """One encoder a worker process: later tasks find its table filled. Results don't depend on it."""
+    """One encoder a worker process, so that the vocabulary is read once."""
     return WordEncoder(path)

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidegrid.llm.batches import small_batches
+from tidegrid.llm.sampling import hashed_sample
 from tidegrid.llm.shingles import U, window_hashes, word_hashes
 from tidegrid.llm.word_encoder import in_groups
 
@@ -200,15 +201,15 @@ def scan_licences(docs: DataFrame, *, max_others: int = 2000, min_similarity: fl
 
     ``families`` lists the families found, in order of name; ``score`` and ``similarity`` are those of the
     surest paragraph, null without one. Paragraphs are lines with a word. The examples of no licence are the
-    first lines of ``max_others`` documents, chosen by a hash of their texts; lines that say licence, copyright
+    first lines of at most ``max_others`` documents, chosen by a hash; lines that say licence, copyright
     or permission are left out of them. A null text is empty. Rows are kept one by one, with equal or
     no ids too; other columns are ignored. An empty table gives no rows.
     """
     line = F.substring_index(F.col(text_col), "\n", 1)
-    others = docs.select(line.alias("line")).where(F.length("line") > 0).where(
-        ~F.lower("line").rlike("licen|copyright|permission|redistribut|warrant")).orderBy(
-        F.xxhash64("line"), "line").limit(max_others).toPandas()["line"]  # bounded by max_others
-    model = docs.sparkSession.sparkContext.broadcast(fit_licences(others.tolist()))
+    lines = docs.select(F.col(id_col).alias("id"), line.alias("line")).where(F.length("line") > 0).where(
+        ~F.lower("line").rlike("licen|copyright|permission|redistribut|warrant"))
+    others = sorted({r["line"] for r in hashed_sample(lines, ["id", "line"], max_others).collect()})
+    model = docs.sparkSession.sparkContext.broadcast(fit_licences(others))
     names = [id_col, "n_paragraphs", "n_licensed", "families", "score", "similarity"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidegrid.llm.batches import small_batches
 from tidegrid.llm.gam import Gam, fit_gam
+from tidegrid.llm.sampling import hashed_sample
 from tidegrid.llm.shingles import shingle_sets, word_hashes
 from tidegrid.llm.word_encoder import in_groups
 
@@ -73,10 +74,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, *, max_rows: int = 20_000, i
     same each time. Only their features reach the driver. Null labels and ids are skipped.
     """
     usable = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & ~held_out(id_col))
-    sample = usable.select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("label")).orderBy(
-        F.xxhash64("id"), "id", "label").limit(max_rows)
-    spark = docs.sparkSession
-    chosen = spark.createDataFrame(sample.toPandas(), sample.schema)  # its size is bounded by max_rows
+    chosen = hashed_sample(usable.select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("label")),
+                           ["id", "label"], max_rows)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 from tidegrid.llm.batches import small_batches
 from tidegrid.llm.crf import Crf, fit_crf, viterbi
 from tidegrid.llm.quality_model import held_out
+from tidegrid.llm.sampling import hashed_sample
 from tidegrid.llm.shingles import GOLDEN, mix, window_hashes, word_hashes
 from tidegrid.llm.word_encoder import in_groups
 
@@ -104,9 +105,8 @@ def fit_line_labels(docs: DataFrame, labels: DataFrame, *, max_docs: int = 4000,
     Only binned features reach the driver. None when there are not both good and bad ones.
     """
     usable = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1) & ~held_out(id_col))
-    sample = usable.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).orderBy(
-        F.xxhash64("id"), "id", "label").limit(max_docs)
-    chosen = docs.sparkSession.createDataFrame(sample.toPandas(), sample.schema)  # bounded by max_docs
+    chosen = hashed_sample(usable.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")),
+                           ["id", "label"], max_docs)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

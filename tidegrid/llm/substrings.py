@@ -25,7 +25,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidegrid.llm.batches import small_batches
 from tidegrid.llm.shingles import GOLDEN, U, mix, powers, prefix_hashes
@@ -100,6 +100,8 @@ def _anchors(length: int, q: int):
 
 #: Starts that are refined together first.
 PART = 16
+#: Parts that the members of a bucket are dealt into.
+SALTS = 256
 PARTS = "gram long, core long, hull long, weight int, k long, b int, start int, n int, off int"
 WINDOWS = "gram long, bucket long, weight int, k long, b int, p int"
 ANCHOR = "k long, b int, gram long, run long, start int, n int, off int"
@@ -217,21 +219,30 @@ def _cut(length: int):
 def repeated_runs(texts: DataFrame, length: int, q: int) -> DataFrame:
     """``k``, ``b``, ``starts`` and ``counts``: for each text with repeats the runs of its repeated starts.
 
-    ``texts`` has a text's key in ``k`` and ``b`` and the text in ``text``; equal texts share a key.
+    ``texts`` has a text's key in ``k`` and ``b`` and the text in ``text``; equal texts share a key, and ``tag``
+    tells them apart as far as it can.
     """
     anchors = stage(texts.select("k", "b", "text").mapInArrow(_anchors(length, q), ANCHOR), "anchors")
     buckets = anchors.groupBy("gram").agg(F.count("*").alias("c"), F.min("run").alias("lo"), F.max("run").alias("hi"))
     buckets = stage(buckets.where("c > 1").select("gram", (F.col("lo") == F.col("hi")).alias("same")), "buckets")
     open_runs = stage(anchors.join(buckets, "gram"), "open")
-    mixed = open_runs.where("NOT same")
+    # neighbours in one of many small parts of a run's bucket already prove that it is repeated; only those
+    # without one there ask the counts of all
+    part = Window.partitionBy("gram", "run", F.pmod(F.xxhash64("k", "start"), F.lit(SALTS)))
+    mixed = stage(open_runs.where("NOT same").withColumn("near", F.count(F.lit(1)).over(part)), "mixed")
     runs = stage(mixed.groupBy("gram", "run").agg(
         F.count("*").alias("c"), F.min(F.struct("k", "b", "start", "n", "off")).alias("one")), "runs")
-    whole = open_runs.where("same").select("k", "b", "start", "n").unionByName(
-        mixed.join(runs.where("c > 1").select("gram", "run"), ["gram", "run"]).select("k", "b", "start", "n"))
+    repeated = runs.where("c > 1").select("gram", "run")
+    columns = ["k", "b", "start", "n"]
+    whole = open_runs.where("same").select(columns).unionByName(mixed.where("near > 1").select(columns)).unionByName(
+        mixed.where("near = 1").join(repeated, ["gram", "run"]).select(columns))
     lists = [F.collect_list(c).alias(c) for c in ("start", "n", "off", "gram", "weight")]
     wanted = stage(runs.select("one.*", "gram", F.least("c", F.lit(2)).cast("int").alias("weight"))
                    .groupBy("k", "b").agg(*lists), "wanted")
-    some = stage(texts.select("k", "b", "text").join(wanted, ["k", "b"]).dropDuplicates(["k", "b"]), "texts")
+    # one row of each wanted text; by its tag, so that the copies of one text spread over many tasks
+    one = wanted.join(texts.groupBy("k", "b").agg(F.min("tag").alias("tag")), ["k", "b"])
+    some = texts.select("k", "b", "tag", "text").join(stage(one, "wanted"), ["k", "b", "tag"])
+    some = stage(some.dropDuplicates(["k", "b", "tag"]).drop("tag"), "texts")
     parts = stage(some.select("k", "b", "text", "start", "n", "off", "gram", "weight").mapInArrow(_parts(length, q), PARTS), "parts")
     cores = stage(parts.groupBy("gram", "core").agg(
         F.sum("weight").alias("c"), F.min("weight").alias("w"), F.min("hull").alias("lo"), F.max("hull").alias("hi"))
@@ -280,9 +291,11 @@ def _cut_rows(docs: DataFrame, length: int, q: int, text_col: str) -> DataFrame:
     if not 0 < q < length:
         raise ValueError("q must be shorter than the strings looked for")
     text = F.coalesce(F.col(text_col), F.lit(""))
-    keyed = small_batches(docs).select(F.struct(*[F.col(c) for c in docs.columns if c != text_col], F.lit(0).alias("\0")).alias("row"),
+    tags = [f.name for f in docs.schema if f.name != text_col and "map<" not in f.dataType.simpleString()]
+    keyed = small_batches(docs).select(F.xxhash64(*tags).alias("tag") if tags else F.lit(0).alias("tag"), F.struct(*[F.col(c) for c in docs.columns if c != text_col], F.lit(0).alias("\0")).alias("row"),
                         text.alias("text"), F.xxhash64(text).alias("k"), F.octet_length(text).alias("b"))
     repeats = repeated_runs(keyed.where(F.col("b") >= length), length, q)
+    keyed = keyed.drop("tag")
     joined = keyed.join(repeats, ["k", "b"], "left")
     hit = F.when(F.col("starts").isNotNull(), F.col("text"))
     cut = joined.withColumn("cut", _cut(length)(hit, "starts", "counts"))

@@ -46,7 +46,7 @@ CASED = r"<\||\p{M}"
 class WordEncoder:
     """Encodes texts word by word; the table of known words is bounded and starts afresh when full."""
 
-    def __init__(self, path: str, max_words: int = 400_000, max_chars: int = 12_000_000):
+    def __init__(self, path: str, max_words: int = 150_000, max_chars: int = 5_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks in parallel
         from tokenizers import Tokenizer
 
@@ -128,7 +128,7 @@ class WordEncoder:
         return np.split(flat, ends[np.cumsum(words) - 1][:-1])
 
 
-def in_groups(texts: Sequence[str | None], limit: int = 4_000_000) -> Iterator[tuple[int, int]]:
+def in_groups(texts: Sequence[str | None], limit: int = 1_000_000) -> Iterator[tuple[int, int]]:
     """Ranges of rows that hold about ``limit`` characters together; a longer text is alone."""
     begin = size = 0
     for i, t in enumerate(texts):

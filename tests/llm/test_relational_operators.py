@@ -15,7 +15,7 @@ from tidegrid.llm.chat import escape, format_chats, loss_text, read_back, unesca
 from tidegrid.llm.components import components, union_find
 from tidegrid.llm.near_dups import near_duplicates, super_minhash
 from tidegrid.llm.shingles import shingle_sets
-from tidegrid.llm.substrings import covered, doubled, grams, remove_repeats, sliding_argmin, without_repeats
+from tidegrid.llm.substrings import covered, doubled, grams, remove_repeats, repeated_runs, sliding_argmin, without_repeats
 from tidegrid.llm.url_filter import filter_urls
 
 WORD = re.compile("[^\x20\x09-\x0D]+")
@@ -162,6 +162,20 @@ def test_remove_repeats_equals_brute_force(spark, length, q, seed):
             assert texts[doc].encode() == kept
 
 
+def test_copies_of_a_text_are_folded_before_their_runs_are_listed(spark):
+    rng = random.Random(12)
+    text, other = ("".join(rng.choice("abcdefgh ") for _ in range(900)) for _ in range(2))
+    rows = [(i, text) for i in range(40)] + [(40, other), (41, other[100:400] + text[300:600] + "x" * 9), (None, text), (None, text)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    keyed = docs.selectExpr("xxhash64(doc_id) AS tag", "text", "xxhash64(text) AS k", "octet_length(text) AS b")
+    lists = {r["b"]: r for r in repeated_runs(keyed.where(F.col("text") != other), 40, 13).collect()}
+    assert (lists[900]["starts"], lists[900]["counts"]) == ([0], [861])
+    assert len(lists[609]["starts"]) == len(set(lists[609]["starts"]))
+    got = [(r["doc_id"], r["n_bytes"], r["begins"], r["ends"], bytes(r["kept"])) for r in
+           remove_repeats(docs, length=40, q=13).collect()]
+    assert sorted(got, key=str) == brute_repeats(rows, 40)
+
+
 def test_remove_repeats_of_an_empty_table(spark):
     assert remove_repeats(spark.createDataFrame([], "doc_id long, text string")).collect() == []
     with pytest.raises(ValueError):

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tidegrid.llm.batches import small_batches
 from tidegrid.llm.shingles import GOLDEN, U, mix, powers, prefix_hashes
 from tidegrid.llm.word_encoder import in_groups
-from tidegrid.sources.stage import stage
+from tidegrid.sources.stage import stage, unstage
 
 _CODE = mix(np.arange(257, 513, dtype=np.uint64) * GOLDEN)
 FAR = U(0xFFFFFFFFFFFFFFFF)
@@ -93,8 +93,8 @@ def _anchors(length: int, q: int):
                     [batch.column(0).take(pa.array(owner + a)), batch.column(1).take(pa.array(owner + a)),
                      pa.array(g[anchor].view(np.int64)), pa.array(run_id.view(np.int64)),
                      pa.array((lo - (ends - size)[owner]).astype(np.int32)), pa.array(count.astype(np.int32)),
-                     pa.array((anchor - lo).astype(np.int32))],
-                    ["k", "b", "gram", "run", "start", "n", "off"])
+                     pa.array((anchor - lo).astype(np.int32)), batch.column(3).take(pa.array(owner + a))],
+                    ["k", "b", "gram", "run", "start", "n", "off", "weight"])
     return run
 
 
@@ -104,7 +104,7 @@ PART = 16
 SALTS = 256
 PARTS = "gram long, core long, hull long, weight int, k long, b int, start int, n int, off int"
 WINDOWS = "gram long, bucket long, weight int, k long, b int, p int"
-ANCHOR = "k long, b int, gram long, run long, start int, n int, off int"
+ANCHOR = "k long, b int, gram long, run long, start int, n int, off int, weight int"
 
 
 def _runs_of_texts(batches: Iterable[pa.RecordBatch], q: int) -> Iterator[tuple]:
@@ -220,27 +220,34 @@ def repeated_runs(texts: DataFrame, length: int, q: int) -> DataFrame:
     """``k``, ``b``, ``starts`` and ``counts``: for each text with repeats the runs of its repeated starts.
 
     ``texts`` has a text's key in ``k`` and ``b`` and the text in ``text``; equal texts share a key, and ``tag``
-    tells them apart as far as it can.
+    tells them apart as far as it can. Each text is looked at once, with a weight of 2 if there are copies of it:
+    such a text is repeated as a whole, and only proves the repeats of others.
     """
-    anchors = stage(texts.select("k", "b", "text").mapInArrow(_anchors(length, q), ANCHOR), "anchors")
-    buckets = anchors.groupBy("gram").agg(F.count("*").alias("c"), F.min("run").alias("lo"), F.max("run").alias("hi"))
+    copies = stage(texts.groupBy("k", "b").agg(
+        F.min("tag").alias("tag"), F.least(F.count("*"), F.lit(2)).cast("int").alias("weight")), "copies")
+    # one row of each text; by its tag, so that the copies of one text spread over many tasks
+    once = texts.join(copies, ["k", "b", "tag"]).dropDuplicates(["k", "b", "tag"])
+    anchors = stage(once.select("k", "b", "text", "weight").mapInArrow(_anchors(length, q), ANCHOR), "anchors")
+    buckets = anchors.groupBy("gram").agg(F.sum("weight").alias("c"), F.min("run").alias("lo"), F.max("run").alias("hi"))
     buckets = stage(buckets.where("c > 1").select("gram", (F.col("lo") == F.col("hi")).alias("same")), "buckets")
     open_runs = stage(anchors.join(buckets, "gram"), "open")
+    unstage(anchors)
     # neighbours in one of many small parts of a run's bucket already prove that it is repeated; only those
     # without one there ask the counts of all
     part = Window.partitionBy("gram", "run", F.pmod(F.xxhash64("k", "start"), F.lit(SALTS)))
-    mixed = stage(open_runs.where("NOT same").withColumn("near", F.count(F.lit(1)).over(part)), "mixed")
+    mixed = stage(open_runs.where("NOT same").withColumn("near", F.sum("weight").over(part)), "mixed")
     runs = stage(mixed.groupBy("gram", "run").agg(
-        F.count("*").alias("c"), F.min(F.struct("k", "b", "start", "n", "off")).alias("one")), "runs")
+        F.sum("weight").alias("c"), F.min(F.struct("k", "b", "start", "n", "off")).alias("one")), "runs")
     repeated = runs.where("c > 1").select("gram", "run")
     columns = ["k", "b", "start", "n"]
-    whole = open_runs.where("same").select(columns).unionByName(mixed.where("near > 1").select(columns)).unionByName(
+    whole = copies.where("weight > 1").select("k", "b", F.lit(0).alias("start"), (F.col("b") - length + 1).alias("n")).unionByName(
+        open_runs.where("same AND weight = 1").select(columns)).unionByName(
+        mixed.where("near > 1 AND weight = 1").select(columns)).unionByName(
         mixed.where("near = 1").join(repeated, ["gram", "run"]).select(columns))
     lists = [F.collect_list(c).alias(c) for c in ("start", "n", "off", "gram", "weight")]
     wanted = stage(runs.select("one.*", "gram", F.least("c", F.lit(2)).cast("int").alias("weight"))
                    .groupBy("k", "b").agg(*lists), "wanted")
-    # one row of each wanted text; by its tag, so that the copies of one text spread over many tasks
-    one = wanted.join(texts.groupBy("k", "b").agg(F.min("tag").alias("tag")), ["k", "b"])
+    one = wanted.join(copies.drop("weight"), ["k", "b"])
     some = texts.select("k", "b", "tag", "text").join(stage(one, "wanted"), ["k", "b", "tag"])
     some = stage(some.dropDuplicates(["k", "b", "tag"]).drop("tag"), "texts")
     parts = stage(some.select("k", "b", "text", "start", "n", "off", "gram", "weight").mapInArrow(_parts(length, q), PARTS), "parts")

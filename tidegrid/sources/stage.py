@@ -57,6 +57,17 @@ def stage(df: DataFrame, name: str = "stage", partition_by: Sequence[str] = ())
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
+def unstage(df: DataFrame) -> None:
+    """Delete the files of a staged table before the end; nothing may read it any more."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        name = folder.rsplit("/", 1)[1]
+        for path in [p for p in _created if p.rsplit("/", 1)[1] == name]:
+            _created.remove(path)
+            path = spark._jvm.org.apache.hadoop.fs.Path(path)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def one_row(df: DataFrame) -> dict[str, Any]:
     """The values of a one-row table of global parameters, for use as literals."""
     rows = df.take(2)

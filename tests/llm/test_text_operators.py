@@ -296,6 +296,18 @@ def test_contaminations_equal_brute_force(spark, docs, empty, block_chars):
     assert contaminations(docs, bench.where("false")).collect() == []
 
 
+def test_short_items_and_signs_are_found(spark):
+    items = [(1, "What is the capital of France?"), (2, "∑ + ∫ = ∮"), (3, "x^2 + y"), (4, " \n"), (5, "a" * 31 + "!"), (6, "?!"), (7, "what is")]
+    texts = [(1, "Quiz:\nwhat is THE capital, of France"), (2, "so ∑  +\n∫ = ∮ holds"), (3, "let x^2+y be"), (4, "what is the capital of Frances"),
+             (5, "so ∑ + ∫ = ∮. "), (6, "b" + "a" * 31), (7, None), (8, "a" * 31), (9, "why?!"), (10, "x2 y")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r[0], r[1]): (r[2], r[3]) for r in contaminations(docs, bench).collect()}
+    assert got == {(1, 1): (0, 34), (1, 7): (0, 12), (2, 2): (0, 12), (3, 3): (0, 9), (4, 7): (0, 7), (8, 5): (0, 31)}
+    kept = {r["doc_id"] for r in without_contaminated(docs, bench).collect()}
+    assert kept == {5, 6, 7, 9, 10}
+
+
 def test_licences(spark, docs, empty):
     rows, want = [], {}
     for f, templates in TEMPLATES.items():

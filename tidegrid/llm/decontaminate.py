@@ -5,6 +5,9 @@ right distances from each other. An automaton finds the exact hits of all pieces
 Places with ``s`` hits of one item on neighbouring diagonals are verified: one machine word
 operation for all rows of the edit matrix a character gives the smallest distance there.
 
+Short items are searched for as they are, between blanks; so are, in the texts as given but for white
+space, items of nothing but signs.
+
 Items come in blocks of bounded size, which tasks get as their query set.
 """
 
@@ -14,6 +17,7 @@ import uuid
 from collections import defaultdict
 from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache, reduce
+from itertools import repeat
 from typing import Any
 
 import pyarrow as pa
@@ -29,6 +33,11 @@ def normalised(texts: pa.Array) -> pa.Array:
     return pc.utf8_trim(pc.replace_substring_regex(low, r"[^\pL\pN\pM]+", " "), " ")
 
 
+def spaced(text: str) -> str:
+    """The text as given, with one blank for all white space, and around it."""
+    return f" {' '.join(text.split())} "
+
+
 def pieces(item: str, count: int) -> list[tuple[int, str]]:
     """``item`` cut into ``count`` pieces of nearly the same length, with their places."""
     ends = [len(item) * i // count for i in range(count + 1)]
@@ -66,24 +75,39 @@ def distance_in(item: str, text: str) -> tuple[int, int]:
 class Matcher:
     """A block of items, ready to be searched for."""
 
-    def __init__(self, items: Sequence[tuple[Any, str]], error_rate: float, spare: int):
-        import ahocorasick
-
-        self.items = [(i, t, int(len(t) * error_rate)) for i, t in items]
+    def __init__(self, items: Sequence[tuple[Any, str, bool]], error_rate: float, spare: int, min_chars: int):
+        self.items = [(i, t, int(len(t) * error_rate)) for i, t, _ in items]
         self.spare = spare
         owners: dict[str, list[tuple[int, int]]] = defaultdict(list)
+        short: dict[str, list[int]] = defaultdict(list)
+        signs: dict[str, list[int]] = defaultdict(list)
         for n, (_, t, k) in enumerate(self.items):
-            for at, piece in pieces(t, k + spare):
-                owners[piece].append((n, at + len(piece)))
-        self.automaton = ahocorasick.Automaton()
-        for piece, own in owners.items():
-            self.automaton.add_word(piece, own)
-        self.automaton.make_automaton()
+            if items[n][2]:
+                signs[f" {t} "].append(n)
+            elif len(t) < min_chars:
+                short[f" {t} "].append(n)
+            else:
+                for at, piece in pieces(t, k + spare):
+                    owners[piece].append((n, at + len(piece)))
+        self.automaton, self.short, self.signs = self._automaton(owners), self._automaton(short), self._automaton(signs)
+
+    @staticmethod
+    def _automaton(owners: dict[str, list]) -> Any:
+        """An automaton of the words, or none without words."""
+        import ahocorasick
+
+        if not owners:
+            return None
+        automaton = ahocorasick.Automaton()
+        for word, own in owners.items():
+            automaton.add_word(word, own)
+        automaton.make_automaton()
+        return automaton
 
     def places(self, text: str) -> Iterator[tuple[int, int, int]]:
         """Item number and the range of the text that may hold it."""
         hits: dict[int, list[int]] = defaultdict(list)
-        for end, own in self.automaton.iter(text):
+        for end, own in self.automaton.iter(text) if self.automaton else ():
             for n, at in own:
                 hits[n].append(end + 1 - at)
         for n, starts in hits.items():
@@ -104,16 +128,26 @@ class Matcher:
             if stop >= 0:
                 yield n, begin, stop
 
-    def find(self, text: str) -> dict[int, tuple[int, int]]:
-        """The items in ``text``, by number: distance and where the match ends."""
+    def find(self, text: str, raw: str = "") -> dict[int, tuple[int, int]]:
+        """The items in ``text``, or for signs in ``raw``, by number: distance and where the match ends."""
         found: dict[int, tuple[int, int]] = {}
         for n, begin, end in self.places(text):
             _, item, k = self.items[n]
             best, at = distance_in(item, text[begin:end])
             if best <= k and (n not in found or best < found[n][0]):
                 found[n] = best, begin + at
+        for automaton, padded in ((self.short, f" {text} "), (self.signs, spaced(raw) if self.signs else "")):
+            for end, own in automaton.iter(padded) if automaton else ():
+                for n in own:
+                    found.setdefault(n, (0, end - 1))
         return found
 
+    def find_all(self, texts: pa.Array) -> Iterator[dict[int, tuple[int, int]]]:
+        """The items in each of the texts as given; null ones are empty."""
+        raws = texts.to_pylist() if self.signs else repeat("")
+        for text, raw in zip(normalised(texts).to_pylist(), raws):
+            yield self.find(text or "", raw or "")
+
 
 @lru_cache(maxsize=2)
 def _matcher(key: str, load: Any) -> Matcher:
@@ -123,8 +157,8 @@ def _matcher(key: str, load: Any) -> Matcher:
 class _Block:
     """A broadcast block of items; equal by key, so a worker builds its automaton once."""
 
-    def __init__(self, broadcast: Any, error_rate: float, spare: int):
-        self.key, self.broadcast, self.how = uuid.uuid4().hex, broadcast, (error_rate, spare)
+    def __init__(self, broadcast: Any, error_rate: float, spare: int, min_chars: int):
+        self.key, self.broadcast, self.how = uuid.uuid4().hex, broadcast, (error_rate, spare, min_chars)
 
     def __hash__(self) -> int:
         return hash(self.key)
@@ -132,7 +166,7 @@ class _Block:
     def __eq__(self, other: object) -> bool:
         return isinstance(other, _Block) and self.key == other.key
 
-    def __call__(self) -> tuple[Any, float, int]:
+    def __call__(self) -> tuple[Any, float, int, int]:
         return self.broadcast.value, *self.how
 
 
@@ -141,8 +175,8 @@ def _search(block: _Block, id_type: pa.DataType):
         matcher = _matcher(block.key, block)
         for batch in batches:
             rows: list[list[Any]] = [[], [], [], []]
-            for i, text in enumerate(normalised(batch.column(1)).to_pylist()):
-                for n, (best, end) in matcher.find(text or "").items():
+            for i, held in enumerate(matcher.find_all(batch.column(1))):
+                for n, (best, end) in held.items():
                     for column, value in zip(rows, (i, matcher.items[n][0], best, end)):
                         column.append(value)
             yield pa.RecordBatch.from_arrays(
@@ -155,8 +189,7 @@ def _drop(block: _Block, column: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = _matcher(block.key, block)
         for batch in batches:
-            texts = normalised(batch.column(column)).to_pylist()
-            yield batch.filter(pa.array([not matcher.find(t or "") for t in texts], pa.bool_()))
+            yield batch.filter(pa.array([not held for held in matcher.find_all(batch.column(column))], pa.bool_()))
     return run
 
 
@@ -166,15 +199,17 @@ def _blocks(items: DataFrame, error_rate: float, spare: int, min_chars: int, blo
     blocks, block, size = [], [], 0
     for key, text in items.where(items[1].isNotNull()).toLocalIterator():
         item = normalised(pa.array([text]))[0].as_py()
-        if len(item) < min_chars:
+        signs = not item
+        item = item or " ".join(text.split())
+        if not item:
             continue
-        block.append((key, item))
+        block.append((key, item, signs))
         size += len(item)
         if size >= block_chars:
-            blocks.append(_Block(context.broadcast(block), error_rate, spare))
+            blocks.append(_Block(context.broadcast(block), error_rate, spare, min_chars))
             block, size = [], 0
     if block:
-        blocks.append(_Block(context.broadcast(block), error_rate, spare))
+        blocks.append(_Block(context.broadcast(block), error_rate, spare, min_chars))
     return blocks
 
 
@@ -185,8 +220,10 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, *, error_rate: float =
 
     An item is held when some part of the text is within ``error_rate`` of the item's length in edits; both are
     taken in small letters, with one blank for anything but letters and digits, and ``match_end`` counts
-    in that form. Null texts are empty. Items of fewer than ``min_chars`` characters are not
-    looked for, as they say too little. Repeated documents or items each give their rows; ids may be null.
+    in that form. Items of fewer than ``min_chars`` characters in that form are held where they stand as they
+    are, as whole words. Items without a letter or digit are held where they stand in the text as given,
+    between white space, any white space being one blank; there ``match_end`` counts in that form. Items of
+    white space only are held by nothing. Null texts are empty. Repeated documents or items each give their rows; ids may be null.
     Other columns are ignored. Empty tables give no rows. Items are searched in blocks of
     ``block_chars`` characters, each one pass over the documents.
     """

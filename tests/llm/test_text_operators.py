@@ -323,6 +323,19 @@ def test_licences(spark, docs, empty):
     assert len(scan_licences(docs).collect()) == docs.count() and scan_licences(empty).collect() == []
 
 
+def test_other_licences_are_unknown_and_long_lines_are_searched(spark):
+    foreign = ["This work is licensed under the GNU Affero General Public License, version 3.", "Released under the BSD 2-Clause License.",
+               "This library is licensed under the GNU Lesser General Public License, version 2.1.", "Licensed under CC BY-NC-SA 4.0.",
+               "Licensed under CC BY-ND 4.0.", "Licensed under the Apache License, Version 1.1.", "Released under the ISC License."]
+    around = "the quiet river walks under amber light " * 100
+    rows = [*enumerate(foreign), (50, f"{around}{TEMPLATES['GPL-3.0'][1]} {around}{TEMPLATES['MIT'][1]}"), (51, around)]
+    rows += [(100 + i, f"The quiet river number {i} walks under amber light.") for i in range(200)]
+    got = {r["doc_id"]: r for r in scan_licences(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i]["families"] for i in range(len(foreign))] == [[]] * len(foreign)
+    assert got[50]["families"] == ["GPL-3.0", "MIT"] and got[50]["n_licensed"] == got[50]["n_paragraphs"] == 1
+    assert all(r["families"] == [] for d, r in got.items() if d >= 51)
+
+
 def test_licence_model_knows_garbled_notices():
     model = fit_licences(["the quiet river walks under amber light"] * 50)
     p = model.probabilities([plain("xx Released under (the) MIT License yy"), "walks under amber light"])

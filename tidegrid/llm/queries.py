@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidegrid.llm.chat import BEGIN, CLOSE, END, PART, ROLE, TEXT, format_chats, loss_text, read_back
+from tidegrid.llm.chat_repair import RESULT, repair_conversations
 from tidegrid.llm.decontaminate import contaminations
+from tidegrid.llm.exact_dups import exact_duplicates
+from tidegrid.llm.filter_audit import audit_filters
 from tidegrid.llm.licenses import scan_licences
 from tidegrid.llm.near_dups import near_duplicates
 from tidegrid.llm.packing import pack
@@ -149,3 +152,167 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence paragraphs of all documents."""
     return scan_licences(table(spark, sf_dir, "documents"))
+
+
+AUDIT_SQL = """
+WITH words AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words
+  FROM documents
+), flags AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), failing AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+         len(words) < 200 AS a, 100 * len(list_distinct(words)) < 50 * len(words) AS b,
+         100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text) AS c,
+         regexp_matches(text, '[#$%&*|]') AS d,
+         coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false) AS e
+  FROM words LEFT JOIN flags USING (doc_id)
+), long AS (
+  SELECT part, good, toxic, list_filter(['A', 'B', 'C', 'D', 'E'], lambda x, i: [a, b, c, d, e][i]) AS fails, count(*) AS n
+  FROM failing GROUP BY ALL
+), letters(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')), orders AS (
+  SELECT v.x || w.x || x.x || y.x || z.x AS filter_order
+  FROM letters v, letters w, letters x, letters y, letters z
+  WHERE len(list_distinct([v.x, w.x, x.x, y.x, z.x])) = 5
+), steps AS (
+  SELECT filter_order, step, filter_order[step] AS own, filter_order[1:step - 1] AS before
+  FROM orders, range(1, 6) AS s(step)
+), sums AS (
+  SELECT part, filter_order, step, own,
+         sum(CASE WHEN NOT gone AND NOT hit THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN NOT gone AND hit THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN gone AND hit THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN fails = [own] THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN NOT gone AND hit AND good THEN n ELSE 0 END) AS good_lost,
+         sum(CASE WHEN NOT gone AND hit AND toxic THEN n ELSE 0 END) AS toxic_lost
+  FROM (SELECT *, list_contains(fails, own) AS hit, len(list_filter(fails, lambda x: contains(before, x))) > 0 AS gone FROM long, steps)
+  GROUP BY part, filter_order, step, own
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM sums
+"""
+
+
+@query("op11_filter_audit", AUDIT_SQL)
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove from each source, in every order."""
+    return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def _crc_table() -> list[int]:
+    """Remainders of all bytes by the reversed polynomial of CRC-32."""
+    table = []
+    for byte in range(256):
+        for _ in range(8):
+            byte = byte >> 1 ^ (0xEDB88320 if byte & 1 else 0)
+        table.append(byte)
+    return table
+
+
+REPAIR_SQL = f"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(list_reduce(
+           list_prepend(4294967295::BIGINT, list_transform(string_split(
+             coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda x: ord(x)::BIGINT)),
+           lambda c, x: xor(c >> 8, {_crc_table()}[(xor(c, x) & 255) + 1])), 4294967295) % 20 AS d
+  FROM conversations
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN d = 4 THEN 'user' ELSE role END AS role,
+         CASE d WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE WHEN d = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM keyed WHERE d <> 0
+), seen AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) > 1 AS again,
+         rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS said
+  FROM damaged
+), ordered AS (
+  SELECT *, dense_rank() OVER (ORDER BY conv_id) AS c, left(role, 1) AS initial,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, again) AS k,
+         said = '' AS blank, said <> '' AND again AS duplicate,
+         said <> '' AND NOT again AND right(said, 1) NOT IN ('.', '!', '?') AS truncated
+  FROM seen
+), facts AS (
+  SELECT *, lag(initial) OVER (PARTITION BY c ORDER BY k) || initial AS pair FROM ordered
+), counts AS (
+  SELECT conv_id, c, max(k) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated,
+         count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM facts GROUP BY conv_id, c
+), leads(p, initial, q) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (3, 'u', 2), (2, 'a', 3)),
+inserts(p, q, price, letters, lines) AS (VALUES
+  (0, 0, 0, '', ''), (1, 1, 0, '', ''), (2, 2, 0, '', ''), (3, 3, 0, '', ''),
+  (0, 2, 5, 'I', chr(10) || 'user:'), (1, 2, 5, 'I', chr(10) || 'user:'), (3, 2, 5, 'I', chr(10) || 'user:'),
+  (2, 3, 5, 'I', chr(10) || 'assistant:'), (0, 3, 10, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'),
+  (1, 3, 10, 'II', chr(10) || 'user:' || chr(10) || 'assistant:')
+), edits AS (
+  SELECT c, k, s.p AS p, s.p AS q, 2 AS price, 'D' AS letter, '' AS line FROM facts, (VALUES (0), (1), (2), (3)) AS s(p)
+  UNION ALL
+  SELECT c, k, l.p, l.q, CASE WHEN truncated THEN 5 ELSE 0 END, 'K', chr(10) || role || ':' || text
+  FROM facts JOIN leads l USING (initial) WHERE NOT blank AND NOT duplicate
+  UNION ALL
+  SELECT c, k, l.p, l.q, CASE WHEN truncated THEN 6 ELSE 1 END, 'R',
+         chr(10) || CASE l.initial WHEN 'u' THEN 'user' ELSE 'assistant' END || ':' || text
+  FROM facts, leads l WHERE l.initial <> 's' AND NOT blank AND NOT duplicate
+), paths AS (
+  SELECT c, 0::BIGINT AS k, q AS state, lpad(price::VARCHAR, 9, '0') || letters AS best, lines
+  FROM counts, inserts WHERE p = 0
+  UNION ALL
+  SELECT c, k, state, min(way) AS best, arg_min(lines, way) AS lines FROM (
+    SELECT e.c, e.k, i.q AS state,
+           lpad((left(t.best, 9)::BIGINT + e.price + i.price)::VARCHAR, 9, '0') || substr(t.best, 10) || e.letter || i.letters AS way,
+           t.lines || e.line || i.lines AS lines
+    FROM paths t JOIN edits e ON e.c = t.c AND e.k = t.k + 1 AND e.p = t.state JOIN inserts i ON i.p = e.q
+  ) GROUP BY c, k, state
+), repaired AS (
+  SELECT c, min(best) AS best, arg_min(lines, best) AS lines
+  FROM paths JOIN counts USING (c) WHERE k = n AND state IN (0, 3) GROUP BY c
+), results AS (SELECT * FROM counts JOIN repaired USING (c))
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(left(best, 9)::BIGINT, 0) AS cost,
+       coalesce(substr(best, 10), '') AS audit, sha256(coalesce(substr(lines, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN results r ON o.conv_id IS NOT DISTINCT FROM r.conv_id
+"""
+
+
+def damaged(chats: DataFrame) -> DataFrame:
+    """Conversation rows with a twentieth each dropped, emptied, cut short, repeated and given the role user."""
+    def known(c: str) -> Column:
+        return F.coalesce(F.col(c).cast("string"), F.lit(" "))
+
+    fate = F.crc32(F.concat(known("conv_id"), F.lit(":"), known("turn"))) % 20
+    rows = chats.select("conv_id", "turn", known("role").alias("role"), known("text").alias("text"), fate.alias("__fate"))
+    text = F.when(F.col("__fate") == 1, "").when(F.col("__fate") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    return rows.where("__fate <> 0").select(
+        "conv_id", "turn", F.when(F.col("__fate") == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"),
+        F.explode(F.when(F.col("__fate") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("__copy"))
+
+
+@query("op12_chat_repair", REPAIR_SQL)
+def op12_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations after damage, repaired at the least cost."""
+    chats = table(spark, sf_dir, "conversations")
+    found = repair_conversations(damaged(chats)).withColumnRenamed("conv_id", "found_id")
+    every = chats.select("conv_id").distinct()
+    none = {"audit": F.lit(""), "repaired_sha256": F.sha2(F.lit(""), 256)}
+    return every.join(found, every["conv_id"].eqNullSafe(found["found_id"]), "left").select(
+        "conv_id", *[F.coalesce(c, none.get(c, F.lit(0).cast("long"))).alias(c) for c in RESULT])
+
+
+EXACT_SQL = """
+WITH lowered AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+)
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id IS NOT DISTINCT FROM max(doc_id) OVER same AS kept, sha256(text) AS text_sha256
+FROM lowered WINDOW same AS (PARTITION BY text)
+"""
+
+
+@query("op13_exact_dedup", EXACT_SQL)
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every document the one that stays of those with its text."""
+    return exact_duplicates(table(spark, sf_dir, "documents"))

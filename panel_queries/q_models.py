@@ -18,6 +18,7 @@ from tidegrid.operators.score import (
     finish_predictions, match_coverage, match_predictions, prediction_summary, score_windows,
     score_windows_with,
 )
+from tidegrid.operators.strided import score_blocks_with
 from tidegrid.operators.windows import last_step_pairs, sliding_windows
 from tidegrid.plans.dataset import Manifest, manifest_long
 from tidegrid.plans.forecast import (
@@ -208,11 +209,38 @@ def score_windows_by_expression(spark, sf):
     SQL_WHOLE + f" SELECT series, target_dt, {sql_r6('mean', 5)} AS pred FROM wins WHERE pos >= 24",
 )
 def score_windows_by_function(spark, sf):
-    """A user's Python model over Arrow batches of windows."""
+    """A user's Python model over windows that are views of the rows."""
+    whole = hourly(spark, sf, "event_type").fillna(0.0, subset=MEASURES)
+    scored = score_blocks_with(whole, ["series"], "pos", "t", MEASURES, W, mean_of_first_feature, dense=True)
+    return scored.select("series", "target_dt", r6("pred", 5).alias("pred"))
+
+
+@query(
+    "score_stored_windows_by_function",
+    SQL_WHOLE + f" SELECT series, target_dt, {sql_r6('mean', 5)} AS pred FROM wins WHERE pos >= 24",
+)
+def score_stored_windows_by_function(spark, sf):
+    """The same model over tensors, as they come from a stored window set."""
     scored = score_windows_with(_tensors(spark, sf), mean_of_first_feature, ["series", "target_dt"])
     return scored.select("series", "target_dt", r6("pred", 5).alias("pred"))
 
 
+@query(
+    "score_blocks_over_holes",
+    "WITH" + sql_hourly("user_id") + f""",
+    holed AS (SELECT series, t, pos, coalesce(m1, 0) AS m1 FROM panel WHERE pos % 11 NOT IN (3, 4) AND pos NOT BETWEEN 100 AND 180),
+    wins AS (SELECT series, t, row_number() OVER w AS r,
+                    avg(CAST(CAST(m1 AS FLOAT) AS DOUBLE)) OVER (w ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING) AS mean
+             FROM holed WINDOW w AS (PARTITION BY series ORDER BY pos))
+    SELECT series, t AS target_dt, {sql_r6('mean', 5)} AS pred FROM wins WHERE r > 24""",
+)
+def score_blocks_over_holes(spark, sf):
+    """Windows count rows, also in small blocks and where positions are missing."""
+    holed = hourly(spark, sf, "user_id").where("pos % 11 NOT IN (3, 4) AND pos NOT BETWEEN 100 AND 180").fillna(0.0, subset=["m1"])
+    scored = score_blocks_with(holed, ["series"], "pos", "t", ["m1"], W, mean_of_first_feature, size=60)
+    return scored.select("series", "target_dt", r6("pred", 5).alias("pred"))
+
+
 SQL_MATCH = SQL_PREDICTIONS + f""",
 ids AS (SELECT series || '_' || strftime(t, '%Y-%m-%d %H:%M:%S') AS id, series, t AS target_dt FROM panel),
 mu AS (SELECT avg(y) AS mean FROM whole),

@@ -10,6 +10,8 @@ from tidegrid.functions.sequences import (
     explode_windows, flatten_window, in_window_rolling, lags_to_sequence, last_step, window_cell,
 )
 from tidegrid.operators.lagrows import lag_rows_to_windows
+from tidegrid.operators.score import score_windows_with
+from tidegrid.operators.strided import score_blocks_with
 from tidegrid.operators.summaries import window_profile
 from tidegrid.operators.windows import (
     persistence, series_lengths, sliding_windows, split_by_fraction,
@@ -137,3 +139,33 @@ def test_wide_rows_need_one_kind_of_parameters(spark):
 def test_lags_to_sequence_is_oldest_first(spark):
     df = spark.createDataFrame([(3.0, None, 1.0)], "q_lag_1 double, q_lag_2 double, q_lag_3 double")
     assert df.select(lags_to_sequence("q", 3, F.lit(9.0))).first()[0] == [1.0, 9.0, 3.0]
+
+
+@pytest.mark.parametrize("size", [9, 8192])
+@pytest.mark.parametrize("dense", [False, True])
+@pytest.mark.parametrize("batch", [2, 1024])
+def test_scores_over_views_are_those_over_tensors(panel, size, dense, batch):
+    df = panel({"a": [float(i % 13) if i % 5 else None for i in range(90)], "b": [float(i) for i in range(7)], "c": [2.0] * 8})
+    df = df.withColumn("m2", F.col("pos").cast("double"))
+    args = (["series"], "pos", "t", ["m1", "m2", "l2"], 7)
+    options = {"features": {"l2": ("m1", "lag", 2)}, "size": size, "dense": dense}
+
+    def weigh(x):
+        steps = np.arange(1, 8)[None, :, None] * np.array([1.0, 10.0, 0.1])
+        return np.nansum(x * steps, axis=(1, 2))
+
+    wins = sliding_windows(df, *args, "m1", "m1", **options)
+    want = {(r["series"], r["target_dt"]): r["pred"] for r in score_windows_with(wins, weigh, ["series", "target_dt"]).collect()}
+    got = score_blocks_with(df, *args, weigh, batch=batch, **options).collect()
+    assert len(want) == 84 and len(got) == 84 and {r["target_pos"] for r in got} == set(range(7, 90))
+    assert {(r["series"], r["target_dt"]): r["pred"] for r in got} == pytest.approx(want)
+
+
+def test_scores_over_views_that_cross_arrow_batches(spark, panel):
+    df = panel({"a": [float(i) for i in range(500)]})
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "11")
+    try:
+        got = score_blocks_with(df, ["series"], "pos", "t", ["m1"], 30, lambda x: x[:, 0, 0] + x[:, -1, 0]).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert {r["target_pos"]: r["pred"] for r in got} == {i: float(i - 30 + i - 1) for i in range(30, 500)}

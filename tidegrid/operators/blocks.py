@@ -3,11 +3,11 @@
 ``Window.partitionBy(series)`` puts a whole series into one task, so one series
 that holds a third of the data stops the job. Every row-frame operator here runs
 over ``(series, block)`` instead, where a block is ``BLOCK_ROWS`` consecutive
-positions. Rows a frame needs from the block before are copied in as a *halo*
+positions. Rows a frame needs from earlier blocks are copied in as a *halo*
 and dropped afterwards, so the result is the one of the unsplit window.
 
-Frames count rows, not positions. Where ``pos`` has holes, a block has fewer rows and its
-halo comes from as many blocks before it as are needed; counts of rows per block say which.
+Frames count rows, not positions, and ``pos`` may have holes. Halos are copied by position, and what holes leave missing
+is found where the rows meet and taken from the same exchange: the input runs once.
 """
 
 from __future__ import annotations
@@ -17,12 +17,11 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from tidegrid.functions.calendar import epoch_seconds
-from tidegrid.operators.lookup import lookup_join
-from tidegrid.sources.stage import stage
 
 BLOCK_ROWS = 8192
 BLOCK = "__block"
 HALO = "__halo"
+HOME = "__home"  # a hash of series and block, by which blocks are dealt out
 
 
 def block_of(pos: str | Column, size: int = BLOCK_ROWS) -> Column:
@@ -30,37 +29,76 @@ def block_of(pos: str | Column, size: int = BLOCK_ROWS) -> Column:
     return F.floor(pos / size)
 
 
-def irregular_blocks(df: DataFrame, keys: Sequence[str], pos: str, before: int, size: int = BLOCK_ROWS) -> DataFrame:
-    """Blocks whose rows feed others than just the next one, or that have holes near their end, with those they feed.
+def with_halo(df: DataFrame, pos: str, before: int, size: int = BLOCK_ROWS) -> DataFrame:
+    """Assign blocks and copy the rows at the last ``before`` positions of each block into the next one."""
+    own = block_of(pos, size)
+    feeds_next = F.pmod(F.col(pos), F.lit(size)) >= size - before
+    blocks = F.when(feeds_next, F.array(own, own + 1)).otherwise(F.array(own))
+    return df.select(*df.columns, F.explode(blocks).alias(BLOCK)).withColumn(HALO, F.col(BLOCK) != own)
 
-    A block feeds every later one that begins fewer than ``before`` rows behind its last row. For
-    a panel without holes nothing is irregular and the table is empty.
-    """
-    counts = df.groupBy(*keys, block_of(pos, size).alias(BLOCK)).agg(
-        F.count(F.lit(1)).alias("__n"), F.min(pos).alias("__lo"))
-    series = Window.partitionBy(*keys)
-    end = F.sum("__n").over(series.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, 0))
-    counts = counts.withColumn("__end", end).withColumn("__start", F.col("__end") - F.col("__n"))
-    near = F.collect_list(F.struct(BLOCK, "__start")).over(series.orderBy("__start").rangeBetween(1, size + before))
-    fed = F.transform(F.filter(near, lambda b: b["__start"] < F.col("__end") + before), lambda b: b[BLOCK])
-    regular = (F.col("__fed") == F.array(F.col(BLOCK) + 1)) & (F.col("__n") == (F.col(BLOCK) + 1) * size - F.col("__lo"))
-    return counts.withColumn("__fed", fed).where((F.size("__fed") > 0) & ~regular).select(*keys, BLOCK, "__fed")
 
+def never(columns: Sequence[str], df: DataFrame) -> Column:
+    """False for every row, which Spark cannot know: it keeps all columns in the exchange below, so that branches share it."""
+    hashed = [f.name for f in df.schema if f.name in columns and "map<" not in f.dataType.simpleString()]
+    return F.bit_count(F.xxhash64(*hashed)) < 0
 
-def with_halo(df: DataFrame, pos: str, before: int, size: int = BLOCK_ROWS, keys: Sequence[str] = (),
-              irregular: DataFrame | None = None) -> DataFrame:
-    """Assign blocks and copy the last ``before`` rows of each block into the next one.
 
-    ``irregular`` (from :func:`irregular_blocks`) names blocks that are copied whole, into all they feed.
+def missing_halo(counts: DataFrame, keys: Sequence[str], before: int) -> DataFrame:
+    """Which rows blocks still need, as ``(HOME, __feeds)``: by source block the targets and the ranks they take.
+
+    ``counts`` holds the own rows (``__n``) and the copied ones (``__have``) of each block. Copies are the last rows
+    in front of a block; where they are fewer than ``before``, older ones are missing. Ranks count from a source's last row. Tails of
+    ``before`` rows at most are enough to find the sources: a range over their running size holds them. Without holes the table is empty.
+    """
+    series = Window.partitionBy(*keys)
+    earlier = series.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    placed = counts.withColumn("__start", F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
+    placed = placed.withColumn("__tails", F.coalesce(F.sum(F.least("__n", F.lit(before))).over(earlier), F.lit(0)))
+    near = series.orderBy("__tails").rangeBetween(1 - 2 * before, -1)
+    sources = F.collect_list(F.struct(HOME, F.struct(*keys, BLOCK).alias("__from"), "__start", "__n")).over(near)
+    need = F.least(F.col("__start"), F.lit(before))
+    short = placed.withColumn("__sources", sources).where(F.col("__have") < need)
+    feeds = short.select(F.col(BLOCK).alias("__to"), "__have", need.alias("__need"), F.col("__start").alias("__at"),
+                         F.inline("__sources"))
+    gap = F.col("__at") - F.col("__start") - F.col("__n")
+    return feeds.select(HOME, F.struct(
+        "__from", "__to", (F.col("__have") - gap).alias("above"), F.least(F.col("__need") - gap, "__n").alias("upto")).alias("__feed")).where(
+        "__feed.upto > 0 AND __feed.upto > __feed.above").groupBy(HOME).agg(F.collect_list("__feed").alias("__feeds"))
+
+
+def with_last_rows(df: DataFrame, keys: Sequence[str], pos: str, before: int, size: int = BLOCK_ROWS) -> DataFrame:
+    """Assign blocks and give each one the last ``before`` rows in front of it, whatever blocks they stand in.
+
+    Rows at the last positions of a block are copied before they are dealt out. Whether that was enough is
+    counted where they meet, block by block; rows that are still missing come from the same exchange, so
+    the input runs once and nothing is counted beforehand. Where nothing is missing, that part ends as an empty table.
     """
+    by, columns = [HOME, *keys, BLOCK], df.columns
     own = block_of(pos, size)
-    feeds_next = F.pmod(F.col(pos), F.lit(size)) >= size - before
-    blocks = F.when(feeds_next, F.array(own, own + 1)).otherwise(F.array(own))
-    columns = df.columns
-    if irregular is not None:
-        df = lookup_join(df.withColumn(BLOCK, own), irregular, [*keys, BLOCK], salt=pos)
-        blocks = F.when(F.col("__fed").isNotNull(), F.concat(F.array(own), "__fed")).otherwise(blocks)
-    return df.select(*columns, F.explode(blocks).alias(BLOCK)).withColumn(HALO, F.col(BLOCK) != own)
+    rows = with_halo(df, pos, before, size).drop(HALO).withColumn(HOME, F.xxhash64(*keys, BLOCK)).repartition(HOME)
+    copied = F.col(BLOCK) != own
+    counts = rows.groupBy(*by).agg(
+        F.count_if(~copied).alias("__n"), F.count_if(copied).alias("__have"),
+        F.max(never(columns, df)).alias("__never"))
+    feeds = missing_halo(counts.where("__n > 0 AND NOT __never"), keys, before)
+    newest = Window.partitionBy(*by).orderBy(F.col(pos).desc())
+    ranked = rows.join(feeds, HOME).withColumn("__rank", F.row_number().over(newest))
+    rank = F.col("__rank")
+    source = F.struct(*keys, BLOCK)  # compared whole, as hashes may meet
+    takers = F.filter("__feeds", lambda f: (f["above"] < rank) & (rank <= f["upto"]) & f["__from"].eqNullSafe(source))
+    more = ranked.select(*columns, F.explode(F.transform(takers, lambda f: f["__to"])).alias(BLOCK))
+    more = more.withColumn(HOME, F.xxhash64(*keys, BLOCK)).repartition(HOME)
+    return rows.withColumn(HALO, copied | never(columns, df)).unionByName(more.withColumn(HALO, ~never(columns, df)))
+
+
+def blocked(df: DataFrame, keys: Sequence[str], pos: str, before: int, size: int = BLOCK_ROWS,
+            dense: bool = False) -> tuple[DataFrame, list[str]]:
+    """Rows with their ``BLOCK`` and whether they are ``HALO``, and the columns by which blocks lie in tasks; see :func:`over_blocks`."""
+    if not before:
+        return df.withColumn(BLOCK, block_of(pos, size)).withColumn(HALO, F.lit(False)), [*keys, BLOCK]
+    if dense:
+        return with_halo(df, pos, before, max(size, before)), [*keys, BLOCK]
+    return with_last_rows(df, keys, pos, before, max(size, before)), [HOME, *keys, BLOCK]
 
 
 def over_blocks(
@@ -77,16 +115,11 @@ def over_blocks(
     Operators that feed each other can be built in one call with the sum of their
     frame lengths as ``before``: they then share one exchange and one sort. A block
     has at least ``before`` positions. ``dense`` states that ``pos`` has no holes, as
-    when it was numbered just before; without it the rows of each block are counted.
+    when it was numbered just before: then nothing is counted.
     """
-    size = max(size, before)
-    window = Window.partitionBy(*keys, BLOCK).orderBy(pos)
-    irregular = None
-    if not dense and before:
-        found = stage(irregular_blocks(df, keys, pos, before, size), "irregular")
-        irregular = None if found.isEmpty() else found
-    done = build(with_halo(df, pos, before, size, keys, irregular), window)
-    return done.where(~F.col(HALO)).drop(BLOCK, HALO)
+    rows, by = blocked(df, keys, pos, before, size, dense)
+    done = build(rows, Window.partitionBy(*by).orderBy(pos))
+    return done.where(~F.col(HALO)).drop(BLOCK, HALO, HOME)
 
 
 def with_position(

@@ -32,24 +32,6 @@ def series_spans(
     )
 
 
-def step_grid(
-    spans: DataFrame, keys: Sequence[str], t: str, step_seconds: int, pos: str = "pos",
-    size: int = BLOCK_ROWS,
-) -> DataFrame:
-    """Grid rows ``(keys, t, pos)``, grown block by block so a long series spreads over tasks."""
-    tasks = int(spans.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    last = F.col("hi") - F.col("lo")
-    blocks = spans.select(
-        *keys, "lo", "hi", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(last / size))).alias(BLOCK)
-    ).repartition(tasks, *keys, BLOCK)
-    first = F.col(BLOCK) * size
-    return blocks.select(
-        *keys, "lo", F.explode(F.sequence(first, F.least(first + (size - 1), last))).alias(pos)
-    ).select(
-        *keys, from_epoch_seconds((F.col("lo") + F.col(pos)) * step_seconds).alias(t), pos
-    )
-
-
 def densify(
     df: DataFrame,
     keys: Sequence[str],
@@ -66,15 +48,32 @@ def densify(
     two steps belongs to the earlier one, and ``t`` is that step's time. By default a
     series' grid ends with its own first and last step; ``span="common"`` gives every series
     the steps of all. ``spans`` (from :func:`series_spans`) may come from a cheaper table than ``df``.
+
+    Blocks of ``size`` steps are dealt out, the grid as one row a block and cells as they are; only there do
+    the steps without a cell grow, so the full panel is never shuffled or joined.
     """
     if spans is None:
         spans = series_spans(df, keys, t, step_seconds, span)
+    home = [*keys, BLOCK]
     values = [c for c in df.columns if c not in keys and c != t]
+    step = step_index(t, step_seconds)
+    cells = df.select(*keys, F.floor(step / size).alias(BLOCK), F.struct(step.alias("__step"), F.struct(*values, F.lit(
+        True).alias("__there")).alias("__row")).alias("__cell")).groupBy(*home).agg(F.collect_list("__cell").alias("__cells"))
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few rows grow to many, which sizes don't show
+    blocks = spans.select(*keys, "lo", "hi", F.explode(F.sequence(
+        F.floor(F.col("lo") / size), F.floor(F.col("hi") / size))).alias(BLOCK)).repartition(tasks, *home)
+    first = F.col(BLOCK) * size
+    begin, end = F.greatest(first, "lo"), F.least(first + (size - 1), "hi")
+    met = blocks.join(cells, home, "left").withColumn(
+        "__cells", F.filter(F.coalesce("__cells", F.array()), lambda c: c["__step"].between(begin, end)))
+    steps = F.transform("__cells", lambda c: c["__step"])
     twice = F.raise_error(F.concat(F.lit("several rows for one step of series "),
                                    F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])))
-    row = F.struct(*values, F.lit(True).alias("__there"))
-    once = F.when(F.count(F.lit(1)) == 1, F.any_value(row)).otherwise(twice)
-    cells = df.groupBy(*keys, step_index(t, step_seconds).alias("__step")).agg(once.alias("__row"))
-    grid = step_grid(spans, keys, t, step_seconds, pos, size).withColumn("__step", step_index(t, step_seconds))
-    return grid.join(cells, [*keys, "__step"], "left").select(
-        *keys, t, pos, *[F.col(f"__row.{c}").alias(c) for c in values])
+    cell = cells.schema["__cells"].dataType.elementType
+    missing = F.transform(F.array_except(F.sequence(begin, end), steps), lambda i: F.struct(
+        i.alias("__step"), F.lit(None).cast(cell["__row"].dataType).alias("__row")))
+    once = F.when(F.size(F.array_distinct(steps)) == F.size(steps), F.concat("__cells", missing)).otherwise(twice)
+    rows = met.select(*home, "lo", F.explode(once).alias("__cell"))
+    return rows.select(
+        *keys, from_epoch_seconds(F.col("__cell.__step") * step_seconds).alias(t), (F.col("__cell.__step") - F.col("lo")).alias(pos),
+        *[F.col(f"__cell.__row.{c}").alias(c) for c in values])

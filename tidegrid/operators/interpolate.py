@@ -6,20 +6,19 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidegrid.operators.blocks import BLOCK, BLOCK_ROWS, block_of
-from tidegrid.sources.stage import stage
+from tidegrid.operators.blocks import BLOCK, BLOCK_ROWS, HALO, block_of, never
 
-# Names of the columns that hold, for a measure, the position and value of the last and
-# of the first valid cell in a group of rows.
-Cells = dict[str, tuple[str, str, str, str]]
-FOUND = ("prevp", "prevv", "nextp", "nextv")
+# Names of the columns that hold, for a measure, the last and the first valid cell of a
+# group of rows, each as a struct of position and value.
+Cells = dict[str, tuple[str, str]]
+FOUND = ("prev", "next")
 
 
 def _name(c: str, part: str) -> str:
     return f"__{c}_{part}"
 
 
-def _neighbours(keys: Sequence[str], order: str, cells: Cells) -> list[Column]:
+def _neighbours(keys: Sequence[str], order: str, cells: Cells) -> dict[str, Column]:
     """Nearest valid cell before and after each row of ``keys``, the row itself excluded.
 
     The look ahead is a second running frame over the reversed order: a frame that is
@@ -28,56 +27,29 @@ def _neighbours(keys: Sequence[str], order: str, cells: Cells) -> list[Column]:
     w = Window.partitionBy(*keys)
     past = w.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     ahead = w.orderBy(F.col(order).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    out = []
-    for c, columns in cells.items():
-        for column, frame, part in zip(columns, (past, past, ahead, ahead), FOUND):
-            out.append(F.last(column, True).over(frame).alias(_name(c, part)))
-    return out
-
-
-def _summary(df: DataFrame, keys: Sequence[str], cells: Cells) -> tuple[DataFrame, Cells]:
-    """First and last valid cell per group; combines map-side, so hot groups stay small."""
-    aggs, names = [], {}
-    for c, (lp, lv, fp, fv) in cells.items():
-        names[c] = tuple(_name(c, p) for p in ("lp", "lv", "fp", "fv"))
-        found = (F.max(lp), F.max_by(lv, lp), F.min(fp), F.min_by(fv, fp))
-        aggs += [f.alias(n) for f, n in zip(found, names[c])]
-    return df.groupBy(*keys).agg(*aggs), names
-
-
-def _outer(df: DataFrame, keys: Sequence[str], order: str, cells: Cells, size: int, levels: int,
-           block: str) -> DataFrame:
-    """Per block, the nearest valid cells outside it, found among the blocks' summaries."""
-    summary, names = _summary(df, [*keys, block], cells)
-    found = _with_nearest(summary, keys, block, names, size, levels - 1)
-    return found.select(*keys, block, *[
-        F.col(_name(c, p)).alias(_name(c, "out_" + p)) for c in cells for p in FOUND
-    ])
-
-
-def _with_nearest(
-    df: DataFrame, keys: Sequence[str], order: str, cells: Cells, size: int, levels: int
-) -> DataFrame:
-    """Add the positions and values of ``FOUND`` for every measure.
+    out = {_name(c, "prev"): F.last(last, True).over(past) for c, (last, _) in cells.items()}
+    return out | {_name(c, "next"): F.last(first, True).over(ahead) for c, (_, first) in cells.items()}
+
+
+def _with_nearest(df: DataFrame, keys: Sequence[str], order: str, cells: Cells, size: int, levels: int) -> DataFrame:
+    """Add the nearest valid cells outside each row of a table of summaries.
 
     Below the top, rows look inside their block; what lies outside comes from the
     same search over the blocks' summaries, ``size`` times fewer rows per level.
     """
     if levels == 0:
-        return df.select("*", *_neighbours(keys, order, cells))
+        return df.withColumns(_neighbours(keys, order, cells))
     block = f"{BLOCK}{levels}"
+    by = [*keys, block]
     grouped = df.withColumn(block, block_of(order, size))
-    outer = _outer(grouped, keys, order, cells, size, levels, block)
-    inner = grouped.select("*", *_neighbours([*keys, block], order, cells))
-    return _combined(inner, outer, [*keys, block], df.columns, cells)
-
-
-def _combined(inner: DataFrame, outer: DataFrame, keys: Sequence[str], kept: Sequence[str],
-              cells: Cells) -> DataFrame:
-    found = [
-        F.coalesce(_name(c, p), _name(c, "out_" + p)).alias(_name(c, p)) for c in cells for p in FOUND
-    ]
-    return inner.join(outer, list(keys), "left").select(*kept, *found)
+    names = {c: (_name(c, "last"), _name(c, "first")) for c in cells}
+    summary = grouped.groupBy(*by).agg(*[
+        f(cell).alias(n) for c, own in cells.items() for f, cell, n in zip((F.max, F.min), own, names[c])])
+    outer = _with_nearest(summary, keys, block, names, size, levels - 1).select(
+        *by, *[F.col(_name(c, p)).alias(_name(c, "out_" + p)) for c in cells for p in FOUND])
+    inner = grouped.withColumns(_neighbours(by, order, cells))
+    return inner.join(outer, by, "left").select(*df.columns, *[
+        F.coalesce(_name(c, p), _name(c, "out_" + p)).alias(_name(c, p)) for c in cells for p in FOUND])
 
 
 def levels_for(longest: int, size: int) -> int:
@@ -88,38 +60,60 @@ def levels_for(longest: int, size: int) -> int:
     return levels
 
 
+def _block_summaries(rows: DataFrame, by: Sequence[str], pos: str, cols: Sequence[str]) -> tuple[DataFrame, Cells]:
+    """First and last position and valid cells per block, combined map-side.
+
+    It asks for all columns, so that this side reads the exchange of the rows.
+    """
+    aggs, names = [F.min(pos).alias("__lo"), F.max(pos).alias("__hi")], {}
+    for c in cols:
+        at = F.when(F.col(c).isNotNull(), F.col(pos))
+        aggs += [F.max(at).alias(f"__{c}_lp"), F.max_by(c, at).alias(f"__{c}_lv"),
+                 F.min(at).alias(f"__{c}_fp"), F.min_by(c, at).alias(f"__{c}_fv")]
+        names[c] = (_name(c, "last"), _name(c, "first"))
+    found = rows.groupBy(*by).agg(*aggs, F.max(never(rows.columns, rows)).alias("__never")).where("NOT __never")
+
+    def cell(c: str, p: str) -> Column:
+        at = F.col(f"__{c}_{p}p")
+        return F.when(at.isNotNull(), F.struct(at.alias("p"), F.col(f"__{c}_{p}v").alias("v")))
+
+    return found.select(*by, "__lo", "__hi", *[
+        cell(c, p).alias(n) for c in cols for p, n in zip("lf", names[c])]), names
+
+
 def nearest_valid(
     df: DataFrame, keys: Sequence[str], pos: str, cols: Sequence[str],
     size: int = BLOCK_ROWS, longest: int | None = None,
 ) -> DataFrame:
     """Add, per column ``c``, the nearest valid cell on both sides of each row:
-    ``__c_prevp``, ``__c_prevv``, ``__c_nextp``, ``__c_nextv``.
+    ``__c_prev`` and ``__c_next``, structs of position ``p`` and value ``v``.
 
-    ``longest`` is the row count of the longest series, measured if not given. Series
-    of up to ``size`` rows need no blocks. The input is staged before it is read a second time.
+    Rows look inside their block. What the blocks before and behind it hold comes in as one row on
+    each side, so nothing is joined to the panel; it is shuffled once, and the summaries of blocks read the same exchange.
+    ``longest``, the row count of the longest series if known, says whether a block is enough, or summaries need
+    blocks of their own.
     """
-    if longest is None:
-        df = stage(df, "blocks")
-        longest = (df.agg(F.max(pos)).first()[0] or 0) + 1
-        levels = levels_for(longest, size)
-    elif levels := levels_for(longest, size):
-        df = stage(df, "blocks")
-    def marked(rows: DataFrame) -> DataFrame:
-        return rows.withColumns({
-            _name(c, "at"): F.when(F.col(c).isNotNull(), F.col(pos)) for c in cols
-        })
-
-    cells = {c: (_name(c, "at"), c, _name(c, "at"), c) for c in cols}
-    block = f"{BLOCK}{levels}"
-    # rows are distributed before helper columns are added, so only the panel is shuffled
+    kept = df.columns
+    cells = {c: (_name(c, "at"), _name(c, "at")) for c in cols}
+    at = {_name(c, "at"): F.when(F.col(c).isNotNull(), F.struct(F.col(pos).alias("p"), F.col(c).alias("v"))) for c in cols}
+    found = [_name(c, p) for c in cols for p in FOUND]
+    levels = 1 if longest is None else levels_for(longest, size)
     if levels == 0:
-        rows = marked(df.repartition(*keys))
-        return rows.select(*df.columns, *_neighbours(keys, pos, cells))
-    grouped = df.withColumn(block, block_of(pos, size))
-    outer = _outer(marked(grouped), keys, pos, cells, size, levels, block)
-    rows = marked(grouped.repartition(*keys, block))
-    inner = rows.select(*df.columns, block, *_neighbours([*keys, block], pos, cells))
-    return _combined(inner, outer, [*keys, block], df.columns, cells)
+        rows = df.repartition(*keys).withColumns(at)  # helper columns are added behind the shuffle
+        return rows.withColumns(_neighbours(keys, pos, cells)).select(*kept, *found)
+    by = [*keys, BLOCK]
+    rows = df.withColumn(BLOCK, block_of(pos, size)).repartition(*by)
+    summary, names = _block_summaries(rows, by, pos, cols)
+    outer = _with_nearest(summary, keys, BLOCK, names, size, levels - 1)
+    marked = rows.withColumns(at).withColumn(HALO, never(rows.columns, rows))
+
+    def border(order: Column, part: str) -> Column:
+        return F.struct(order.alias(pos), *[F.col(_name(c, part)).alias(_name(c, "at")) for c in cols])
+
+    borders = outer.select(*by, F.explode(F.array(
+        border(F.col("__lo") - 1, "prev"), border(F.col("__hi") + 1, "next"))).alias("__border")).select(*by, "__border.*").repartition(*by)
+    both = marked.unionByName(borders.withColumn(HALO, F.lit(True)), allowMissingColumns=True)
+    return both.withColumns(_neighbours(by, pos, cells)).where(~F.col(HALO)).select(*kept, *found)
 
 
 def interpolate(
@@ -143,7 +137,7 @@ def interpolate(
     values, flags = {}, {}
     for c in cols:
         at = F.col(pos)
-        pp, pv, np_, nv = (F.col(_name(c, s)) for s in ("prevp", "prevv", "nextp", "nextv"))
+        pp, pv, np_, nv = (F.col(_name(c, part))[field] for part in FOUND for field in "pv")
         # without a neighbour on one side the slope is NULL and the other side's value is left
         line = F.coalesce(pv + (nv - pv) * (at - pp) / (np_ - pp), nv, pv)
         if limit is not None:
@@ -161,5 +155,5 @@ def fill_edges(df: DataFrame, keys: Sequence[str], pos: str, cols: Sequence[str]
                size: int = BLOCK_ROWS, longest: int | None = None) -> DataFrame:
     """Forward fill, then backward fill."""
     found = nearest_valid(df, keys, pos, cols, size, longest)
-    filled = {c: F.coalesce(F.col(c), F.col(_name(c, "prevv")), F.col(_name(c, "nextv"))) for c in cols}
+    filled = {c: F.coalesce(F.col(c), F.col(_name(c, "prev"))["v"], F.col(_name(c, "next"))["v"]) for c in cols}
     return found.select(*[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns])

@@ -12,6 +12,11 @@ from tidegrid.operators.lookup import lookup_join
 from tidegrid.operators.rolling import feature_columns, reach
 
 
+def _narrow(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Only the named columns, each once: halos hold whole rows."""
+    return df.select(*dict.fromkeys(columns))
+
+
 def sliding_windows(
     df: DataFrame,
     keys: Sequence[str],
@@ -36,6 +41,8 @@ def sliding_windows(
     ``fill`` replaces missing feature cells inside the windows. ``dense``: see ``over_blocks``.
     """
     features = features or {}
+    sources = [c for c, _, _ in features.values()]
+    df = _narrow(df, [*keys, *keep, pos, t, target_norm, target_raw, *sources, *[c for c in manifest if c not in features]])
 
     def build(d, w):
         d = d.select("*", *feature_columns(features, w)) if features else d
@@ -67,6 +74,7 @@ def last_step_pairs(
 ) -> DataFrame:
     """The windows' targets with only their last step ``x_last``: what persistence and
     linear models read, without building ``window`` times the data."""
+    df = _narrow(df, [*keys, *keep, pos, t, target_norm, target_raw, *manifest])
 
     def build(d, w):
         d = d.withColumn("__row", feature_array(manifest, fill))

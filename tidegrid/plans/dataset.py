@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import asdict, dataclass
 
+import numpy as np
 from pyspark.sql import DataFrame
 
 from tidegrid.functions.calendar import calendar_features, day_of_week_features, is_weekend
 from tidegrid.functions.encoding import one_hot, one_hot_names
+from tidegrid.operators.strided import score_blocks_with
 from tidegrid.operators.windows import (
     last_step_pairs, series_lengths, sliding_windows, split_by_fraction,
 )
@@ -90,18 +92,31 @@ def short_pairs(clean: DataFrame, spec: PanelSpec, manifest: Manifest) -> DataFr
     )
 
 
+def _request_features(spec: PanelSpec, manifest: Manifest) -> dict[str, tuple[str, str, int]]:
+    lagged = long_window_features(spec.target_norm, spec.target)
+    return {n: f for n, f in lagged.items() if n in manifest.features}
+
+
 def request_windows(clean: DataFrame, spec: PanelSpec, manifest: Manifest) -> DataFrame:
     """Tensors of either train-fitted variant for scoring: rows of one split, and 0 for
     what no step could fill (an unknown wind direction, for one)."""
-    lagged = long_window_features(spec.target_norm, spec.target)
-    features = {n: f for n, f in lagged.items() if n in manifest.features}
     return sliding_windows(
         with_encodings(clean, spec, manifest), [spec.series], spec.pos, spec.t,
         manifest.features, manifest.window, spec.target_norm, spec.target,
-        features=features, fill=0.0, dense=spec.dense,
+        features=_request_features(spec, manifest), fill=0.0, dense=spec.dense,
     )
 
 
+def request_scores(
+    clean: DataFrame, spec: PanelSpec, manifest: Manifest, predict: Callable[[np.ndarray], Sequence[float]]
+) -> DataFrame:
+    """``(series, target_dt, pred)`` by a function over the same windows, without writing out the tensors."""
+    return score_blocks_with(
+        with_encodings(clean, spec, manifest), [spec.series], spec.pos, spec.t, manifest.features, manifest.window,
+        predict, features=_request_features(spec, manifest), fill=0.0, dense=spec.dense,
+    ).drop("target_pos")
+
+
 def all_rows_windows(prepared: DataFrame, spec: PanelSpec, manifest: Manifest) -> DataFrame:
     """Tensors of the all-rows variants: split by target position, which the rows carry
     into the windows; validation inputs may reach back into train."""

@@ -13,9 +13,9 @@ from tidegrid.operators.fill import fill_scalar, seasonal_fill
 from tidegrid.operators.fit import fit_median, fit_seasonal
 from tidegrid.operators.interpolate import interpolate
 from tidegrid.operators.ridge import RidgeModel, ridge_fit
-from tidegrid.operators.score import finish_predictions, match_predictions, score_windows_with
+from tidegrid.operators.score import finish_predictions, match_predictions
 from tidegrid.operators.windows import last_step_pairs, persistence
-from tidegrid.plans.dataset import Manifest, request_windows, with_encodings
+from tidegrid.plans.dataset import Manifest, request_scores, with_encodings
 from tidegrid.plans.preprocess import Fitted, preprocess_apply
 from tidegrid.plans.spec import PanelSpec
 from tidegrid.sources.stage import one_row, stage
@@ -69,9 +69,8 @@ def score_requests_with(
     ids: DataFrame, rows: DataFrame, fitted: Fitted, spec: PanelSpec, manifest: Manifest,
     predict: Callable[[np.ndarray], Sequence[float]],
 ) -> DataFrame:
-    """The same with a user's function over batches of whole windows."""
-    wins = request_windows(preprocess_apply(rows, fitted, spec), spec, manifest)
-    preds = score_windows_with(wins, predict, [spec.series, "target_dt"])
+    """The same with a user's function over batches of whole windows, which are read as views of the rows."""
+    preds = request_scores(preprocess_apply(rows, fitted, spec), spec, manifest, predict)
     return _answered(ids, preds, fitted, spec)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
@@ -98,6 +99,61 @@ def test_closest_fill_is_the_best_subset_sum():
         assert all(c <= counts[n] for n, c in fill.items())
 
 
+def _without_blanks(kind: str, n: int) -> str:
+    rng = random.Random(kind)
+    chars = {"chinese": "的一是不了人我在有他这为之大来以个中上们到说国和地也子时道出而要于就下得可你年生自会那后能对着事其里所去行过家十用发天如然作方成者多日都三小军二无同么经法当起与好看学进种将还分此心前面又定见只主没公从",
+             "tabs": "abcdefgh\t", "signs": "!?.,;:#$%&*()'-", "digits": "0123456789", "letters": "abcdefghijklmnopqrstuvwxyzéöñ",
+             "quotes": "'stremvld", "marks": "ae\u0301\u0308\u1100\u1161o", "mixed": "ab1!é的'\u0301Z"}[kind]
+    return "".join(rng.choice(chars) for _ in range(n))
+
+
+@pytest.mark.parametrize("kind", ["chinese", "tabs", "signs", "digits", "letters", "quotes", "marks", "mixed"])
+@pytest.mark.parametrize("chunk, overlap", [(60, 8), (400, 50)])
+def test_chunks_without_blanks_equal_whole_encoding(kind, chunk, overlap):
+    tokenizer = Tokenizer.from_file(PATH)
+    text = _without_blanks(kind, 6000)
+    got = np.concatenate(list(resynchronised(tokenizer, text, chunk, overlap)))
+    assert got.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("kind", ["chinese", "signs", "tabs"])
+def test_time_without_blanks_is_linear(kind):
+    tokenizer = Tokenizer.from_file(PATH)
+    text = _without_blanks(kind, 400_000)
+    start = time.perf_counter()
+    whole = len(tokenizer.encode(text, add_special_tokens=False).ids)
+    took = time.perf_counter() - start
+    start = time.perf_counter()
+    assert sum(map(len, resynchronised(tokenizer, text, 16_384, 512))) == whole
+    assert time.perf_counter() - start < 5 * took + 2
+
+
+@pytest.mark.parametrize("lengths", [[3000], range(2049, 4096), range(1500, 1600), range(1, 4096, 7)])
+def test_packer_holds_no_more_than_its_buffer(lengths):
+    bound, packer, held, out = 100_000, Packer(4096), 0, 0
+    lengths = list(lengths)
+    for i in range(400):
+        ids = np.full(lengths[i * 37 % len(lengths)], i, "<u4")
+        out += sum(len(p[2]) for w in packer.add(i, ids, 0, len(ids)) for p in w)
+        if packer.tokens >= bound:
+            for window in [*packer.exact(), *packer.cut(bound // 2)]:
+                assert sum(len(p[2]) for p in window) == 4096
+                out += 4096
+            assert packer.tokens <= bound // 2 + 4096
+        held = max(held, packer.tokens)
+    assert held <= bound + 4096 and out + packer.tokens == sum(lengths[i * 37 % len(lengths)] for i in range(400))
+
+
+def test_the_table_of_words_forgets_its_older_half():
+    encoder, plain = WordEncoder(PATH, max_words=40), Tokenizer.from_file(PATH)
+    rng = random.Random(4)
+    for _ in range(30):
+        text = " ".join("".join(rng.choice("abcdefgh#'") for _ in range(rng.randrange(1, 6))) for _ in range(15))
+        assert encoder.ids([text])[0].tolist() == plain.encode(text, add_special_tokens=False).ids
+        assert len(encoder.index) == len(encoder.length) <= 40
+    assert len(encoder.index) > 15
+
+
 def test_packer_loses_nothing_and_needs_no_padding():
     rng = random.Random(4)
     packer, windows, want = Packer(64), [], {}

@@ -91,10 +91,10 @@ class Packer:
         fill[first] = fill.get(first, 0) + 1
         return fill
 
-    def exact(self) -> Iterator[list[Piece]]:
-        """Windows without slack; what finds no exact fill waits for more rows."""
+    def exact(self, misses: int = 64) -> Iterator[list[Piece]]:
+        """Windows without slack; what finds no exact fill waits for more rows. Ends after so many ``misses``."""
         aside: dict[int, list[Piece]] = {}
-        while self.tokens >= 16 * self.capacity:
+        while self.tokens >= 16 * self.capacity and len(aside) < misses:
             fill = self._fill()
             if sum(length * n for length, n in fill.items()) == self.capacity:
                 for _ in range(min(len(self.rests[length]) // n for length, n in fill.items())):
@@ -107,10 +107,10 @@ class Packer:
             self.rests[length] += own
             self.tokens += length * len(own)
 
-    def rest(self) -> Iterator[list[Piece]]:
-        """The last windows: slack is closed by cutting one more piece; the end becomes powers of two."""
+    def cut(self, upto: int = 0) -> Iterator[list[Piece]]:
+        """Closest windows until at most ``upto`` tokens, or less than a window, are left; slack is closed by cutting one more piece."""
         cap = self.capacity
-        while self.tokens >= cap:
+        while self.tokens >= max(cap, upto + 1):
             window = self._take(self._fill())
             slack = cap - sum(len(p[2]) for p in window)
             while slack:
@@ -121,6 +121,10 @@ class Packer:
                     self.tokens += len(ids) - slack
                 slack -= len(window[-1][2])
             yield window
+
+    def rest(self) -> Iterator[list[Piece]]:
+        """The last windows; the end becomes powers of two."""
+        yield from self.cut()
         left = self._take({length: len(own) for length, own in sorted(self.rests.items(), reverse=True)})
         size = sum(len(p[2]) for p in left)
         while size:
@@ -148,7 +152,8 @@ def pack(docs: DataFrame, tokenizer: str, *, capacity: int = 4096, end_id: int =
     Only the last sequences of a task are shorter than ``capacity``, and those hold a power of two, so
     that no sequence needs padding. A null or empty text is the end token alone. Rows with the
     same or no id are documents of their own. Other columns are ignored. An empty table gives no rows.
-    A task holds ``buffer_tokens`` ids, one document's text and its ids at a time. Sequence
+    A task holds ``buffer_tokens`` ids, one document's text and its ids at a time: where exact fills leave more than half of
+    them, the closest ones go out and slack is closed by cutting. Sequence
     ids start with the partition's number; they repeat on a rerun when its rows come in the same order.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
@@ -180,6 +185,7 @@ def pack(docs: DataFrame, tokenizer: str, *, capacity: int = 4096, end_id: int =
                 yield from packer.add(doc, whole, 0, len(whole))
                 if packer.tokens >= buffer_tokens:
                     yield from packer.exact()
+                    yield from packer.cut(buffer_tokens // 2)
             yield from packer.exact()
             yield from packer.rest()
 
@@ -195,7 +201,6 @@ def pack(docs: DataFrame, tokenizer: str, *, capacity: int = 4096, end_id: int =
             if size >= 500_000:
                 yield _batch(rows, id_col, types)
                 rows, size = [[] for _ in range(7)], 0
-        encoder.forget()
         if rows[0]:
             yield _batch(rows, id_col, types)
 

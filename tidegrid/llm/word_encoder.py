@@ -44,7 +44,10 @@ CASED = r"<\||\p{M}"
 
 
 class WordEncoder:
-    """Encodes texts word by word; the table of known words is bounded and starts afresh when full."""
+    """Encodes texts word by word. The table of known words is bounded; when it is full, the older half goes.
+
+    It outlives a task, as the next one of the worker process meets the same words.
+    """
 
     def __init__(self, path: str, max_words: int = 150_000, max_chars: int = 5_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks in parallel
@@ -55,16 +58,21 @@ class WordEncoder:
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
         self.closes[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.max_words, self.max_chars = max_words, max_chars
-        self.forget()
-
-    def forget(self) -> None:
-        """Empty the table, which a worker process need not hold between tasks."""
         self.index: dict[str, int] = {}  # word: its place in the two arrays of ranges
         self.start = np.zeros(0, np.int64)
         self.length = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
         self.chars = 0
 
+    def forget(self, words: int | None = None) -> None:
+        """Drop the ``words`` oldest words of the table (all if not given); the others move up."""
+        words = len(self.length) if words is None else words
+        kept = list(self.index)[words:]  # in the order of their places
+        self.index = dict(zip(kept, range(len(kept))))
+        self.chars = sum(map(len, kept))
+        first = int(self.start[words]) if kept else len(self.flat)
+        self.start, self.length, self.flat = self.start[words:] - first, self.length[words:].copy(), self.flat[first:].copy()
+
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
@@ -102,7 +110,9 @@ class WordEncoder:
         coded = split.flatten().dictionary_encode()
         words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.index) + len(words) > self.max_words or self.chars > self.max_chars:
-            self.forget()
+            self.forget(len(self.index) // 2)
+            if len(self.index) + len(words) > self.max_words or self.chars > self.max_chars:
+                self.forget()
         at = self._numbers(words)
         if len(unknown := np.flatnonzero(at < 0)):
             new = [words[i] for i in unknown]

@@ -1,9 +1,12 @@
 """Token counts by overlap resynchronisation.
 
 A huge text is encoded in overlapping chunks with offsets. Two neighbours are spliced at a
-boundary both of them prove: a white-space character in the overlap that lies inside no
+boundary both of them prove. One kind is a white-space character in the overlap that lies inside no
 token of either, followed by a whole word that both cut into the same ids at the same
-places. When an overlap holds no such boundary it is doubled, and if even the whole left
+places. The other needs no blank: a place inside a run of letters, digits or signs where both chunks begin
+the same token and the left one ends another. A sequence of byte-pair tokens is the encoding of its run
+exactly if each two neighbours are their own encoding; those at the splice are neighbours in the left chunk, all others
+in one of the two. When an overlap holds no boundary it is doubled, and if even the whole left
 chunk holds none, the two become one chunk.
 """
 
@@ -12,6 +15,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Iterator
 from typing import Any
+from unicodedata import category
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +57,25 @@ def common_boundary(text: str, left: Chunk, right: Chunk) -> int | None:
         if (np.array_equal(left.ids[a], right.ids[b]) and np.array_equal(left.begins[a], right.begins[b])
                 and np.array_equal(left.ends[a], right.ends[b])):
             return p
+    return common_token(text, left, right)
+
+
+def run_kind(c: str) -> str:
+    """What kind of run a character stands in, as the splitter cuts them; empty for white space."""
+    kind = category(c)[0]
+    return "" if c.isspace() else kind if kind in "LN" else "S"
+
+
+def common_token(text: str, left: Chunk, right: Chunk) -> int | None:
+    """The first place inside a run where both chunks begin the same token and a token of the left one ends."""
+    a, b = left.between(right.start + 1, left.end), right.between(right.start + 1, left.end)
+    places, i, j = np.intersect1d(left.begins[a], right.begins[b], return_indices=True)
+    i, j = i + a.start, j + b.start
+    same = (left.ids[i] == right.ids[j]) & (left.ends[i] == right.ends[j]) & (i > 0)
+    same &= (left.ends[i - 1] == places) & (left.begins[i - 1] < places) & (right.begins[j - 1] < places)
+    for p in places[same].tolist():
+        if run_kind(text[p]) and run_kind(text[p - 1]) == run_kind(text[p]):
+            return p
     return None
 
 
@@ -85,7 +108,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, *, limit: int = 2048, chunk: i
     resynchronisation, holding one chunk and its neighbour. ``tokenizer`` is a file of the
     tokenizers library whose vocabulary drops white space; no special tokens are added and
     special strings in a text count as the library has them. A null or empty text has no bytes
-    and no tokens. Rows are kept one by one, also with equal or no ids; other columns are ignored.
+    and no tokens; an empty table gives no rows. Rows are kept one by one, also with equal or no ids; other columns are ignored.
     """
     if not 0 < overlap < chunk:
         raise ValueError("the overlap must be positive and shorter than a chunk")
@@ -107,7 +130,6 @@ def count_tokens(docs: DataFrame, tokenizer: str, *, limit: int = 2048, chunk: i
             size = np.fromiter((len(t.encode()) for t in texts), np.int64, len(texts))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(size), pa.array(counts), pa.array(counts > limit)], names)
-        encoder.forget()
 
     return small_batches(docs).select(id_col, text_col).mapInArrow(
         run, f"`{id_col}` {id_type}, n_bytes long, n_tokens long, over_limit boolean")

@@ -15,6 +15,7 @@ from tidegrid.functions.calendar import (
 )
 from tidegrid.functions.encoding import circular_encode, compass_degrees, one_hot, one_hot_auto
 from tidegrid.functions.scaling import clip_lower, feature_frame, fill_residual, null_if_nan
+from tidegrid.operators.onehot import sparse_one_hot, vocabulary_index
 from tidegrid.sources.stage import stage
 from tidegrid.operators.rolling import rolling_features
 from tidegrid.operators.score import target_time
@@ -303,3 +304,20 @@ def rolling_over_holes(spark, sf):
     features = {**LAGS, **MEANS}
     panel = stage(daily(spark, sf, "l_suppkey").where("pos % 7 <> 5"), "holed")
     return rolling_features(panel, ["series"], "pos", features, size=50).select("series", "t", *rounded(list(features)))
+
+
+@query(
+    "one_hot_sparse_by_part",
+    """WITH v AS (SELECT l_partkey, row_number() OVER (ORDER BY l_partkey) - 1 AS i, count(*) OVER () AS size
+               FROM (SELECT DISTINCT l_partkey FROM lineitem WHERE l_quantity > 10))
+    SELECT l_orderkey, l_linenumber, (SELECT max(size) FROM v) AS size, i AS place, CASE WHEN i IS NULL THEN 0 ELSE 1 END AS ones
+    FROM lineitem LEFT JOIN v USING (l_partkey)""",
+)
+def one_hot_sparse_by_part(spark, sf):
+    """A vocabulary as wide as the parts, of some rows only; the others may hold values that were not seen."""
+    items = table(spark, sf, "lineitem")
+    index = vocabulary_index(items.where("l_quantity > 10"), "l_partkey")
+    coded = sparse_one_hot(items, "l_partkey", index, salt="l_orderkey")
+    return coded.select("l_orderkey", "l_linenumber", F.col("one_hot.size").alias("size"),
+                        F.try_element_at("one_hot.indices", F.lit(1)).alias("place"),
+                        F.aggregate("one_hot.values", F.lit(0), lambda n, v: n + v.cast("int")).alias("ones"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from panel_queries.fixtures import (
     BY_TYPE, FORECAST_CUTOFF, MEASURES, hourly, sql_clean, sql_columns, sql_hourly, sql_interpolate, table,
 )
-from panel_queries.q_stats import SQL_PREDICTIONS, predictions
+from panel_queries.q_stats import SQL_PREDICTIONS, predictions, predictions_of
 from panel_queries.registry import query, r6, rounded, sql_r6, sql_rounded
 from tidegrid.functions.errors import rmse
 from tidegrid.functions.sequences import window_cell
@@ -18,7 +18,7 @@ from tidegrid.operators.score import (
     finish_predictions, match_coverage, match_predictions, prediction_summary, score_windows,
     score_windows_with,
 )
-from tidegrid.operators.strided import score_blocks_with
+from tidegrid.operators.strided import ridge_fit_blocks, score_blocks_with
 from tidegrid.operators.windows import last_step_pairs, sliding_windows
 from tidegrid.plans.dataset import Manifest, manifest_long
 from tidegrid.plans.forecast import (
@@ -58,7 +58,7 @@ def persistence_rmse_by_type(spark, sf):
 def _pairs(spark, sf):
     """Clean hourly panel, fitted parameters, and its targets with their last input step."""
     clean, fitted = preprocess_fit(hourly(spark, sf, "event_type"), BY_TYPE)
-    pairs = last_step_pairs(clean, ["split", "series"], "pos", "t", NORMS, W, "m1_norm", "m1")
+    pairs = last_step_pairs(clean, ["split", "series"], "pos", "t", NORMS, W, "m1_norm", "m1", dense=True)
     return stage(pairs, "pairs", ["split"]), fitted
 
 
@@ -91,6 +91,29 @@ def ridge_fit_two_features(spark, sf):
     return row.select(*rounded(["w1", "w2", "b"]))
 
 
+@query(
+    "ridge_on_flat_windows",
+    SQL_PAIRS + f""",
+    f AS (SELECT split, CAST(CAST(lag(m1_norm) OVER w AS FLOAT) AS DOUBLE) AS x2,
+                 CAST(CAST(lag(m1_norm, 2) OVER w AS FLOAT) AS DOUBLE) AS x1, m1_norm AS y
+          FROM clean WINDOW w AS (PARTITION BY split, series ORDER BY pos)),
+    h AS (SELECT avg(x1) AS a1, avg(x2) AS a2, avg(y) AS ay, var_pop(x1) * count(*) + 2.0 AS s11,
+                 var_pop(x2) * count(*) + 2.0 AS s22, covar_pop(x1, x2) * count(*) AS s12,
+                 covar_pop(x1, y) * count(*) AS b1, covar_pop(x2, y) * count(*) AS b2
+          FROM f WHERE split = 'train' AND x1 IS NOT NULL),
+    v AS (SELECT *, (b1 * s22 - b2 * s12) / (s11 * s22 - s12 * s12) AS w1,
+                 (b2 * s11 - b1 * s12) / (s11 * s22 - s12 * s12) AS w2 FROM h)
+    SELECT {sql_r6('w1')} AS w1, {sql_r6('w2')} AS w2, {sql_r6('ay - w1 * a1 - w2 * a2')} AS b FROM v""",
+)
+def ridge_on_flat_windows(spark, sf):
+    """A linear model of whole windows, here of two steps, fitted over views of the rows."""
+    clean, _ = preprocess_fit(hourly(spark, sf, "event_type"), BY_TYPE)
+    train = clean.where("split = 'train'")
+    model = ridge_fit_blocks(train, ["series"], "pos", "t", ["m1_norm"], 2, "m1_norm", [2.0], dense=True)[2.0]
+    row = train.agg(F.lit(model.weights[0]).alias("w1"), F.lit(model.weights[1]).alias("w2"), F.lit(model.intercept).alias("b"))
+    return row.select(*rounded(["w1", "w2", "b"]))
+
+
 def _scored(spark, sf):
     pairs, fitted = _pairs(spark, sf)
     mean, std = fitted.scaler["m1_mean"], fitted.scaler["m1_std"]
@@ -125,7 +148,7 @@ def evaluate_baselines_by_split(spark, sf):
 )
 def preprocess_apply_to_later_rows(spark, sf):
     """Stored parameters on rows that were never fitted."""
-    panel = hourly(spark, sf, "event_type")
+    panel = stage(hourly(spark, sf, "event_type"), "panel")
     _, fitted = preprocess_fit(panel, BY_TYPE)
     later = panel.where(F.col("t") >= F.lit(FORECAST_CUTOFF).cast("timestamp_ntz"))
     applied = preprocess_apply(later, fitted, BY_TYPE)
@@ -143,9 +166,9 @@ def preprocess_apply_to_later_rows(spark, sf):
 )
 def score_requests_of_val(spark, sf):
     """Fit on train, then answer a request for every later hour; the first day has no window."""
-    panel = hourly(spark, sf, "event_type")
+    panel = stage(hourly(spark, sf, "event_type"), "panel")
     clean, fitted = preprocess_fit(panel, BY_TYPE)
-    pairs = last_step_pairs(clean, ["split", "series"], "pos", "t", NORMS, W, "m1_norm", "m1")
+    pairs = last_step_pairs(clean, ["split", "series"], "pos", "t", NORMS, W, "m1_norm", "m1", dense=True)
     model = ridge_fit(pairs.where("split = 'train'"), "x_last", "y_norm")
     ids, later = _requests(panel)
     scored = score_requests(ids, later, fitted, BY_TYPE, Manifest(NORMS, [], W), model)
@@ -174,8 +197,8 @@ def mean_of_first_feature(windows):
     FROM p, scaler WHERE split = 'val'""",
 )
 def score_requests_by_function(spark, sf):
-    """A user's function over the 48-step tensors of later rows, all 32 features."""
-    panel = hourly(spark, sf, "event_type")
+    """A user's function over the 48-step windows of later rows, all 32 features."""
+    panel = stage(hourly(spark, sf, "event_type"), "panel")
     _, fitted = preprocess_fit(panel, BY_TYPE)
     ids, later = _requests(panel)
     manifest = manifest_long(BY_TYPE, ["click", "error", "purchase", "signup", "view"])
@@ -192,7 +215,7 @@ wins AS (SELECT series, t AS target_dt, CAST(CAST(lag(m1) OVER w AS FLOAT) AS DO
 
 def _tensors(spark, sf):
     whole = hourly(spark, sf, "event_type").fillna(0.0, subset=MEASURES)
-    return sliding_windows(whole, ["series"], "pos", "t", MEASURES, W, "m1", "m1")
+    return sliding_windows(whole, ["series"], "pos", "t", MEASURES, W, "m1", "m1", dense=True)
 
 
 @query(
@@ -251,14 +274,12 @@ matched AS (
 
 def _matched(spark, sf):
     name = F.concat("series", F.lit("_"), F.date_format("t", "yyyy-MM-dd HH:mm:ss"))
-    ids = hourly(spark, sf, "user_id").select(name.alias("id"), "series", F.col("t").alias("target_dt"))
-    preds = predictions(spark, sf).select(
-        "series", "target_dt", F.col("recent").alias("pred"), F.lit(2).alias("run")
-    )
-    older = preds.select("series", "target_dt", (F.col("pred") - 1).alias("pred"), F.lit(1).alias("run"))
-    return match_predictions(
-        ids, preds.unionByName(older), ["series", "target_dt"], fallback=50.0, order="run"
-    )
+    panel = stage(hourly(spark, sf, "user_id").select("series", "t", "pos", "m1"), "panel")
+    ids = panel.select(name.alias("id"), "series", F.col("t").alias("target_dt"))
+    runs = F.array(F.struct(F.col("recent").alias("pred"), F.lit(2).alias("run")),
+                   F.struct((F.col("recent") - 1).alias("pred"), F.lit(1).alias("run")))
+    preds = predictions_of(panel).select("series", "target_dt", F.inline(runs))
+    return match_predictions(ids, preds, ["series", "target_dt"], fallback=50.0, order="run")
 
 
 @query("match_predictions", SQL_MATCH + f" SELECT id, {sql_r6('pred')} AS pred, matched FROM matched")

@@ -238,10 +238,14 @@ preds AS (SELECT series || '_' || strftime(t, '%Y-%m-%d %H:%M:%S') AS id, series
 
 
 def predictions(spark, sf):
-    whole = hourly(spark, sf, "user_id").select("series", "t", "pos", F.coalesce("m1", F.lit(0.0)).alias("y"))
+    return predictions_of(hourly(spark, sf, "user_id"))
+
+
+def predictions_of(panel):
+    whole = panel.select("series", "t", "pos", F.coalesce("m1", F.lit(0.0)).alias("y"))
     both = over_blocks(whole, ["series"], "pos", 3, lambda d, w: d.withColumns({
         "last": F.lag("y", 1).over(w), "recent": F.avg("y").over(w.rowsBetween(-3, -1)),
-    })).where(F.col("last").isNotNull())
+    }), dense=True).where(F.col("last").isNotNull())
     name = F.concat("series", F.lit("_"), F.date_format("t", "yyyy-MM-dd HH:mm:ss"))
     return both.select(name.alias("id"), "series", F.col("t").alias("target_dt"), "y", "last", "recent")
 

@@ -10,6 +10,7 @@ from tidegrid.plans.dataset import Manifest
 from tidegrid.sources.files import (
     cached_windows, panel_schema, read_panel, read_predictions, write_predictions, write_windows,
 )
+from tidegrid.sources import params
 from tidegrid.sources.params import (
     load_manifest, load_scaler_by_series, read_metrics, save_manifest, save_scaler_by_series, upsert_metrics,
 )
@@ -70,6 +71,43 @@ def test_cache_builds_once_and_again_after_an_unfinished_write(spark, tmp_path):
     assert calls == [1.0, 3.0]
 
 
+def test_cache_is_built_again_for_other_settings_and_changed_input(spark, tmp_path):
+    path, source, calls = str(tmp_path / "cache"), str(tmp_path / "in put"), []
+    spark.range(3).write.parquet(source)
+
+    def stored(value, **spec):
+        def build():
+            calls.append(value)
+            return windows(spark, value)
+        return cached_windows(spark, path, build, spec, [spark.read.parquet(source)]).first()["x"][0][0]
+
+    manifest = {"features": ["a", "b"], "window": 24}
+    assert [stored(1.0, manifest=manifest), stored(2.0, manifest=dict(reversed(manifest.items())))] == [1.0, 1.0]
+    assert stored(3.0, manifest={**manifest, "window": 48}) == 3.0
+    spark.range(5).write.mode("append").parquet(source)
+    assert [stored(4.0, manifest={**manifest, "window": 48}), stored(5.0, manifest={**manifest, "window": 48})] == [4.0, 4.0]
+    (tmp_path / "cache" / "_spec").unlink()
+    assert stored(6.0, manifest={**manifest, "window": 48}) == 6.0
+    assert calls == [1.0, 3.0, 4.0, 6.0]
+
+
+def test_two_writers_of_metrics_lose_nothing(spark, tmp_path, monkeypatch):
+    path, commit, rivals = str(tmp_path / "metrics"), params._commit, ["b", "c"]
+
+    def record(name):
+        return spark.createDataFrame([(name, 1.0, 2.0, 3.0)], params.METRICS)
+
+    def late(spark, written, version):
+        if rivals:  # another writer is done between this one's reading and its commit
+            upsert_metrics(spark, path, record(rivals.pop()))
+        return commit(spark, written, version)
+
+    monkeypatch.setattr(params, "_commit", late)
+    upsert_metrics(spark, path, record("a"))
+    assert {r["model"] for r in read_metrics(spark, path).collect()} == {"a", "b", "c"}
+    assert sorted(p.name for p in (tmp_path / "metrics").iterdir() if p.is_dir()) == ["version=1", "version=2", "version=3"]
+
+
 def test_windows_are_not_overwritten_by_accident(spark, tmp_path):
     write_windows(windows(spark, 1.0), str(tmp_path / "w"))
     with pytest.raises(Exception, match="(?i)exist"):

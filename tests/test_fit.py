@@ -5,16 +5,20 @@ from __future__ import annotations
 import random
 import statistics
 
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from tidegrid.operators.fill import fit_series_means, mean_fill
-from tidegrid.operators.fit import fit_mode, fit_scaler, fit_scaler_by_key
+from tidegrid.operators.fill import fill_scalar, fit_series_means, mean_fill, seasonal_fill
+from tidegrid.operators.fit import (
+    fit_mode, fit_scaler, fit_scaler_by_key, fit_seasonal, fit_seasons, modes_of, scaler_after_fills, seasonal_of,
+)
 from tidegrid.operators.lookup import lookup_join
+from tidegrid.operators.onehot import sparse_one_hot, vocabulary_index
 from tidegrid.operators.quantiles import exact_quantiles
 from tidegrid.operators.scale import apply_scaler, unscalable
-from tidegrid.functions.encoding import vocabulary
+from tidegrid.functions.encoding import one_hot, one_hot_names, vocabulary
 from tidegrid.sources.stage import one_row
 
 
@@ -122,3 +126,40 @@ def test_a_wide_vocabulary_is_refused(spark):
     assert len(vocabulary(df, "k", 20)) == 20
     with pytest.raises(ValueError, match="more than 19"):
         vocabulary(df, "k", 19)
+
+
+@pytest.mark.parametrize("values", [["b", "a", None, "c", "a"], []])
+def test_sparse_vectors_are_the_one_hot_columns(spark, values):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, k string").repartition(3)
+    seen = df.where("k <> 'c'")
+    index = vocabulary_index(seen, "k")
+    rows = sparse_one_hot(df, "k", index).withColumns(one_hot("k", vocabulary(seen, "k"))).collect()
+    names = one_hot_names(vocabulary(seen, "k"))
+    assert len(rows) == len(values)
+    for r in rows:
+        v = r["one_hot"]
+        dense = [0.0] * v["size"]
+        for i, x in zip(v["indices"], v["values"]):
+            dense[i] = x
+        assert dense == [r[n] for n in names]
+
+
+def test_a_vocabulary_index_spans_all_ranges(spark):
+    df = spark.range(3000).select(F.concat(F.lit("k"), F.format_string("%05d", F.col("id") % 1000)).alias("k")).repartition(7)
+    index = {r["k"]: r["index"] for r in vocabulary_index(df, "k").collect()}
+    assert index == {f"k{i:05d}": i for i in range(1000)}
+
+
+def test_fits_of_one_scan_are_the_single_fits(spark):
+    rng = np.random.default_rng(3)
+    rows = [(s, int(m), None if rng.random() < 0.4 or m == 5 else float(1e6 + rng.normal()), rng.choice(["N", "S", None], p=[0.4, 0.4, 0.2]))
+            for s in "abc" for m in rng.integers(1, 7, 200)]
+    df = spark.createDataFrame([(a, b, c, None if d is None else str(d)) for a, b, c, d in rows], "series string, month int, m1 double, wd string")
+    seasons = fit_seasons(df, ["series", "month"], ["m1"], "series", "wd")
+    assert {tuple(r) for r in modes_of(seasons, "series", "wd").collect()} == {tuple(r) for r in fit_mode(df, ["series"], "wd").collect()}
+    seasonal = fit_seasonal(df, ["series", "month"], ["m1"])
+    got = {(r["series"], r["month"]): r["m1"] for r in seasonal_of(seasons, ["series", "month"], ["m1"]).collect()}
+    assert got == {(r["series"], r["month"]): r["m1"] for r in seasonal.collect()}
+    filled = fill_scalar(seasonal_fill(df, seasonal, ["series", "month"], ["m1"]), {"m1": 1e6 + 5}, ["m1"])
+    want, have = fit_scaler(filled, ["m1"]).first(), scaler_after_fills(seasons, ["m1"], {"m1": 1e6 + 5}).first()
+    assert tuple(have) == pytest.approx(tuple(want), rel=1e-9)

@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 from tidegrid.functions.errors import huber, mae, mse, rmse
 from tidegrid.operators.blend import align_predictions, blend, blend_grid, blend_mean, seed_mean
 from tidegrid.operators.compare import best_model, leaderboard, merge_metrics
-from tidegrid.operators.ridge import ridge_fit, ridge_predict
+from tidegrid.operators.ridge import ridge_fit, ridge_fits, ridge_predict
 from tidegrid.operators.score import (
     finish_predictions, match_coverage, match_predictions, score_windows_with, target_time,
 )
+from tidegrid.operators.strided import ridge_fit_blocks
+from tidegrid.operators.windows import sliding_windows
 from tidegrid.plans.forecast import fit_blend_weights
 
 
@@ -155,3 +157,30 @@ def test_mean_blend_needs_the_same_ids(spark):
 def test_ridge_without_rows_says_so(spark):
     with pytest.raises(ValueError, match="no rows"):
         ridge_fit(spark.createDataFrame([], "x array<double>, y double"), "x", "y")
+
+
+def test_ridge_on_whole_windows_equals_the_closed_form(spark):
+    """24 steps of 29 features, with a large offset, over small blocks; several penalties in one scan."""
+    rng = np.random.default_rng(5)
+    names = [f"f{i}" for i in range(29)]
+    cells = {s: rng.normal(1000.0, 3.0, (n, 29)).astype(np.float32).astype(float) for s, n in (("a", 900), ("b", 30), ("c", 20))}
+    rows = [(s, i, float(2 * i), *row.tolist()) for s, own in cells.items() for i, row in enumerate(own)]
+    df = spark.createDataFrame(rows, "series string, pos long, y double, " + ", ".join(f"{n} double" for n in names)).repartition(5)
+    df = df.withColumn("t", F.col("pos"))
+    x = np.concatenate([np.stack([own[i - 24:i].ravel() for i in range(24, len(own))]) for own in cells.values() if len(own) > 24])
+    y = np.concatenate([2.0 * np.arange(24, len(own)) for own in cells.values() if len(own) > 24])
+    models = ridge_fit_blocks(df, ["series"], "pos", "t", names, 24, "y", [1.0, 50.0], size=100, batch=64)
+    wins = sliding_windows(df, ["series"], "pos", "t", names, 24, "y", "y")
+    flat = ridge_fits(wins, "x", "y_raw", [1.0, 50.0])
+    for alpha in (1.0, 50.0):
+        weights, intercept = closed_form(x, y, alpha)
+        for model in (models[alpha], flat[alpha]):
+            np.testing.assert_allclose(model.weights, weights, rtol=1e-5, atol=1e-7)
+            assert model.intercept == pytest.approx(intercept, rel=1e-5)
+
+
+def test_ridge_leaves_out_rows_with_missing_numbers(spark):
+    rows = [([1.0, 2.0], 3.0), ([2.0, 1.0], 4.0), ([0.0, 5.0], 1.0), ([None, 1.0], 9.0), ([1.0, float("nan")], 9.0), ([1.0, 1.0], None), (None, 9.0)]
+    model = ridge_fit(spark.createDataFrame(rows, "x array<double>, y double"), "x", "y", 0.5)
+    weights, intercept = closed_form(np.array([[1.0, 2.0], [2.0, 1.0], [0.0, 5.0]]), np.array([3.0, 4.0, 1.0]), 0.5)
+    assert model.weights == pytest.approx(list(weights)) and model.intercept == pytest.approx(intercept)

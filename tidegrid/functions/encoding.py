@@ -44,14 +44,16 @@ def one_hot(c: str, vocab: Sequence[str], prefix: str = "st_") -> dict[str, Colu
     }
 
 
-def vocabulary(df: DataFrame, c: str, max_values: int | None = None) -> list[str]:
-    """Sorted distinct values of ``c``, for which the caller may set a bound: more are then refused."""
-    values = df.select(c).where(F.col(c).isNotNull()).distinct()
-    rows = values.collect() if max_values is None else values.take(max_values + 1)
-    if max_values is not None and len(rows) > max_values:
-        raise ValueError(f"{c} has more than {max_values} values; it cannot be one-hot encoded")
+MOST_COLUMNS = 2000
+
+
+def vocabulary(df: DataFrame, c: str, max_values: int = MOST_COLUMNS) -> list[str]:
+    """Sorted distinct values of ``c``; more than ``max_values`` are refused, as each becomes a column."""
+    rows = df.select(c).where(F.col(c).isNotNull()).distinct().take(max_values + 1)
+    if len(rows) > max_values:
+        raise ValueError(f"{c} has more than {max_values} values; see sparse_one_hot")
     return sorted(r[0] for r in rows)
 
 
-def one_hot_auto(df: DataFrame, c: str, prefix: str = "st_", max_values: int | None = None) -> dict[str, Column]:
+def one_hot_auto(df: DataFrame, c: str, prefix: str = "st_", max_values: int = MOST_COLUMNS) -> dict[str, Column]:
     return one_hot(c, vocabulary(df, c, max_values), prefix)

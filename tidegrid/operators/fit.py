@@ -6,7 +6,8 @@ for train-only statistics, or the whole panel.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from typing import Any
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -28,6 +29,48 @@ def fit_mode(df: DataFrame, keys: Sequence[str], col: str, default: str = "N") -
     return counts.groupBy(*keys).agg(F.coalesce(F.min(rank)["v"], F.lit(default)).alias(col))
 
 
+def fit_seasons(df: DataFrame, keys: Sequence[str], cols: Sequence[str], series: str, mode: str | None = None) -> DataFrame:
+    """What all train fits of a panel need, in one scan: moments of the measures per season key, counts of ``mode`` values per series.
+
+    Grouping sets give rows of two kinds, told apart by ``__kind``: per ``keys`` the ``__rows`` and for each
+    column its mean, its values ``<c>_n`` and their squared deviations ``<c>_m2``; per series and value of ``mode`` the ``__rows``.
+    """
+    sets = [list(keys)] + ([[series, mode]] if mode else [])
+    columns = list(dict.fromkeys([*keys, *([mode] if mode else [])]))
+    moments = [f for c in cols for f in (F.avg(c).alias(c), F.count(c).alias(f"{c}_n"), (F.var_pop(c) * F.count(c)).alias(f"{c}_m2"))]
+    return df.groupingSets(sets, *columns).agg(
+        (F.grouping(mode) if mode else F.lit(1)).alias("__kind"), F.count(F.lit(1)).alias("__rows"), *moments)
+
+
+def seasonal_of(seasons: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """The table of :func:`fit_seasonal` out of :func:`fit_seasons`."""
+    return seasons.where("__kind = 1").select(*keys, *cols)
+
+
+def modes_of(seasons: DataFrame, series: str, mode: str, default: str = "N") -> DataFrame:
+    """The table of :func:`fit_mode` out of :func:`fit_seasons`."""
+    rank = F.when(F.col(mode).isNotNull(), F.struct((-F.col("__rows")).alias("n"), F.col(mode).alias("v")))
+    return seasons.where("__kind = 0").groupBy(series).agg(F.coalesce(F.min(rank)["v"], F.lit(default)).alias(mode))
+
+
+def scaler_after_fills(seasons: DataFrame, cols: Sequence[str], fills: Mapping[str, Any]) -> DataFrame:
+    """The row of :func:`fit_scaler` for rows whose missing cells took their season's mean, or ``fills`` where it has none.
+
+    A cell filled with its season's mean moves neither the mean nor the squared deviations of the season, so both
+    follow from the seasons alone, taken around ``fills`` so that nothing large cancels out.
+    """
+    rows = F.col("__rows")
+    total, aggs = F.sum(rows), []
+    for c in cols:
+        around = F.lit(fills[c]).cast("double")
+        off = F.coalesce(F.col(c) - around, F.lit(0.0))
+        shift = F.sum(rows * off) / total
+        squares = F.sum(F.coalesce(f"{c}_m2", F.lit(0.0)) + rows * off * off) - shift * shift * total
+        aggs += [(around + shift).alias(f"{c}_mean"),
+                 F.when(total > 1, F.sqrt(F.greatest(squares, F.lit(0.0)) / (total - 1))).alias(f"{c}_std")]
+    return seasons.where("__kind = 1").agg(*aggs)
+
+
 def fit_median(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Exact medians, one row."""
     q = exact_quantiles(df, cols, [0.5])

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from tidegrid.sources.stage import stage
 
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 1 << 20
 HOT_ROWS = 4_000_000
 SALTS = 64
 
@@ -24,16 +25,21 @@ def lookup_join(
 ) -> DataFrame:
     """Left join of a large panel to a fitted table with one row per ``keys``.
 
-    The table is counted (stage it first, then this reads parquet footers) and
-    broadcast when it has at most ``broadcast_rows`` rows. A larger one is joined by
+    The table is broadcast when Spark knows it to be small (stage it first, then its files
+    say so and no job runs), or else when it is counted and has at most ``broadcast_rows`` rows. A larger one is joined by
     shuffle, with hot keys spread over ``salts`` tasks; ``salt`` names the column
     that decides which (its hash; all columns if not given).
     """
-    if lookup.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    if broadcast_rows and known_bytes(lookup) <= BROADCAST_BYTES or lookup.limit(broadcast_rows + 1).count() <= broadcast_rows:
         return df.join(F.broadcast(lookup), list(keys), "left")
     return _salted_join(df, lookup, list(keys), salt, hot_rows, salts)
 
 
+def known_bytes(df: DataFrame) -> int:
+    """The size that Spark plans with, from files or literals; very large where it cannot know."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
 def _salted_join(
     df: DataFrame, lookup: DataFrame, keys: list[str], salt: str | None, hot_rows: int, salts: int
 ) -> DataFrame:

@@ -40,7 +40,14 @@ def exact_quantiles(
         c = F.col(f"__c{i}")
         bounds += [F.count(c).alias(f"__n{i}"),
                    F.percentile_approx(c, F.array(*ends), F.lit(accuracy)).alias(f"__q{i}")]
-    bounds = stage(cells.groupBy(*group).agg(*bounds), "quantile_bounds")
+    bounds = cells.groupBy(*group).agg(*bounds)
+    if by:
+        joined = _with_bounds(cells, stage(bounds, "quantile_bounds"), group)
+    else:  # one row of bounds becomes literals
+        row = (bounds.take(1) or [None])[0]
+        joined = cells.withColumns({
+            name: F.lit(row[name] if row else None).cast(bounds.schema[name].dataType)
+            for i in range(len(cols)) for name in (f"__n{i}", f"__q{i}")})
 
     def low(i: int, j: int) -> Column:
         return F.col(f"__q{i}")[2 * j]
@@ -48,12 +55,6 @@ def exact_quantiles(
     def high(i: int, j: int) -> Column:
         return F.col(f"__q{i}")[2 * j + 1]
 
-    renamed = bounds.select(*[F.col(g).alias(f"{g}_") for g in group], *[c for c in bounds.columns if c not in group])
-    same = [F.col(g).eqNullSafe(F.col(f"{g}_")) for g in group]
-    on = same[0]
-    for s in same[1:]:
-        on = on & s
-    joined = cells.join(renamed, on)
     below = joined.groupBy(*group).agg(*[
         F.struct(F.count_if(F.col(f"__c{i}") < low(i, j)).alias("below"),
                  F.max(F.when(F.col(f"__c{i}") < low(i, j), F.col(f"__c{i}"))).alias("previous"),
@@ -91,6 +92,14 @@ def exact_quantiles(
         F.array(*[F.lit(float(p)) for p in probs])[F.col("j")].alias("prob"), value.alias("value"))
 
 
+def _with_bounds(cells: DataFrame, bounds: DataFrame, group: Sequence[str]) -> DataFrame:
+    renamed = bounds.select(*[F.col(g).alias(f"{g}_") for g in group], *[c for c in bounds.columns if c not in group])
+    on = F.col(group[0]).eqNullSafe(F.col(f"{group[0]}_"))
+    for g in group[1:]:
+        on = on & F.col(g).eqNullSafe(F.col(f"{g}_"))
+    return cells.join(renamed, on)
+
+
 def _equal(key: Sequence[str]) -> Column:
     on = F.lit(True)
     for k in key:

@@ -15,7 +15,7 @@ from tidegrid.operators.fill import (
     fill_scalar, fit_series_means, mean_fill, mode_fill, seasonal_fill,
 )
 from tidegrid.operators.fit import (
-    fit_median, fit_mode, fit_scaler, fit_scaler_all, fit_scaler_by_key, fit_seasonal,
+    fit_median, fit_mode, fit_scaler_all, fit_scaler_by_key, fit_seasons, modes_of, scaler_after_fills, seasonal_of,
 )
 from tidegrid.operators.interpolate import interpolate
 from tidegrid.operators.rolling import rolling_features
@@ -54,46 +54,43 @@ def _tiered(df: DataFrame, spec: PanelSpec, tier: int) -> DataFrame:
     })
 
 
-def _season_filled(df: DataFrame, seasonal: DataFrame, spec: PanelSpec) -> DataFrame:
-    keys = [spec.series, *spec.season]
-    return _tiered(seasonal_fill(df, seasonal, keys, spec.measures, salt=spec.pos), spec, 2)
-
-
-def _finished(df: DataFrame, fitted: Fitted, spec: PanelSpec) -> DataFrame:
-    """From seasonally filled rows to clean ones."""
-    df = _tiered(fill_scalar(df, fitted.medians, spec.measures), spec, 3)
-    if spec.wind:
-        df = mode_fill(df, fitted.modes, [spec.series], spec.wind, salt=spec.pos)
-        df = df.withColumns(wind_features(spec.wind))
-    return df
-
-
 def preprocess_fit(panel: DataFrame, spec: PanelSpec) -> tuple[DataFrame, Fitted]:
     """Split, fill in three tiers, encode and normalise; all fits see ``train`` only.
 
     The order matters: seasonal means include interpolated cells, medians come
-    after the seasonal fill, and mean and deviation after all fills. The
-    interpolated panel is staged, and again after the seasonal fill, since the fits read both.
+    after the seasonal fill, and mean and deviation after all fills. One scan of the interpolated
+    panel gives seasonal moments and wind counts; mean and deviation after the fills follow from those, so only
+    medians look at filled cells. Two tables are written: the interpolated panel, and the filled cells of ``train``.
     """
     keys = ["split", spec.series]
     df = with_calendar_parts(split_at(panel, spec.cutoff, spec.t), spec.t)
     df = stage(_interpolated(df, spec, keys), "interpolated", ["split"])
-    is_train = F.col("split") == "train"
-    train = df.where(is_train)
-    seasonal = stage(fit_seasonal(train, [spec.series, *spec.season], spec.measures), "seasonal")
-    modes = stage(fit_mode(train, [spec.series], spec.wind), "modes") if spec.wind else None
-    df = stage(_season_filled(df, seasonal, spec), "season_filled", ["split"])
-    fitted = Fitted(seasonal, modes, one_row(fit_median(df.where(is_train), spec.measures)), {})
-    df = _finished(df, fitted, spec)
-    fitted.scaler = one_row(fit_scaler(df.where(is_train), spec.measures))
-    return apply_scaler(df, fitted.scaler, spec.measures), fitted
+    train, season = df.where(F.col("split") == "train"), [spec.series, *spec.season]
+    seasons = stage(fit_seasons(train, season, spec.measures, spec.series, spec.wind), "seasons")
+    seasonal = seasonal_of(seasons, season, spec.measures)
+    modes = stage(modes_of(seasons, spec.series, spec.wind), "modes") if spec.wind else None
+    cells = seasonal_fill(train, seasonal, season, spec.measures, salt=spec.pos).select(*spec.measures)
+    medians = one_row(fit_median(stage(cells, "filled_cells"), spec.measures))
+    scaler = one_row(scaler_after_fills(seasons, spec.measures, medians))
+    fitted = Fitted(seasonal, modes, medians, scaler)
+    return _applied(df, fitted, spec), fitted
+
+
+def _applied(interpolated: DataFrame, fitted: Fitted, spec: PanelSpec) -> DataFrame:
+    """From interpolated rows to clean ones with stored parameters."""
+    df = seasonal_fill(interpolated, fitted.seasonal, [spec.series, *spec.season], spec.measures, salt=spec.pos)
+    df = _tiered(df, spec, 2)
+    df = _tiered(fill_scalar(df, fitted.medians, spec.measures), spec, 3)
+    if spec.wind:
+        df = mode_fill(df, fitted.modes, [spec.series], spec.wind, salt=spec.pos)
+        df = df.withColumns(wind_features(spec.wind))
+    return apply_scaler(df, fitted.scaler, spec.measures)
 
 
 def preprocess_apply(panel: DataFrame, fitted: Fitted, spec: PanelSpec) -> DataFrame:
     """The same steps with stored parameters on rows of one split; nothing is fitted."""
     df = with_calendar_parts(panel, spec.t)
-    df = _season_filled(_interpolated(df, spec, [spec.series]), fitted.seasonal, spec)
-    return apply_scaler(_finished(df, fitted, spec), fitted.scaler, spec.measures)
+    return _applied(_interpolated(df, spec, [spec.series]), fitted, spec)
 
 
 @dataclass

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Callable, Mapping, Sequence
+from typing import Any
+from urllib.parse import unquote, urlsplit
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -108,13 +112,49 @@ def read_windows(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def cached_windows(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """The windows stored at ``path``, built and written first if there are none.
+def input_state(df: DataFrame) -> list[tuple[str, int, int]]:
+    """Path, length and time of change of every file that ``df`` reads, from listings of their folders."""
+    spark = df.sparkSession
+    files = sorted(df.inputFiles())
+    found = []
+    for folder in sorted({f.rsplit("/", 1)[0] for f in files}):
+        at = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(folder))
+        for status in at.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(at):
+            found.append((status.getPath().toUri().getPath(), status.getLen(), status.getModificationTime()))
+    read = {unquote(urlsplit(f).path) for f in files}
+    return sorted(f for f in found if f[0] in read)
 
-    A write that did not finish leaves no success marker and is done again.
+
+def fingerprint(spec: Mapping[str, Any] | None, inputs: Sequence[DataFrame] = ()) -> str:
+    """A hash of settings that JSON can say, and of the state of the files that ``inputs`` read."""
+    state = {"spec": spec, "inputs": [input_state(df) for df in inputs]}
+    return hashlib.sha256(json.dumps(state, sort_keys=True, default=str).encode()).hexdigest()
+
+
+def cached_windows(spark: SparkSession, path: str, build: Callable[[], DataFrame],
+                   spec: Mapping[str, Any] | None = None, inputs: Sequence[DataFrame] = ()) -> DataFrame:
+    """The windows stored at ``path``, built and written first if there are none of this ``spec`` and these ``inputs``.
+
+    ``spec`` is what the windows depend on, such as the manifest and the panel's options; ``inputs`` are the tables they are
+    built from, of which the files count. Both are hashed into a file beside the windows, written last: other
+    settings, a changed file or a write that did not finish make the windows anew.
     """
-    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    done = marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
-    if not done:
+    wanted = fingerprint(spec, inputs)
+    note = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_spec")
+    fs = note.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")) or _read_note(fs, note) != wanted:
         write_windows(build(), path, mode="overwrite")
+        out = fs.create(note, True)
+        out.write(bytearray(wanted.encode()))
+        out.close()
     return read_windows(spark, path)
+
+
+def _read_note(fs: Any, note: Any) -> str | None:
+    if not fs.exists(note):
+        return None
+    stream = fs.open(note)
+    try:
+        return bytes(stream.readNBytes(1000)).decode()
+    finally:
+        stream.close()

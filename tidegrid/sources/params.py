@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidegrid.operators.compare import merge_metrics
@@ -87,14 +89,41 @@ def read_metrics(spark: SparkSession, path: str) -> DataFrame:
     return stored.where(F.col("version") == newest).drop("version")
 
 
-def upsert_metrics(spark: SparkSession, path: str, new: DataFrame) -> DataFrame:
+def _newest(spark: SparkSession, path: str) -> int:
+    if not _exists(spark, path):
+        return 0
+    return spark.read.schema("version int").parquet(path).agg(F.max("version")).first()[0] or 0
+
+
+def _commit(spark: SparkSession, written: str, version: str) -> bool:
+    """Give a written folder its final name; false if another writer was first. One rename, which never replaces a folder."""
+    jvm = spark._jvm
+    source, target = (jvm.org.apache.hadoop.fs.Path(p) for p in (written, version))
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        source.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(source).toUri(), spark._jsc.hadoopConfiguration())
+    plain = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    try:
+        files.rename(files.makeQualified(source), files.makeQualified(target), plain)
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in str(e.java_exception.getClass()):
+            files.delete(files.makeQualified(source), True)
+            return False
+        raise
+    return True
+
+
+def upsert_metrics(spark: SparkSession, path: str, new: DataFrame, tries: int = 20) -> DataFrame:
     """Read, replace the records of the same models, write as the next version.
 
-    Versions are folders, so readers keep a whole set while one is being written.
+    Versions are folders, so readers keep a whole set while one is being written. A set is written aside and then renamed
+    to the version after the one it was merged with. Where another writer has taken that version, the
+    records are merged with it and tried again, so no writer fails or loses another's records.
     """
-    newest = 0
-    if _exists(spark, path):
-        newest = spark.read.schema("version int").parquet(path).agg(F.max("version")).first()[0] or 0
-    merged = merge_metrics(read_metrics(spark, path), new.select(*METRICS.names))
-    merged.write.parquet(f"{path}/version={newest + 1}")
-    return read_metrics(spark, path)
+    for _ in range(tries):
+        newest = _newest(spark, path)
+        merged = merge_metrics(read_metrics(spark, path), new.select(*METRICS.names))
+        written = f"{path}/_{uuid.uuid4().hex}"
+        merged.write.parquet(written)
+        if _commit(spark, written, f"{path}/version={newest + 1}"):
+            return read_metrics(spark, path)
+    raise RuntimeError(f"other writers took the next version {tries} times")

@@ -108,15 +108,15 @@ def window_files(spark, sf):
 
 @query("cached_windows", SQL_STORED)
 def cached_windows_twice(spark, sf):
-    """The first windows are of another length, the second call makes them anew, the third finds them and builds nothing."""
+    """The first windows are of other settings, the second call makes them anew, the third finds them and builds nothing."""
     path, inputs = scratch_path(spark, "cache"), [table(spark, sf, "events")]
-    cached_windows(spark, path, lambda: _split_windows(spark, sf).where("split = 'none'"), {"window": 0}, inputs)
-    cached_windows(spark, path, lambda: _split_windows(spark, sf), {"window": 24}, inputs)
+    cached_windows(spark, path, lambda: _split_windows(spark, sf).where("split = 'val'"), {"splits": ["val"]}, inputs)
+    cached_windows(spark, path, lambda: _split_windows(spark, sf), {"splits": ["train", "val"]}, inputs)
 
     def again():
         raise AssertionError("the windows were stored already")
 
-    return _stored_columns(cached_windows(spark, path, again, {"window": 24}, inputs))
+    return _stored_columns(cached_windows(spark, path, again, {"splits": ["train", "val"]}, inputs))
 
 
 @query(

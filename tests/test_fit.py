@@ -73,6 +73,32 @@ def test_quantiles_of_hard_columns(spark, values, accuracy):
     assert got == pytest.approx({p: quantile(kept, p) for p in (0.0, 0.3, 0.5, 0.75)}, rel=1e-9)
 
 
+@pytest.mark.parametrize("accuracy", [2, 7])
+def test_quantiles_whose_sketch_encloses_nothing(spark, accuracy):
+    """Without slack a coarse sketch misses its ranks; they are found again by counting."""
+    rng = random.Random(5)
+    probs = [0.0, 0.13, 0.5, 0.77, 1.0]
+    groups = {"a": [rng.choice([-1.0, 1.0]) * 10 ** rng.uniform(-3, 9) for _ in range(900)],
+              "b": [float(rng.randrange(6)) for _ in range(500)], "c": [3.0], None: [-1e300, 1.0, 2.0, 1e300, 7.0]}
+    rows = [(g, v, -v) for g, values in groups.items() for v in values] + [("c", None, float("nan"))]
+    df = spark.createDataFrame(rows, "g string, v double, w double")
+    got = {(r["g"], r["column"], r["prob"]): r["value"]
+           for r in exact_quantiles(df, ["v", "w"], probs, by=["g"], accuracy=accuracy, slack=0.0).collect()}
+    assert len(got) == len(groups) * 2 * len(probs)
+    for g, values in groups.items():
+        for p in probs:
+            assert got[g, "v", p] == pytest.approx(quantile(values, p), rel=1e-12)
+            assert got[g, "w", p] == pytest.approx(quantile([-v for v in values], p), rel=1e-12)
+
+
+def test_quantiles_found_again_in_many_rounds(spark, monkeypatch):
+    monkeypatch.setattr("tidegrid.operators.quantiles.PARTS", 2)
+    values = [float(i * i % 1009) for i in range(1200)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = {r["prob"]: r["value"] for r in exact_quantiles(df, ["v"], [0.31, 0.5], accuracy=2, slack=0.0).collect()}
+    assert got == pytest.approx({p: quantile(values, p) for p in (0.31, 0.5)}, rel=1e-12)
+
+
 def test_quantiles_without_values_and_with_many_groups(spark):
     df = spark.range(3000).selectExpr("id % 1000 AS g", "CAST(id AS DOUBLE) AS v", "CAST(NULL AS DOUBLE) AS w")
     rows = exact_quantiles(df, ["v", "w"], [0.5], by=["g"]).collect()

@@ -16,7 +16,7 @@ from tidegrid.llm.components import components, union_find
 from tidegrid.llm.near_dups import near_duplicates, super_minhash
 from tidegrid.llm.shingles import shingle_sets
 from tidegrid.llm.substrings import covered, doubled, grams, remove_repeats, repeated_runs, sliding_argmin, without_repeats
-from tidegrid.llm.url_filter import filter_urls
+from tidegrid.llm.url_filter import filter_urls, look_ups, passed
 
 WORD = re.compile("[^\x20\x09-\x0D]+")
 
@@ -190,28 +190,50 @@ URLS = [None, "", "no scheme", "http://Example.NET/en/1?x#y", "https://a.example
         "http://a.example.com/de/x", "http://example.com/d", "http://q.org/fr/", "http://q.org?/fr/", "http://spam.example.org/x",
         "http://SPAM.example.org#z", "a://b://spam.example.org/", "http://user@example.net:80/en/", "http://" + "a." * 500 + "net/"]
 LIST = [("net/", "block", 1), ("example.net/en/", "allow", 1), ("example.com/de/", "block", 1), ("org/fr/", "allow", 1),
-        ("spam.example.org/", "block", 0), ("net/", "block", 1), (None, "block", 1)]
+        ("spam.example.org/", "block", 0), ("net/", "block", 1), (None, "block", 1), ("", "block", 2), ("q.org", "block", 0),
+        ("a.example.net", "block", 0)]
 
 
-def brute_verdict(url):
+def brute_verdict(url, listed=LIST):
     rest = url.split("://", 1)[1] if url and "://" in url else ""
     host = re.match("[^/?#]*", rest)[0]
     path = re.match("[^?#]*", rest[len(host):])[0]
     host = host.translate({c: c + 32 for c in range(65, 91)})
-    fit = [(p, len(e), e, v) for e, v, p in LIST if e and ("." + host).endswith("." + e.split("/")[0]) and path.startswith(e[e.index("/"):])]
+    fit = [(p, len(e), e, v) for e, v, p in listed
+           if e and ("." + host).endswith("." + e.split("/")[0]) and path.startswith(e[len(e.split("/")[0]):])]
     best = max(fit, default=(0, 0, None, "allow"))
     return host, path, best[2], best[3]
 
 
-@pytest.mark.parametrize("max_blocks", [1, 1 << 18])
-def test_url_verdicts_equal_brute_force(spark, max_blocks):
+@pytest.mark.parametrize("max_blocks, max_shapes", [(1, 256), (1 << 18, 256), (1, 2), (1 << 18, 0)])
+def test_url_verdicts_equal_brute_force(spark, max_blocks, max_shapes):
     rows = [(i, u) for i, u in enumerate(URLS)] + [(None, URLS[3])] * 2
     pages = spark.createDataFrame([(i, u, "host", "entry") for i, u in rows], "page_id long, url string, host string, entry string")
     listed = spark.createDataFrame(LIST, "entry string, verdict string, priority int")
-    got = filter_urls(pages, listed, max_blocks=max_blocks).collect()
+    got = filter_urls(pages, listed, max_blocks=max_blocks, max_shapes=max_shapes).collect()
     assert Counter((r[0], *r[1:]) for r in got) == Counter((i, *brute_verdict(u)) for i, u in rows)
     assert filter_urls(pages.where("false"), listed).collect() == []
-    assert {r["verdict"] for r in filter_urls(pages, listed.where("false")).collect()} == {"allow"}
+    assert {r["verdict"] for r in filter_urls(pages, listed.where("false"), max_shapes=max_shapes).collect()} == {"allow"}
+
+
+def test_list_of_ten_thousand_shapes(spark):
+    listed = [("a." * (i % 90) + "net/" + "x" * (i // 90), "block", 1) for i in range(10_000)]
+    urls = ["http://" + "b." + "a." * n + "net/" + "x" * m for n in (0, 1, 40, 89, 200) for m in (0, 1, 50, 111, 112, 5000)]
+    pages = spark.createDataFrame(list(enumerate(urls + ["http://other.org/"] * 3)), "page_id long, url string")
+    got = filter_urls(pages, spark.createDataFrame(listed, "entry string, verdict string, priority int")).collect()
+    want = {i: brute_verdict(u, listed) for i, u in enumerate(urls)}
+    assert {r["page_id"]: tuple(r)[1:] for r in got if r["host"] != "other.org"} == want
+    assert [r["verdict"] for r in got if r["host"] == "other.org"] == ["allow"] * 3
+
+
+def test_urls_meet_the_bloom_filter_before_any_shuffle(spark):
+    urls = spark.range(10).select(F.concat(F.lit("h"), F.col("id").cast("string"), F.lit(".net")).alias("host"), F.lit("/").alias("path"))
+    entries = spark.createDataFrame([("net/", "net", 1, 1)], "key string, end string, labels int, chars int")
+    hits = passed(look_ups(urls, entries, 1, 256), entries.select("key"), "key", 1)
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    pages_side = plan[:plan.index("BroadcastExchange")]
+    assert "BroadcastHashJoin" in pages_side and "Exchange hashpartitioning" not in pages_side
+    assert hits.count() == 10
 
 
 def test_escape_is_reversible_and_leaves_no_control_string(spark):

@@ -1,8 +1,10 @@
 """URL lists with a blocked Bloom filter in front of an exact hash join.
 
 A listed entry is a canonical host and path, like ``example.com/de/``; it fits its host and all
-subdomains when the path starts with the entry's. So a URL is looked up once for each shape
-that occurs in the list: so many last labels of its host, so many first characters of its path.
+subdomains when the path starts with the entry's; one without ``/`` fits whatever the path is. So a URL is
+looked up once for each shape that occurs in the list: so many last labels of its host, so many first
+characters of its path. Where a list has too many shapes for that, the listed hosts are joined first and say
+which path lengths to look up. URLs meet the filter where they are read, so only possible hits are shuffled.
 The filter is a table of blocks of 8 words, one bit in each word a key. Its size has a
 fixed bound, which makes it safe to broadcast however long the list is; a fuller filter only
 lets more through to the exact join.
@@ -12,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidegrid.operators.lookup import lookup_join
 from tidegrid.sources.stage import stage
 
 #: Odd multipliers, one for each word of a block (those of the split block filter of the Parquet format).
@@ -53,46 +56,60 @@ def bloom_blocks(keys: DataFrame, key: str, blocks: int) -> DataFrame:
                        ).groupBy("block").agg(*[F.bit_or(f"w{i}").alias(f"w{i}") for i in range(8)])
 
 
+def passed(keys: DataFrame, listed: DataFrame, key: str, blocks: int) -> DataFrame:
+    """The rows of ``keys`` that the filter of ``listed`` (same column) lets through, without a shuffle of ``keys``."""
+    bloom = F.broadcast(bloom_blocks(listed, key, blocks))
+    hits = keys.withColumn("block", _block(F.col(key), blocks)).join(bloom, "block")
+    for i, bit in enumerate(_bits(F.col(key))):
+        hits = hits.where(F.col(f"w{i}").bitwiseAND(bit) != 0)
+    return hits.select(*keys.columns)
+
+
+def look_ups(urls: DataFrame, entries: DataFrame, blocks: int, max_shapes: int) -> DataFrame:
+    """``host``, ``path`` and each ``key`` under which the list may have them."""
+    shapes = entries.groupBy("labels", "chars").agg(F.lit(1)).limit(max_shapes + 1).collect()
+    # a host or path that is too short gives a key that was already met or that is not listed
+    if len(shapes) <= max_shapes:
+        wanted = F.array(*[F.struct(F.lit(s["labels"]).alias("labels"), F.lit(s["chars"]).alias("chars"))
+                           for s in sorted(shapes)]) if shapes else F.array().cast("array<struct<labels:int,chars:int>>")
+        keys = urls.select("host", "path", F.explode(wanted).alias("shape")).select(
+            "host", "path", _last_labels(F.col("host"), F.col("shape.labels")).alias("end"), "shape.chars")
+    else:
+        hosts = stage(entries.groupBy("end").agg(F.collect_set("chars").alias("lengths")), "listed_hosts")
+        ends = urls.select("host", "path", F.explode(F.sequence(F.lit(1), F.size(F.split("host", r"\.")))).alias("labels"))
+        ends = ends.select("host", "path", _last_labels(F.col("host"), F.col("labels")).alias("end"))
+        known = passed(ends, hosts.select("end"), "end", blocks).distinct().join(hosts, "end")
+        keys = known.select("host", "path", "end", F.explode("lengths").alias("chars"))
+    return keys.where(F.length("path") >= F.col("chars")).select(
+        "host", "path", F.concat("end", F.substr("path", F.lit(1), F.col("chars"))).alias("key"))
+
+
 def filter_urls(pages: DataFrame, listed: DataFrame, *, id_col: str = "page_id", url_col: str = "url",
-                default: str = "allow", max_blocks: int = MAX_BLOCKS, max_shapes: int = 4096) -> DataFrame:
+                default: str = "allow", max_blocks: int = MAX_BLOCKS, max_shapes: int = 256) -> DataFrame:
     """``host``, ``path``, ``entry`` (the listed one that won, else null) and ``verdict`` of every page.
 
-    ``listed`` has ``entry`` (host, then a path that begins with ``/``), ``verdict`` and ``priority``. Among the
-    fitting entries the highest priority wins, then the longest entry, then the first in order.
-    Null entries are skipped; repeated ones count once. A null URL or one without ``://`` has an
-    empty host and path and the default verdict. Rows are kept one by one, also with equal or
-    no ids; other columns are ignored. More than ``max_shapes`` shapes in the list are refused.
+    ``listed`` has ``entry`` (host, then a path that begins with ``/``, or a host alone for all its paths),
+    ``verdict`` and ``priority``. Among the fitting entries the highest priority wins, then the longest entry, then the
+    first in order. Null and empty entries are skipped; repeated ones count once, with their highest priority. A null URL
+    or one without ``://`` has an empty host and path and the default verdict. Rows are kept one by one, also with
+    equal or no ids; other columns are ignored, and a URL that very many rows share is met on its own by spreading
+    them. A list with more than ``max_shapes`` shapes is looked up host first, with the same result.
     """
-    entries = listed.where(F.col("entry").contains("/")).groupBy("entry").agg(
+    host = F.substring_index("entry", "/", 1)
+    entries = listed.where("entry <> ''").groupBy("entry").agg(
         F.max(F.struct("priority", "verdict")).alias("v")).select(
-        "entry", "v.priority", "v.verdict",
-        F.size(F.split(F.substring_index("entry", "/", 1), r"\.")).alias("labels"),
-        (F.length("entry") - F.instr("entry", "/") + 1).alias("chars"))
+        F.col("entry").alias("key"), "v.priority", "v.verdict", host.alias("end"),
+        F.size(F.split(host, r"\.")).alias("labels"), (F.length("entry") - F.length(host)).alias("chars"))
     entries = stage(entries, "listed")
-    shapes = entries.groupBy("labels", "chars").agg(F.count("*").alias("n")).limit(max_shapes + 1).collect()
-    if len(shapes) > max_shapes:
-        raise ValueError(f"more than {max_shapes} shapes of entries")
-    blocks = max(1, min(max_blocks, sum(s["n"] for s in shapes) // 16))
-    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"),
-                        host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
-    wanted = F.array(*[F.struct(F.lit(s["labels"]).alias("labels"), F.lit(s["chars"]).alias("chars"))
-                       for s in sorted(shapes)]) if shapes else F.array().cast("array<struct<labels:int,chars:int>>")
-    # one look-up for each different host and path; a URL that comes very often is met before the shuffle
-    keys = rows.select("host", "path").where("host <> '' OR path <> ''").distinct().select(
-        "host", "path", F.explode(wanted).alias("shape"))
-    # a host or path that is too short gives a key that was already met or that is not listed
-    keys = keys.select("host", "path", F.concat(
-        _last_labels(F.col("host"), F.col("shape.labels")),
-        F.substr("path", F.lit(1), F.col("shape.chars"))).alias("key"))
-    bloom = F.broadcast(bloom_blocks(entries, "entry", blocks))
-    hits = keys.withColumn("block", _block(F.col("key"), blocks)).join(bloom, "block")
-    for i, bit in enumerate(_bits(F.col("key"))):
-        hits = hits.where(F.col(f"w{i}").bitwiseAND(bit) != 0)
-    exact = hits.select("host", "path", "key").join(entries, F.col("key") == F.col("entry"))
+    blocks = max(1, min(max_blocks, entries.count() // 16))
+    rows = pages.select(F.col(id_col).alias("id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
+    keys = look_ups(rows.select("host", "path").where("host <> '' OR path <> ''"), entries, blocks, max_shapes)
+    hits = passed(keys, entries.select("key"), "key", blocks).distinct()
+    exact = hits.join(entries.select("key", "priority", "verdict"), "key")
     best = exact.groupBy("host", "path").agg(F.max_by(
-        F.struct("entry", "verdict"), F.struct("priority", F.length("entry"))).alias("best"))
+        F.struct(F.col("key").alias("entry"), "verdict"), F.struct("priority", F.length("key"))).alias("best"))
     best = stage(best.select("host", "path", "best.entry", "best.verdict"), "verdicts")
-    return rows.join(best, ["host", "path"], "left").select(
+    return lookup_join(rows, best, ["host", "path"], "id").select(
         F.col("id").alias(id_col), "host", "path", "entry", F.coalesce("verdict", F.lit(default)).alias("verdict"))
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidegrid.llm.chat import escape, format_chats, loss_text, read_back, unescape
 from tidegrid.llm.components import components, union_find
-from tidegrid.llm.near_dups import near_duplicates, super_minhash
+from tidegrid.llm.near_dups import MEET, _meetings, near_duplicates, super_minhash
 from tidegrid.llm.shingles import shingle_sets
 from tidegrid.llm.substrings import covered, doubled, grams, remove_repeats, repeated_runs, sliding_argmin, without_repeats
 from tidegrid.llm.url_filter import filter_urls, look_ups, passed
@@ -94,6 +94,36 @@ def test_near_duplicates_equal_brute_force(spark, seed):
     assert all(r["n_shingles"] == len(sets[d]) and r["kept"] == (want[d] == d) for d, r in got.items())
 
 
+FRONT = "id long, g long, token long, n long, room long"
+
+
+@pytest.mark.parametrize("full", [1, 4_000_000])
+def test_meetings_are_the_pairs_that_size_and_place_allow(spark, full):
+    rng = random.Random(7)
+    rows = {}
+    for i in range(400):
+        n = rng.choice([1, 2, 3, 4, 7, 20, 21, 26, 27, 28, 90, 100, 101, 119, 120, 133, 134])
+        for token in rng.sample(range(3), 2):
+            room = rng.randint(-(-3 * n // 4), n)
+            rows[i, token] = (i, rng.choice([1, 2, 3, i]) if token else i % 5, token, n, room)
+    left, right = _meetings(spark.createDataFrame(list(rows.values()), FRONT), 75, full)
+    met = left.join(right, MEET).where("(na < nb OR na = nb AND ida < idb) AND nb <= capa AND na <= capb")
+    got = Counter((r["token"], *sorted((r["ida"], r["idb"]))) for r in met.collect())
+    want = Counter((t, i, j) for (i, t), a in rows.items() for (j, u), b in rows.items()
+                   if t == u and i < j and a[1] != b[1] and 175 * min(a[4], b[4]) >= 75 * (a[3] + b[3])
+                   and 100 * min(a[3], b[3]) >= 75 * max(a[3], b[3]))
+    assert got == want and len(want) > 1000
+
+
+def test_sets_of_one_group_or_too_far_behind_are_never_compared(spark):
+    group = [(i, 1, 5, 100, 95) for i in range(3000)] + [(5000, 2, 5, 100, 95), (5001, 3, 5, 100, 95)]
+    behind = [(10_000 + i, 10_000 + i, 6, 100, 80) for i in range(3000)]
+    left, right = _meetings(spark.createDataFrame(group + behind, FRONT), 75)
+    compared = left.join(right, MEET).groupBy("token").count().collect()
+    # each pair of groups from both sides: 3000 with each of the two others, and those two with each other
+    assert [tuple(r) for r in compared] == [(5, 2 * (2 * 3000 + 1))]
+
+
 def test_near_duplicates_of_odd_tables(spark):
     schema = "doc_id int, text string"
     assert near_duplicates(spark.createDataFrame([], schema)).collect() == []

@@ -19,7 +19,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidegrid.llm.batches import small_batches
 from tidegrid.llm.components import components
@@ -29,6 +29,10 @@ from tidegrid.sources.stage import stage
 
 EMPTY = U(0xFFFFFFFFFFFFFFFF)
 LOW = U(0xFFFFFFFF)
+#: What two sets must have in common to be compared: a shingle, bands of sizes, a place among the groups, a salt.
+MEET = ["token", "x", "y", "bit", "above", "turn", "salt"]
+FULL_MEETING = 4_000_000
+MOST_SALTS = 64
 
 
 def super_minhash(elements: np.ndarray, counts: np.ndarray, slots: int) -> np.ndarray:
@@ -131,7 +135,8 @@ def _prefix_pairs(docs: DataFrame, size: int, percent: int) -> DataFrame:
 
     Shingles are ordered from the rarest on. Of two similar sets, the first shingle they share stands so far in front in
     both that enough can follow; a pair without such a shingle can't reach the threshold. Copies of one text
-    that were edited a little too much differ in their rarest shingles, so they meet nobody.
+    that were edited a little too much differ in their rarest shingles, so they meet nobody. A shingle that very many
+    share is no hot key, see :func:`_meetings`.
     """
     tokens = stage(docs.mapInArrow(_tokens(size), "id long, g long, token long, n long"), "tokens")
     shared = stage(tokens.groupBy("token").agg(F.count("*").alias("c")).where("c > 1"), "shared_tokens")
@@ -141,12 +146,46 @@ def _prefix_pairs(docs: DataFrame, size: int, percent: int) -> DataFrame:
     place = F.row_number().over(own.orderBy("c", "token")) - 1 + F.col("n") - F.count("*").over(own)
     front = common.withColumn("room", F.col("n") - place).where(f"100 * room >= {percent} * n")
     front = stage(front.select("id", "g", "token", "n", "room"), "prefixes")
-    left, right = (front.select("token", *[F.col(c).alias(c + x) for c in ("id", "g", "n", "room")]) for x in "ab")
-    return left.join(right, "token").where(
-        f"ga < gb AND {100 + percent} * least(rooma, roomb) >= {percent} * (na + nb)").select(
+    left, right = _meetings(front, percent)
+    return left.join(right, MEET).where(
+        "(na < nb OR na = nb AND ida < idb) AND nb <= capa AND na <= capb").select(
         F.col("ida").alias("a"), F.col("idb").alias("b")).distinct()
 
 
+def _meetings(front: DataFrame, percent: int, full: int = FULL_MEETING) -> tuple[DataFrame, DataFrame]:
+    """The smaller and the larger set of each pair, with the key ``MEET`` under which just the right ones meet.
+
+    Where a shared shingle stands bounds the size of the other set (``cap``), so each set goes to bands of sizes that it can
+    be paired with, the smaller one only while its place still allows a set of its own size. Sets of one ``g`` are told
+    apart from no other: the groups that meet are numbered, and two numbers meet at the highest bit
+    in which they differ, so sets of one group never do. What would still be more than ``full``
+    comparisons is split by a salt.
+    """
+    def band(c: str) -> Column:
+        return F.floor(F.log(F.col(c)) / F.log(F.lit(1.05))).cast("int")
+
+    rows = front.selectExpr("token", "id", "g", "n", f"{100 + percent} * room div {percent} - n AS cap")
+    small = rows.withColumn("hi", F.expr(f"least(cap, 100 * n div {percent})")).where("hi >= n").select(
+        "token", band("n").alias("x"), F.explode(F.sequence(band("n"), band("hi"))).alias("y"), "id", "g", "n", "cap", F.lit(0).alias("large"))
+    large = rows.withColumns({"lo": F.expr(f"({percent} * n + 99) div 100"), "hi": F.least("n", "cap")}).where("hi >= lo").select(
+        "token", F.explode(F.sequence(band("lo"), band("hi"))).alias("x"), band("n").alias("y"), "id", "g", "n", "cap", F.lit(1).alias("large"))
+    both = stage(small.unionByName(large), "meetings")
+    key = ["token", "x", "y"]
+    of_key = Window.partitionBy(*key)
+    groups = both.groupBy(*key, "g").agg(F.count_if(F.col("large") == 0).alias("s"), F.count_if(F.col("large") == 1).alias("l"))
+    groups = groups.select(
+        *key, "g", (F.row_number().over(of_key.orderBy("g")) - 1).alias("no"), F.count("*").over(of_key).alias("groups"),
+        F.sum("s").over(of_key).alias("s"), F.sum("l").over(of_key).alias("l")).where("groups > 1 AND s > 0 AND l > 0")
+    groups = stage(groups.selectExpr(*key, "g", "no", "length(bin(groups - 1)) AS bits",
+                                     f"cast(least({MOST_SALTS}, 1 + s * l div {full}) AS int) AS salts"), "meeting_groups")
+    met = both.join(groups, [*key, "g"]).select(
+        "*", F.explode(F.sequence(F.lit(0), F.col("bits") - 1)).alias("bit")).withColumns(
+        {"above": F.expr("shiftright(no, bit + 1)"), "turn": F.expr("(shiftright(no, bit) & 1) ^ large")})
+    left = met.where("large = 0").withColumn("salt", F.pmod(F.xxhash64("id"), "salts").cast("int"))
+    right = met.where("large = 1").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    return tuple(side.select(*MEET, *[F.col(c).alias(c + x) for c in ("id", "n", "cap")]) for side, x in ((left, "a"), (right, "b")))
+
+
 def near_duplicates(docs: DataFrame, *, percent: int = 75, shingle: int = 5, bands: int = 32, rows: int = 4,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``n_shingles``, ``component_id`` and ``kept`` of every document.

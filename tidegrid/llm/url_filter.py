@@ -20,6 +20,8 @@ from tidegrid.sources.stage import stage
 #: Odd multipliers, one for each word of a block (those of the split block filter of the Parquet format).
 SALTS = [0x47B6137B, 0x44974D91, 0x8824AD5B, 0xA2B7289D, 0x705495C7, 0x2DF1424B, 0x9EFC4947, 0x5C6BFB31]
 MAX_BLOCKS = 1 << 18
+#: So many judged URLs are broadcast to the pages; more are joined by a shuffle, as URLs may be long.
+BROADCAST_URLS = 20_000
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -109,7 +111,7 @@ def filter_urls(pages: DataFrame, listed: DataFrame, *, id_col: str = "page_id",
     best = exact.groupBy("host", "path").agg(F.max_by(
         F.struct(F.col("key").alias("entry"), "verdict"), F.struct("priority", F.length("key"))).alias("best"))
     best = stage(best.select("host", "path", "best.entry", "best.verdict"), "verdicts")
-    return lookup_join(rows, best, ["host", "path"], "id").select(
+    return lookup_join(rows, best, ["host", "path"], "id", broadcast_rows=BROADCAST_URLS).select(
         F.col("id").alias(id_col), "host", "path", "entry", F.coalesce("verdict", F.lit(default)).alias("verdict"))
 
 

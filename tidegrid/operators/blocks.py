@@ -17,6 +17,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from tidegrid.functions.calendar import epoch_seconds
+from tidegrid.operators.shares import bounded_shares
 
 BLOCK_ROWS = 8192
 BLOCK = "__block"
@@ -82,7 +83,7 @@ def with_last_rows(df: DataFrame, keys: Sequence[str], pos: str, before: int, si
         F.max(never(columns, df)).alias("__never"))
     feeds = missing_halo(counts.where("__n > 0 AND NOT __never"), keys, before)
     newest = Window.partitionBy(*by).orderBy(F.col(pos).desc())
-    ranked = rows.join(feeds, HOME).withColumn("__rank", F.row_number().over(newest))
+    ranked = rows.join(feeds, HOME).withColumn("__rank", F.row_number().over(newest)).where(F.col("__rank") <= before)
     rank = F.col("__rank")
     source = F.struct(*keys, BLOCK)  # compared whole, as hashes may meet
     takers = F.filter("__feeds", lambda f: (f["above"] < rank) & (rank <= f["upto"]) & f["__from"].eqNullSafe(source))
@@ -94,6 +95,7 @@ def with_last_rows(df: DataFrame, keys: Sequence[str], pos: str, before: int, si
 def blocked(df: DataFrame, keys: Sequence[str], pos: str, before: int, size: int = BLOCK_ROWS,
             dense: bool = False) -> tuple[DataFrame, list[str]]:
     """Rows with their ``BLOCK`` and whether they are ``HALO``, and the columns by which blocks lie in tasks; see :func:`over_blocks`."""
+    df = bounded_shares(df)
     if not before:
         return df.withColumn(BLOCK, block_of(pos, size)).withColumn(HALO, F.lit(False)), [*keys, BLOCK]
     if dense:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidegrid.functions.calendar import epoch_seconds, from_epoch_seconds
 from tidegrid.operators.blocks import BLOCK, BLOCK_ROWS
+from tidegrid.operators.shares import bounded_shares, parts_for
 
 
 def step_index(t, step_seconds: int):
@@ -50,16 +51,20 @@ def densify(
     the steps of all. ``spans`` (from :func:`series_spans`) may come from a cheaper table than ``df``.
 
     Blocks of ``size`` steps are dealt out, the grid as one row a block and cells as they are; only there do
-    the steps without a cell grow, so the full panel is never shuffled or joined.
+    the steps without a cell grow, so the full panel is never shuffled or joined. The steps are summed up from ``spans``
+    beforehand, since few rows grow to many, which sizes don't show: tasks and later shuffles follow that number.
     """
     if spans is None:
         spans = series_spans(df, keys, t, step_seconds, span)
-    home = [*keys, BLOCK]
+    spark, home = df.sparkSession, [*keys, BLOCK]
+    total = int(spans.agg(F.sum(F.col("hi") - F.col("lo") + 1)).first()[0] or 0)
+    bounded_shares(df, total)
+    tasks = parts_for(spark, total)
     values = [c for c in df.columns if c not in keys and c != t]
     step = step_index(t, step_seconds)
     cells = df.select(*keys, F.floor(step / size).alias(BLOCK), F.struct(step.alias("__step"), F.struct(*values, F.lit(
-        True).alias("__there")).alias("__row")).alias("__cell")).groupBy(*home).agg(F.collect_list("__cell").alias("__cells"))
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few rows grow to many, which sizes don't show
+        True).alias("__there")).alias("__row")).alias("__cell")).repartition(tasks, *home).groupBy(*home).agg(
+        F.collect_list("__cell").alias("__cells"))
     blocks = spans.select(*keys, "lo", "hi", F.explode(F.sequence(
         F.floor(F.col("lo") / size), F.floor(F.col("hi") / size))).alias(BLOCK)).repartition(tasks, *home)
     first = F.col(BLOCK) * size

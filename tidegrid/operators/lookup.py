@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from tidegrid.operators.shares import bounded_shares
 from tidegrid.sources.stage import stage
 
 BROADCAST_ROWS = 200_000
@@ -49,7 +50,7 @@ def _salted_join(
     the count and the join both read it. There are at most ``rows / hot_rows`` hot keys;
     their list is joined by its measured size.
     """
-    df = stage(df, "lookup_rows")
+    df = stage(bounded_shares(df), "lookup_rows")
     hot = (
         df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
         .where(F.col("__rows") > hot_rows).select(*keys, F.lit(True).alias("__hot"))

@@ -103,9 +103,21 @@ def read_clean(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+# Files of so many splits are open in a task at once. Without it every task sorts its tensors by split first.
+OPEN_FILES = {"spark.sql.maxConcurrentOutputFileWriters": "4"}
+
+
 def write_windows(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Window tensors with targets and target times, one folder per split."""
-    df.write.partitionBy("split").option("compression", "zstd").mode(mode).parquet(path)
+    conf = df.sparkSession.conf
+    before = {name: conf.get(name, None) for name in OPEN_FILES}
+    for name, value in OPEN_FILES.items():
+        conf.set(name, value)
+    try:
+        df.write.partitionBy("split").option("compression", "zstd").mode(mode).parquet(path)
+    finally:
+        for name, value in before.items():
+            conf.unset(name) if value is None else conf.set(name, value)
 
 
 def read_windows(spark: SparkSession, path: str) -> DataFrame:

@@ -3,21 +3,27 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, functions as F
 
 from tidegrid.functions.scaling import clip_lower
+from tidegrid.operators.shares import bounded_shares
 
 # Share of the first set in each blend of the grid.
 WEIGHTS = (0.5, 0.6, 0.7, 0.75, 0.8)
 
 
 def _unique(df: DataFrame, pred: str, name: str) -> DataFrame:
-    """One row per id; a repeated id is an error."""
+    """One row per id; a repeated id is an error.
+
+    Ids are dealt out first: nearly all are different, so that adding them up before the shuffle would only hold a task's input.
+    """
     once = F.when(F.count(F.lit(1)) == 1, F.any_value(pred)).otherwise(
         F.raise_error(F.concat(F.lit("repeated id in a prediction set: "), F.col("id").cast("string")))
     )
-    return df.groupBy("id").agg(once.alias(name), F.lit(True).alias(f"__has_{name}"))
+    return bounded_shares(df).repartition("id").groupBy("id").agg(once.alias(name), F.lit(True).alias(f"__has_{name}"))
 
 
 def align_predictions(a: DataFrame, b: DataFrame, pred: str = "pred") -> DataFrame:
@@ -54,10 +60,10 @@ def blend_mean(*sets: DataFrame, pred: str = "pred") -> DataFrame:
     rows = sets[0].select("id", pred, F.lit(0).alias("set"))
     for i, s in enumerate(sets[1:], 1):
         rows = rows.unionByName(s.select("id", pred, F.lit(i).alias("set")))
-    complete = (F.count(F.lit(1)) == len(sets)) & (F.count_distinct("set") == len(sets))
+    complete = reduce(and_, [F.count_if(F.col("set") == i) == 1 for i in range(len(sets))])
     mean = F.when(complete, F.avg(pred)).otherwise(
         F.raise_error(F.concat(F.lit("id is not once in every prediction set: "), F.col("id").cast("string"))))
-    return rows.groupBy("id").agg(mean.alias(pred))
+    return bounded_shares(rows).repartition("id").groupBy("id").agg(mean.alias(pred))
 
 
 def seed_mean(preds: DataFrame, keys: Sequence[str], pred: str = "pred") -> DataFrame:

@@ -302,8 +302,8 @@ def rolling_all_in_small_blocks(spark, sf):
 def rolling_over_holes(spark, sf):
     """Frames count rows, also where every seventh position is missing, in blocks of 50."""
     features = {**LAGS, **MEANS}
-    panel = stage(daily(spark, sf, "l_suppkey").where("pos % 7 <> 5"), "holed")
-    return rolling_features(panel, ["series"], "pos", features, size=50).select("series", "t", *rounded(list(features)))
+    panel = daily(spark, sf, "l_suppkey").where("pos % 7 <> 5").select("series", "t", "pos", "m1")
+    return rolling_features(stage(panel, "holed"), ["series"], "pos", features, size=50).select("series", "t", *rounded(list(features)))
 
 
 @query(

@@ -49,7 +49,7 @@ class WordEncoder:
     It outlives a task, as the next one of the worker process meets the same words.
     """
 
-    def __init__(self, path: str, max_words: int = 150_000, max_chars: int = 5_000_000):
+    def __init__(self, path: str, max_words: int = 600_000, max_chars: int = 20_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks in parallel
         from tokenizers import Tokenizer
 

@@ -84,7 +84,7 @@ def clean_panel_files(spark, sf):
 
 
 def _split_windows(spark, sf):
-    return split_at(windows_by_user(spark, sf), CUTOFF, "target_dt")
+    return split_at(windows_by_user(spark, sf, dense=True), CUTOFF, "target_dt")
 
 
 SQL_STORED = SQL_WINDOWS + f""" SELECT series, target_dt,

@@ -149,3 +149,17 @@ def test_parameters_are_one_row(spark):
 
 def test_schema_of_another_panel():
     assert panel_schema(["q"], wind=None, series="site").names == ["year", "month", "day", "hour", "q", "site"]
+
+
+def test_stored_windows_of_a_grid_count_no_rows_beforehand(spark, tmp_path):
+    """Every step of the grid is there, so blocks need not be counted to know what halos lack."""
+    from panel_queries.q_io import _split_windows
+
+    at = F.timestamp_seconds(F.col("id") * 7200 + 1_706_000_000).cast("timestamp_ntz")
+    events = spark.range(60).select(
+        F.col("id").alias("event_id"), at.alias("ts"), (F.col("id") % 2).alias("user_id"), F.lit("view").alias("event_type"),
+        F.col("id").cast("double").alias("value"), F.lit('{"k": 3}').alias("props"))
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    wins = _split_windows(spark, str(tmp_path))
+    assert "__feeds" not in wins._jdf.queryExecution().toString()
+    assert wins.count() == 2 * (119 - 24)

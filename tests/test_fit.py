@@ -139,6 +139,8 @@ def test_salted_and_broadcast_lookups_agree(spark, rows, salt):
     want = {r["v"]: r["count"] for r in hot.join(lookup, "k", "left").groupBy("v").count().collect()}
     assert counts == want and got.count() == 300
     assert got.columns == ["k", "pos", "v"]
+    other = lookup_join(hot, lookup, ["k"], salt=salt, broadcast_rows=rows, hot_rows=100, salts=4, counted=hot.select("k"))
+    assert sorted(map(str, other.collect())) == sorted(map(str, got.collect()))
 
 
 def test_per_series_parameters_add_epsilon(spark):

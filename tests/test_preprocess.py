@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import random
+from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
 
+from tidegrid.operators import fill, lookup
 from tidegrid.operators.summaries import null_counts, scaler_check
 from tidegrid.plans.dataset import (
     all_rows_windows, long_windows, manifest_all_rows, manifest_long, manifest_short, short_pairs,
@@ -85,6 +87,18 @@ def test_apply_equals_fit(spark, fitted, tmp_path):
         assert rows_of(applied) == rows_of(want)
 
 
+def test_large_lookups_count_hot_keys_in_the_stored_panel(spark, fitted, monkeypatch):
+    """The panel is stored before the lookups, so none of them writes it again."""
+    written, stage = [], lookup.stage
+    monkeypatch.setattr(lookup, "stage", lambda df, name: written.append(name) or stage(df, name))
+    monkeypatch.setattr(fill, "lookup_join", partial(lookup.lookup_join, broadcast_rows=0, hot_rows=3, salts=4))
+    clean, fits = preprocess_fit(make(spark), SPEC)
+    assert rows_of(clean) == rows_of(fitted[0]) and fits.medians == fitted[1].medians
+    assert written == ["hot_keys"] * 3
+    applied = preprocess_apply(make(spark), fits, SPEC)  # rows that are stored nowhere are written
+    assert applied.count() == 3 * HOURS and written[3:] == ["lookup_rows", "hot_keys"] * 2
+
+
 def test_tiers_name_where_cells_came_from(spark, fitted):
     clean, _ = fitted
     counts = {r[0]: r[1] for r in clean.groupBy("m1" + TIER).count().collect()}

@@ -22,18 +22,20 @@ def _prefixed(lookup: DataFrame, keys: Sequence[str], cols: Sequence[str], prefi
 
 
 def seasonal_fill(
-    df: DataFrame, lookup: DataFrame, keys: Sequence[str], cols: Sequence[str], salt: str | None = None
+    df: DataFrame, lookup: DataFrame, keys: Sequence[str], cols: Sequence[str], salt: str | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
-    """Missing cells take the looked-up mean of their key; unknown keys stay missing."""
-    joined = lookup_join(df, _prefixed(lookup, keys, cols, "__ssn_"), keys, salt)
+    """Missing cells take the looked-up mean of their key; unknown keys stay missing. ``counted``: see ``lookup_join``."""
+    joined = lookup_join(df, _prefixed(lookup, keys, cols, "__ssn_"), keys, salt, counted=counted)
     return _filled(df, joined, cols, "__ssn_")
 
 
 def mode_fill(
-    df: DataFrame, modes: DataFrame, keys: Sequence[str], col: str, salt: str | None = None
+    df: DataFrame, modes: DataFrame, keys: Sequence[str], col: str, salt: str | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
-    """Missing categories take the mode of their series; an unknown series stays missing."""
-    joined = lookup_join(df, _prefixed(modes, keys, [col], "__mode_"), keys, salt)
+    """Missing categories take the mode of their series; an unknown series stays missing. ``counted``: see ``lookup_join``."""
+    joined = lookup_join(df, _prefixed(modes, keys, [col], "__mode_"), keys, salt, counted=counted)
     return _filled(df, joined, [col], "__mode_")
 
 

@@ -23,17 +23,19 @@ def lookup_join(
     broadcast_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_ROWS,
     salts: int = SALTS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Left join of a large panel to a fitted table with one row per ``keys``.
 
     The table is broadcast when Spark knows it to be small (stage it first, then its files
     say so and no job runs), or else when it is counted and has at most ``broadcast_rows`` rows. A larger one is joined by
     shuffle, with hot keys spread over ``salts`` tasks; ``salt`` names the column
-    that decides which (its hash; all columns if not given).
+    that decides which (its hash; all columns if not given). ``counted`` is a stored table in which each key has as many
+    rows as in ``df``, such as the one that ``df`` is derived from: hot keys are then counted there, and ``df`` is not written.
     """
     if broadcast_rows and known_bytes(lookup) <= BROADCAST_BYTES or lookup.limit(broadcast_rows + 1).count() <= broadcast_rows:
         return df.join(F.broadcast(lookup), list(keys), "left")
-    return _salted_join(df, lookup, list(keys), salt, hot_rows, salts)
+    return _salted_join(df, lookup, list(keys), salt, hot_rows, salts, counted)
 
 
 def known_bytes(df: DataFrame) -> int:
@@ -42,17 +44,20 @@ def known_bytes(df: DataFrame) -> int:
 
 
 def _salted_join(
-    df: DataFrame, lookup: DataFrame, keys: list[str], salt: str | None, hot_rows: int, salts: int
+    df: DataFrame, lookup: DataFrame, keys: list[str], salt: str | None, hot_rows: int, salts: int,
+    counted: DataFrame | None,
 ) -> DataFrame:
     """Shuffle join in which a key with more than ``hot_rows`` rows is split.
 
     Only the lookup rows of hot keys are repeated, once per salt. The panel is written first, as
-    the count and the join both read it. There are at most ``rows / hot_rows`` hot keys;
+    the count and the join both read it, unless keys are ``counted`` elsewhere. There are at most ``rows / hot_rows`` hot keys;
     their list is joined by its measured size.
     """
-    df = stage(bounded_shares(df), "lookup_rows")
+    df = bounded_shares(df)
+    if counted is None:
+        df = counted = stage(df, "lookup_rows")
     hot = (
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+        counted.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
         .where(F.col("__rows") > hot_rows).select(*keys, F.lit(True).alias("__hot"))
     )
     hot = stage(hot, "hot_keys")

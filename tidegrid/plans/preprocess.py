@@ -60,7 +60,8 @@ def preprocess_fit(panel: DataFrame, spec: PanelSpec) -> tuple[DataFrame, Fitted
     The order matters: seasonal means include interpolated cells, medians come
     after the seasonal fill, and mean and deviation after all fills. One scan of the interpolated
     panel gives seasonal moments and wind counts; mean and deviation after the fills follow from those, so only
-    medians look at filled cells. Two tables are written: the interpolated panel, and the filled cells of ``train``.
+    medians look at filled cells. Two tables are written: the interpolated panel, in which lookups also count their keys,
+    and the filled cells of ``train``.
     """
     keys = ["split", spec.series]
     df = with_calendar_parts(split_at(panel, spec.cutoff, spec.t), spec.t)
@@ -69,20 +70,20 @@ def preprocess_fit(panel: DataFrame, spec: PanelSpec) -> tuple[DataFrame, Fitted
     seasons = stage(fit_seasons(train, season, spec.measures, spec.series, spec.wind), "seasons")
     seasonal = seasonal_of(seasons, season, spec.measures)
     modes = stage(modes_of(seasons, spec.series, spec.wind), "modes") if spec.wind else None
-    cells = seasonal_fill(train, seasonal, season, spec.measures, salt=spec.pos).select(*spec.measures)
+    cells = seasonal_fill(train, seasonal, season, spec.measures, salt=spec.pos, counted=train).select(*spec.measures)
     medians = one_row(fit_median(stage(cells, "filled_cells"), spec.measures))
     scaler = one_row(scaler_after_fills(seasons, spec.measures, medians))
     fitted = Fitted(seasonal, modes, medians, scaler)
-    return _applied(df, fitted, spec), fitted
+    return _applied(df, fitted, spec, counted=df), fitted
 
 
-def _applied(interpolated: DataFrame, fitted: Fitted, spec: PanelSpec) -> DataFrame:
-    """From interpolated rows to clean ones with stored parameters."""
-    df = seasonal_fill(interpolated, fitted.seasonal, [spec.series, *spec.season], spec.measures, salt=spec.pos)
+def _applied(interpolated: DataFrame, fitted: Fitted, spec: PanelSpec, counted: DataFrame | None = None) -> DataFrame:
+    """From interpolated rows to clean ones with stored parameters; ``counted`` are the same rows where they are stored."""
+    df = seasonal_fill(interpolated, fitted.seasonal, [spec.series, *spec.season], spec.measures, salt=spec.pos, counted=counted)
     df = _tiered(df, spec, 2)
     df = _tiered(fill_scalar(df, fitted.medians, spec.measures), spec, 3)
     if spec.wind:
-        df = mode_fill(df, fitted.modes, [spec.series], spec.wind, salt=spec.pos)
+        df = mode_fill(df, fitted.modes, [spec.series], spec.wind, salt=spec.pos, counted=counted)
         df = df.withColumns(wind_features(spec.wind))
     return apply_scaler(df, fitted.scaler, spec.measures)
 
